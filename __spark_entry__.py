@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from fixtures import AS_OF, SINCE, Bound  # noqa: E402
+from fixtures import AS_OF, EVENTS, SINCE, Bound  # noqa: E402
 from fleetgauge.functions.clock import clip  # noqa: E402
 from fleetgauge.functions.numeric import rnd  # noqa: E402
 from fleetgauge.operators import detect, health, quality  # noqa: E402
@@ -114,8 +114,7 @@ def _touched(b: Bound) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read the events table as a stream, drop repeats, keep daily totals, read them back."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     b = Bound(spark, sf_dir, events=source)
     delivered = b.raw_job_events.withColumn("started_at", F.col("started_at").cast("timestamp"))
     totals = stream_daily.stream_daily_totals(stream_daily.dedup_stream(delivered, delay="2 days"))

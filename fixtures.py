@@ -13,6 +13,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Declared, so that no job has to open the files just to learn their columns.
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
 AS_OF = datetime(2024, 1, 31)
 SINCE = datetime(2024, 1, 1)
 TODAY = date(2024, 1, 30)
@@ -134,7 +138,7 @@ class Bound:
     def __init__(self, spark: SparkSession, sf_dir: str, events: DataFrame | None = None):
         self.spark = spark
         if events is None:
-            events = spark.read.parquet(f"{sf_dir}/events.parquet")
+            events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
         self._frames: dict[str, DataFrame] = {"events": events}
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -74,9 +74,10 @@ def clip(df: DataFrame, column: str = "started_at", **bounds: Moment | None) ->
     companion DATE column (a partition or a plain column) the same range is
     stated on it too.
     """
-    df = df.filter(between(column, **bounds))
     companion = DATE_COMPANION.get(column)
-    if companion in df.columns:
+    has_companion = companion in df.columns
+    df = df.filter(between(column, **bounds))
+    if has_companion:
         lows = [moment(bounds[k]) for k in ("after", "since") if bounds.get(k) is not None]
         highs = [moment(bounds[k]) for k in ("until", "before") if bounds.get(k) is not None]
         if lows:

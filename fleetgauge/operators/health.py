@@ -143,7 +143,7 @@ def _as_checks(as_of: Moment, checks: Sequence[str], lim: HealthLimits) -> list[
             "Compare with the day before and consider rolling back a recent change.",
         )
     if "p95_latency" in checks:
-        p95, most = F.element_at("q", 1), float(lim.p95_max_seconds)
+        p95, most = rnd(F.element_at("q", 1), 2), float(lim.p95_max_seconds)
         built["p95_latency"] = _check(
             "p95_latency", p95.isNotNull(), p95 <= most,
             above(p95, (most * lim.p95_high_factor, "HIGH"), otherwise="MEDIUM"),

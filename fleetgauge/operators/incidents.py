@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, clip, minutes_between, stamp, today, trailing
-from ..functions.numeric import as_col, pct
+from ..functions.numeric import pct
 from ..functions.text import clipped, fixed, say, stable_id, usd
 from ..functions.tiers import severity_rank
 from ..schemas import INCIDENTS
@@ -29,59 +29,56 @@ def inline_incidents(
     """
     seconds, cost = F.col("duration_seconds"), F.col("cost_usd")
     daily = F.col("budget_weekly") / F.lit(7.0)
-    slow = limits.baseline_seconds * limits.spike_factor
-    share = pct(cost, daily)
-
-    def finding(kind, hit, severity, metric, threshold, title, description, action):
-        return F.struct(
-            hit.alias("hit"),
-            F.lit(kind).alias("incident_type"),
-            as_col(severity).alias("severity"),
-            title.alias("title"),
-            description.alias("description"),
-            metric.cast("double").alias("metric_value"),
-            threshold.cast("double").alias("threshold_value"),
-            F.lit(action).alias("recommended_action"),
-        )
-
-    findings = F.array(
-        finding(
-            "JOB_FAILURE", F.col("status") == "FAILED", F.lit("HIGH"), seconds, F.lit(None),
+    slow, pricey = F.lit(limits.baseline_seconds * limits.spike_factor), daily * F.lit(limits.cost_share)
+    rules = {
+        "JOB_FAILURE": F.col("status") == "FAILED",
+        "LATENCY_SPIKE": seconds > slow,
+        "COST_OVERRUN": cost > pricey,
+    }
+    # Which rules hit is decided first and cheaply; texts are built only for
+    # the incidents that exist.
+    hits = F.array_compact(F.array(*[F.when(test, F.lit(kind)) for kind, test in rules.items()]))
+    detected = F.col("completed_at") if as_of is None else stamp(as_of)
+    any_hit = F.lit(False)
+    for test in rules.values():
+        any_hit = any_hit | F.coalesce(test, F.lit(False))
+    raised = with_budget(ev, ten).filter(any_hit).withColumn("incident_type", F.explode(hits))
+
+    def by_kind(failure, spike, overrun) -> Column:
+        kind = F.col("incident_type")
+        return F.when(kind == "JOB_FAILURE", failure).when(kind == "LATENCY_SPIKE", spike).otherwise(overrun)
+
+    return raised.select(
+        stable_id(F.col("incident_type"), F.col("tenant_id"), F.col("event_id")).alias("incident_id"),
+        "event_id", "tenant_id", "job_id", "incident_type",
+        by_kind(
+            F.lit("HIGH"), F.lit("MEDIUM"),
+            F.when(cost > daily * F.lit(limits.cost_share_high), "HIGH").otherwise("MEDIUM"),
+        ).alias("severity"),
+        by_kind(
             say("Job failed: ", F.col("job_name")),
+            say("Latency spike: ", F.col("job_name")),
+            say("High-cost job: ", F.col("job_name"), " ($", fixed(cost, 2), ")"),
+        ).alias("title"),
+        by_kind(
             say(F.col("job_id"), " (", F.col("job_type"), ") ended as FAILED after ", seconds,
                 "s on ", F.col("machine_type"), "."),
-            "Read the job log for memory or input-schema errors and check that the "
-            "batch size fits the accelerator.",
-        ),
-        finding(
-            "LATENCY_SPIKE", seconds > F.lit(slow), F.lit("MEDIUM"), seconds, F.lit(slow),
-            say("Latency spike: ", F.col("job_name")),
             say("Took ", seconds, "s (", fixed(seconds / F.lit(3600.0), 1), "h), ",
                 fixed(seconds / F.lit(float(limits.baseline_seconds)), 1), "x the baseline of ",
                 str(limits.baseline_seconds), "s."),
-            "Look for a slow input stage; more replicas or smaller partitions may help.",
-        ),
-        finding(
-            "COST_OVERRUN", cost > daily * F.lit(limits.cost_share),
-            F.when(cost > daily * F.lit(limits.cost_share_high), "HIGH").otherwise("MEDIUM"),
-            cost, daily * F.lit(limits.cost_share),
-            say("High-cost job: ", F.col("job_name"), " ($", fixed(cost, 2), ")"),
-            say("One job used $", fixed(cost, 4), ", ", fixed(share, 1),
+            say("One job used $", fixed(cost, 4), ", ", fixed(pct(cost, daily), 1),
                 "% of the daily budget of ", usd(daily), "."),
-            "Check the accelerator choice; a smaller one may do for test runs.",
-        ),
-    )
-    detected = F.col("completed_at") if as_of is None else stamp(as_of)
-    raised = with_budget(ev, ten).select(
-        "event_id", "tenant_id", "job_id", "started_at",
+        ).alias("description"),
+        by_kind(seconds.cast("double"), seconds.cast("double"), cost).alias("metric_value"),
+        by_kind(F.lit(None).cast("double"), slow, pricey).alias("threshold_value"),
+        by_kind(
+            F.lit("Read the job log for memory or input-schema errors and check that the "
+                  "batch size fits the accelerator."),
+            F.lit("Look for a slow input stage; more replicas or smaller partitions may help."),
+            F.lit("Check the accelerator choice; a smaller one may do for test runs."),
+        ).alias("recommended_action"),
+        F.lit("OPEN").alias("status"),
         detected.alias("detected_at"),
-        F.explode(F.filter(findings, lambda x: x["hit"])).alias("f"),
-    )
-    return raised.select(
-        stable_id(F.col("f.incident_type"), F.col("tenant_id"), F.col("event_id")).alias("incident_id"),
-        "event_id", "tenant_id", "job_id", "f.incident_type", "f.severity", "f.title",
-        "f.description", "f.metric_value", "f.threshold_value", "f.recommended_action",
-        F.lit("OPEN").alias("status"), "detected_at",
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
         F.to_date("started_at").alias("subject_date"),
     )

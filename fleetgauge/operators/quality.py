@@ -144,24 +144,34 @@ def _positions(scanned: DataFrame) -> list[tuple[int, str]]:
     return [(int(c[1:]), c) for c in scanned.columns if c.startswith("v")]
 
 
-def row_reasons(df: DataFrame, as_of: Moment, suite: Sequence[Mapping] = EVENT_SUITE) -> Column:
-    """Array of the reasons why a row fails a row-level check, empty when it passes."""
-    reasons = []
+def _row_tests(
+    df: DataFrame, as_of: Moment, suite: Sequence[Mapping]
+) -> list[tuple[str, Column]]:
+    """(reason, predicate) of every row-level check the columns of ``df`` allow."""
+    label = {NOT_NULL: "null", IN_SET: "not in set", BETWEEN: "out of range"}
+    columns = df.columns
+    tests = []
     for exp in suite:
-        column = exp["kwargs"]["column"]
-        violation = _violation(exp)
-        if violation is not None and column in df.columns:
-            label = {NOT_NULL: "null", IN_SET: "not in set", BETWEEN: "out of range"}
-            reasons.append((f"{column} {label[exp['expectation_type']]}", violation))
-    if "started_at" in df.columns:
-        reasons.append(("started_at in the future", F.col("started_at") > stamp(as_of)))
-    return F.array_compact(F.array(*[F.when(test, F.lit(text)) for text, test in reasons]))
+        column, violation = exp["kwargs"]["column"], _violation(exp)
+        if violation is not None and column in columns:
+            tests.append((f"{column} {label[exp['expectation_type']]}", violation))
+    if "started_at" in columns:
+        tests.append(("started_at in the future", F.col("started_at") > stamp(as_of)))
+    return tests
 
 
 def quarantine(
     df: DataFrame, as_of: Moment, suite: Sequence[Mapping] = EVENT_SUITE
 ) -> tuple[DataFrame, DataFrame]:
-    """``(clean, bad)``: rows that pass, and rows that do not with their ``reasons``."""
-    marked = df.withColumn("reasons", row_reasons(df, as_of, suite))
-    clean = marked.filter(F.size("reasons") == 0).drop("reasons")
-    return clean, marked.filter(F.size("reasons") > 0)
+    """``(clean, bad)``: rows that pass, and rows that do not with an array of ``reasons``.
+
+    Which side a row falls on is a plain predicate, so it reaches the scan;
+    the reasons are spelled out for the bad rows only. Repeated keys are not
+    a property of one row: the insert by key takes care of them.
+    """
+    tests = _row_tests(df, as_of, suite)
+    broken = F.lit(False)
+    for _, test in tests:
+        broken = broken | F.coalesce(test, F.lit(False))
+    spelled = F.array_compact(F.array(*[F.when(test, F.lit(text)) for text, test in tests]))
+    return df.filter(~broken), df.filter(broken).withColumn("reasons", spelled)
