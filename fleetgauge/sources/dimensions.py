@@ -52,7 +52,7 @@ def read_tenants(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
 
 def read_tenant_settings(spark: SparkSession, pattern: str) -> DataFrame:
     """Tenant table from one flat ``key: value`` settings file per tenant."""
-    files = spark.read.option("wholetext", True).text(pattern)
+    files = spark.read.text(pattern, wholetext=True)
     plain = F.regexp_replace("value", r"[ \t]*#[^\n]*", "")
     pairs = F.str_to_map(F.regexp_replace(plain, r":[ \t]*", ":"), F.lit("\n"), F.lit(":"))
     renamed = {"budget_weekly": "budget_threshold_weekly"}
