@@ -114,7 +114,8 @@ def _touched(b: Bound) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read the events table as a stream, drop repeats, keep daily totals, read them back."""
-    source = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A glob, because a streaming source refuses the plain path of a single file.
+    source = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/event[s].parquet")
     b = Bound(spark, sf_dir, events=source)
     delivered = b.raw_job_events.withColumn("started_at", F.col("started_at").cast("timestamp"))
     totals = stream_daily.stream_daily_totals(stream_daily.dedup_stream(delivered, delay="2 days"))

@@ -28,12 +28,36 @@ ANOMALY_COLUMNS = (
 )
 
 
+MAX_FLOORS = 50_000
+BUCKETS_PER_RANK = 8
+
+
 def top_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per key; Spark trims to ``k`` per task before the shuffle."""
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).drop("_n")
 
 
+def highest_per(df: DataFrame, keys: Sequence[str], value: str, tie: str, k: int) -> DataFrame:
+    """The ``k`` rows with the highest ``value`` per key, ties by ``tie``, without sorting all rows.
+
+    Rows fall into ``8 k`` buckets by the hash of ``tie``. The k-th highest of
+    the bucket maxima is a floor: at least k rows reach it, so no row below it
+    can be among the first k. Finding it is one hash aggregation of two
+    columns, and few rows remain to be ranked. The floors are broadcast up to
+    a fixed number of keys; keys beyond that number have no floor and all
+    their rows are ranked.
+    """
+    bucket = F.pmod(F.xxhash64(tie), F.lit(BUCKETS_PER_RANK * k))
+    maxima = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.max(value).alias("_max"))
+    highest = F.sort_array(F.collect_list("_max"), asc=False)
+    floors = maxima.groupBy(*keys).agg(F.get(highest, F.lit(k - 1)).alias("_floor"))
+    floors = floors.filter(F.col("_floor").isNotNull()).limit(MAX_FLOORS)
+    near = df.join(F.broadcast(floors), list(keys), "left")
+    near = near.filter(F.col("_floor").isNull() | (F.col(value) >= F.col("_floor"))).drop("_floor")
+    return top_per(near, keys, [F.col(value).desc_nulls_last(), F.col(tie).asc()], k)
+
+
 def _anomaly(
     df: DataFrame, as_of: Moment, kind: str, subject: Column, *, job_id, severity, title,
     description, metric, threshold, action, keep: Sequence[str] = (),
@@ -79,13 +103,13 @@ def cost_spikes(
     group = ["tenant_id", "job_type", "machine_type"]
     rows = clip(ev, **trailing(as_of, hours=window_hours)).filter(F.col("cost_usd").isNotNull())
     rows = rows.select("event_id", "job_id", "job_name", "cost_usd", *group)
-    costly = [F.col("cost_usd").desc(), F.col("event_id").asc()]
-    highest = top_per(rows, group, costly, limits.top_spikes)
+    highest = highest_per(rows, group, "cost_usd", "event_id", limits.top_spikes)
     scored = highest.join(cost_baseline(ev, as_of, limits), group).withColumn(
         "z", F.try_divide(F.col("cost_usd") - F.col("mean_cost"), F.col("std_cost"))
     )
     flagged = scored.filter(F.col("z") > limits.z_flag)
-    flagged = top_per(flagged, ["tenant_id"], [F.col("z").desc(), *costly], limits.top_spikes)
+    order = [F.col("z").desc(), F.col("cost_usd").desc(), F.col("event_id").asc()]
+    flagged = top_per(flagged, ["tenant_id"], order, limits.top_spikes)
     flagged = flagged.withColumn("z_score", rnd("z", 4))
     return _anomaly(
         flagged, as_of, "COST_SPIKE", F.col("event_id"),
@@ -131,8 +155,7 @@ def duration_outliers(
     rows = rows.filter(F.col("duration_seconds").isNotNull()).select(
         "event_id", "tenant_id", "job_id", "job_name", "job_type", "duration_seconds"
     )
-    order = [F.col("duration_seconds").desc(), F.col("event_id").asc()]
-    longest = top_per(rows, ["tenant_id"], order, limits.top_outliers)
+    longest = highest_per(rows, ["tenant_id"], "duration_seconds", "event_id", limits.top_outliers)
     seconds, fence = F.col("duration_seconds"), F.col("fence")
     flagged = longest.join(duration_fence(ev, as_of, limits, approx), "tenant_id")
     flagged = flagged.filter(seconds > fence)

@@ -11,7 +11,7 @@ from ..functions.clock import Moment, clip, day_start, moment, today, week_start
 from ..functions.numeric import from_units, hours, pct, rnd
 from ..functions.quantiles import summarize
 from ..functions.tiers import budget_label
-from ..operators.detect import top_per
+from ..operators.detect import highest_per
 from ..sources.dimensions import with_budget
 from ..sources.events import scan_events
 from .measures import amounts, counts, total
@@ -92,11 +92,10 @@ def top_expensive_jobs(ev: DataFrame, since, tenant: str | None = None, k: int =
         "event_id", "tenant_id", "job_name", "job_type", "machine_type", "cost_usd",
         "duration_seconds", "status", "started_at",
     )
-    order = [F.col("cost_usd").desc_nulls_last(), F.col("event_id").asc()]
     if tenant is not None:
-        best = rows.orderBy(*order).limit(k)
+        best = rows.orderBy(F.col("cost_usd").desc_nulls_last(), F.col("event_id").asc()).limit(k)
     else:
-        best = top_per(rows, ["tenant_id"], order, k)
+        best = highest_per(rows, ["tenant_id"], "cost_usd", "event_id", k)
     return best.select(
         "tenant_id", "event_id", "job_name", "job_type", "machine_type",
         rnd("cost_usd", 4).alias("cost_usd"),

@@ -193,3 +193,23 @@ def test_shapes_do_not_depend_on_row_order(spark):
     a = by(detect.cost_spikes(events(spark, rows), AS_OF).collect(), "event_id")
     b = by(detect.cost_spikes(events(spark, rows[::-1]).repartition(3), AS_OF).collect(), "event_id")
     assert {k: v.metric_value for k, v in a.items()} == {k: v.metric_value for k, v in b.items()}
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_highest_per_equals_a_full_ranking(spark, k):
+    rng = random.Random(k)
+    rows = [(rng.choice("aaaab"), f"id{i}", rng.choice([None, 1.0, 2.0, float(i % 90)])) for i in range(900)]
+    rows += [("few", "f1", None), ("few", "f2", 1.0)]
+    df = spark.createDataFrame(rows, "t string, id string, v double").repartition(4)
+    got = detect.highest_per(df, ["t"], "v", "id", k)
+    from pyspark.sql import functions as F
+
+    want = detect.top_per(df, ["t"], [F.col("v").desc_nulls_last(), F.col("id").asc()], k)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_highest_per_without_floors_still_ranks_everything(spark, monkeypatch):
+    monkeypatch.setattr(detect, "MAX_FLOORS", 1)
+    df = spark.createDataFrame([(t, f"{t}{i}", float(i)) for t in "abc" for i in range(200)], "t string, id string, v double")
+    got = detect.highest_per(df, ["t"], "v", "id", 2)
+    assert sorted(r.id for r in got.collect()) == ["a198", "a199", "b198", "b199", "c198", "c199"]
