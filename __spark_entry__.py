@@ -258,7 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every dataset by name; each takes (spark, folder of driver tables)."""
 
     def bind(build: Callable[[Bound], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: build(Bound(spark, sf_dir))
+        return lambda spark, sf_dir: build(Bound.over(spark, sf_dir))
 
     return {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream}
 

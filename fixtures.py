@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -141,6 +142,12 @@ class Bound:
             events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
         self._frames: dict[str, DataFrame] = {"events": events}
 
+    @classmethod
+    @lru_cache(maxsize=8)
+    def over(cls, spark: SparkSession, sf_dir: str) -> "Bound":
+        """The views of a folder, planned once per session (plans only, no data is kept)."""
+        return cls(spark, sf_dir)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self._frames:
             text = VIEWS[name]

@@ -13,7 +13,7 @@ from ..schemas import DAILY_METRICS
 from ..settings import HealthLimits
 from ..sources.dimensions import with_budget
 from ..sources.events import read_table
-from ..sources.sinks import drop_slices, overwrite_slices, touched_days
+from ..sources.sinks import drop_slices, overwrite_slices, pinned, touched_days
 from .measures import amounts, counts, known, total
 
 
@@ -35,8 +35,7 @@ def daily_metrics(
         ev = ev.withColumn("event_date", F.to_date("started_at"))
     ev = ev.filter(F.col("started_at").isNotNull())
     if slices is not None:
-        ev = ev.join(slices.select("event_date", "tenant_id").distinct(),
-                     ["event_date", "tenant_id"], "left_semi")
+        ev = ev.join(slices.select("event_date", "tenant_id"), ["event_date", "tenant_id"], "left_semi")
     rows = ev.withColumn("metric_date", F.col("event_date"))
     grouped = summarize(
         rows,
@@ -78,7 +77,7 @@ def refresh_daily_metrics(
     Only the listed days of the event table are read. A slice that has no
     event left is removed.
     """
-    slices = slices.filter(F.col("event_date").isNotNull()).distinct()
+    slices = pinned(slices.filter(F.col("event_date").isNotNull()).distinct())
     ev = read_table(spark, root, "job_events").filter(touched_days(slices, "event_date"))
     result = daily_metrics(ev, ten, as_of, slices=slices, **options)
     overwrite_slices(result, root, "daily_metrics")

@@ -8,8 +8,12 @@ threshold falls back to a shuffled join by itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RATE_CARD, TENANTS
 from ..settings import DEFAULT_WEEKLY_BUDGET
@@ -34,12 +38,23 @@ DEFAULT_RATES = (
 )
 
 
-def tenant_table(spark: SparkSession, rows=DEFAULT_TENANTS) -> DataFrame:
-    return spark.createDataFrame(list(rows), TENANTS)
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A few rows as a literal table, whose size Catalyst knows.
+
+    A DataFrame made from a Python list counts as unboundedly large and would
+    never be broadcast; one made from an Arrow table is a local relation.
+    """
+    columns = list(zip(*rows)) or [()] * len(schema)
+    table = pa.table({name: list(column) for name, column in zip(schema.names, columns)})
+    return spark.createDataFrame(table, schema)
+
+
+def tenant_table(spark: SparkSession, rows: Iterable[Sequence] = DEFAULT_TENANTS) -> DataFrame:
+    return literal_table(spark, rows, TENANTS)
 
 
-def rate_card(spark: SparkSession, rows=DEFAULT_RATES) -> DataFrame:
-    return spark.createDataFrame(list(rows), RATE_CARD)
+def rate_card(spark: SparkSession, rows: Iterable[Sequence] = DEFAULT_RATES) -> DataFrame:
+    return literal_table(spark, rows, RATE_CARD)
 
 
 def read_tenants(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

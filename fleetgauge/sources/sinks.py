@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARTITIONS
 from ..settings import INCIDENT_TOPIC
+from .dimensions import literal_table
 from .events import read_table, table_exists
 
 MAX_LISTED_SLICES = 1000
@@ -56,26 +57,28 @@ def touched_days(batch: DataFrame, column: str, limit: int = MAX_LISTED_SLICES)
     return test
 
 
+def pinned(slices: DataFrame, limit: int = MAX_LISTED_SLICES) -> DataFrame:
+    """The slices as a literal table when there are at most ``limit``, else unchanged.
+
+    Catalyst knows the size of a literal table, so a semi-join with it becomes
+    a broadcast and the large side is not shuffled by slice.
+    """
+    rows = slices.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return slices
+    return literal_table(slices.sparkSession, rows, slices.schema)
+
+
 def new_rows(
-    batch: DataFrame,
-    target: DataFrame | None,
-    key: str,
-    order: Sequence[Column] = (),
-    within: Sequence[str] = (),
+    batch: DataFrame, target: DataFrame | None, key: str, order: Sequence[Column] = ()
 ) -> DataFrame:
     """Rows of ``batch`` whose key is neither repeated in it nor present in ``target``.
 
-    ``within`` adds slice columns to the comparison (NULL equals NULL), for
-    keys whose copies always carry the same slice.
+    The batch is already distributed by key when it meets the target, so only
+    the key column of the target moves for the comparison.
     """
     first = first_per_key(batch, key, order)
-    if target is None:
-        return first
-    known = target.select(*[F.col(c).alias(f"_{c}") for c in (key, *within)])
-    same = F.col(key) == F.col(f"_{key}")
-    for c in within:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return first.join(known, same, "left_anti")
+    return first if target is None else first.join(target.select(key), key, "left_anti")
 
 
 def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> None:
@@ -101,13 +104,10 @@ def append_new(
     for senders that may reuse an id with another start time.
     """
     path, partitions = f"{root}/{table}", PARTITIONS[table]
-    target, within = None, ()
-    if table_exists(spark, path):
-        target = read_table(spark, root, table)
-        if not whole_table:
-            target = target.filter(touched_days(batch, partitions[0]))
-            within = partitions
-    _write(new_rows(batch, target, key, order, within), path, partitions, "append")
+    target = read_table(spark, root, table) if table_exists(spark, path) else None
+    if target is not None and not whole_table:
+        target = target.filter(touched_days(batch, partitions[0]))
+    _write(new_rows(batch, target, key, order), path, partitions, "append")
 
 
 def overwrite_slices(df: DataFrame, root: str, table: str) -> None:

@@ -49,3 +49,20 @@ def test_one_scan_per_dataset(plans):
     for name in single:
         unions = 2 if name == "dq_checks" else 1  # its input is itself a union of two reads
         assert plans[name].count("FileScan parquet") == unions, name
+
+
+def test_dimensions_are_broadcast_by_size(spark, tenants, rates):
+    from conftest import event, events
+
+    from fleetgauge.operators.costs import with_costs
+    from fleetgauge.sources.dimensions import with_budget
+
+    ev = events(spark, [event(1)])
+    for df in (with_costs(ev, rates), with_budget(ev, tenants)):
+        assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:  # too large for the threshold: a shuffled join, not a failure
+        big = with_budget(ev, tenants)
+        assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString() and big.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

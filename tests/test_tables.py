@@ -17,6 +17,7 @@ from fleetgauge.sources.sinks import (
     drop_slices,
     export_csv,
     overwrite_slices,
+    pinned,
     to_payload,
     touched_slices,
 )
@@ -29,7 +30,8 @@ def test_declared_shapes():
 
 def test_insert_twice_is_insert_once(spark, tmp_path):
     root = str(tmp_path)
-    batch = as_stored(events(spark, [event(i, minutes_ago=600 * i) for i in range(1, 6)] + [event(1, 600)]))
+    rows = [event(i, minutes_ago=600 * i) for i in range(1, 5)] + [event(5, started_at=None), event(1, 600)]
+    batch = as_stored(events(spark, rows))
     append_new(spark, batch, root, "job_events", "event_id")
     append_new(spark, batch, root, "job_events", "event_id")
     more = as_stored(events(spark, [event(1, 600), event(9)]))
@@ -74,6 +76,14 @@ def test_slices_are_replaced_and_others_kept(spark, tenants, tmp_path):
     assert got.agg(F.sum("total_jobs"), F.sum("failed_jobs")).first()[:] == (4, 1)
 
 
+def test_refresh_broadcasts_the_slices(spark, tenants, tmp_path):
+    ev = as_stored(events(spark, [event(1, 10), event(2, 2000)]))
+    listed = pinned(touched_slices(ev))
+    plan = daily_metrics(ev, tenants, AS_OF, slices=listed)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert listed.count() == 2 and pinned(touched_slices(ev), limit=1).count() == 2
+
+
 def test_slice_without_events_is_removed(spark, tenants, tmp_path):
     root = str(tmp_path)
     ev = as_stored(events(spark, [event(1, 10), event(2, 2000)]))
