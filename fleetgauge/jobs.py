@@ -18,6 +18,7 @@ from .plans.digest import digest_rows
 from .plans.metrics import refresh_daily_metrics
 from .plans.operations import ingest_window_incident
 from .schemas import STORED
+from .sources.dimensions import literal_table
 from .sources.events import read_table, table_exists
 from .sources.sinks import append_new
 
@@ -36,11 +37,18 @@ def _stored_incidents(spark: SparkSession, root: str) -> DataFrame:
 def run_health(spark: SparkSession, root: str, ten: DataFrame, as_of: Moment, **limits) -> DataFrame:
     """Check health, look for anomalies, store both as incidents; returns the run summary."""
     ev = read_table(spark, root, "job_events")
-    checks = health_checks(ev, ten, as_of, **limits)
-    anomalies = all_anomalies(ev, as_of)
-    _incidents(spark, root, checks_to_incidents(checks, as_of))
-    _incidents(spark, root, anomalies_to_incidents(anomalies, as_of))
-    return health_run_summary(checks, anomalies)
+    # A few rows per tenant each; kept so that storing and counting them does
+    # not read the events again.
+    checks = health_checks(ev, ten, as_of, **limits).persist()
+    anomalies = all_anomalies(ev, as_of).persist()
+    try:
+        _incidents(spark, root, checks_to_incidents(checks, as_of))
+        _incidents(spark, root, anomalies_to_incidents(anomalies, as_of))
+        summary = health_run_summary(checks, anomalies)
+        return literal_table(spark, summary.collect(), summary.schema)
+    finally:
+        checks.unpersist()
+        anomalies.unpersist()
 
 
 def critical_incidents(spark: SparkSession, root: str, as_of: Moment) -> DataFrame:

@@ -290,16 +290,17 @@ def all_anomalies(
 def rolling_duration_baseline(ev: DataFrame, days: int = 7) -> DataFrame:
     """Mean duration over the ``days`` before each second, per tenant and job type.
 
-    The frame is ``[t - days, t - 1 s]``. A range window over events would
-    sort a whole tenant in one task and re-add the frame for every row. Here
-    events are first added up per second; sums then run inside one day, which
-    holds at most 86,400 seconds however many events there are. The frame sum
-    is: this day so far, plus the full days before it, minus the head of the
-    oldest day. That head is read off by probe rows, one per second, placed
-    at ``t - days`` among the rows of the oldest day.
+    The frame ``[t - days, t - 1 s]`` is the difference of two running sums,
+    the one before ``t`` and the one before ``t - days``. A range window over
+    events would sort a whole tenant in one task and re-add the frame for
+    every row. Here events are first added up per second, and a running sum
+    has two parts: the days before (one row per day) and the seconds before
+    within the day, of which there are at most 86,400 however many events
+    there are. Each second brings a second row, a probe at ``t - days`` that
+    adds nothing and reads the earlier running sum.
     """
-    span = days * 86400
     keys = ["tenant_id", "job_type"]
+    zero = F.lit(0).cast("bigint")
     seconds = (
         ev.filter(F.col("duration_seconds").isNotNull() & F.col("started_at").isNotNull())
         .groupBy(*keys, epoch_seconds("started_at").alias("sec"))
@@ -309,49 +310,38 @@ def rolling_duration_baseline(ev: DataFrame, days: int = 7) -> DataFrame:
             F.max("duration_seconds").alias("longest"),
         )
     )
-    day = F.expr("sec div 86400")
-    per_day = seconds.groupBy(*keys, day.alias("day")).agg(
-        F.sum("n").alias("day_n"), F.sum("total").alias("day_total")
+    both = F.array(
+        F.struct(F.col("sec").alias("at"), F.lit(1).alias("sign"), F.col("n").alias("n"),
+                 F.col("total").alias("total")),
+        F.struct((F.col("sec") - F.lit(days * 86400)).alias("at"), F.lit(-1).alias("sign"),
+                 zero.alias("n"), zero.alias("total")),
     )
-    # Every day that has rows gets the sums of the `days` days before it.
-    before = W.partitionBy(*keys).orderBy("day").rangeBetween(-days, -1)
-    full_days = per_day.select(
-        *keys, "day",
-        F.coalesce(F.sum("day_n").over(before), F.lit(0)).alias("full_n"),
-        F.coalesce(F.sum("day_total").over(before), F.lit(0)).alias("full_total"),
-    )
-    own = seconds.select(
-        *keys, "sec", F.col("sec").alias("at"), F.lit(1).alias("is_own"), "n", "total", "longest"
-    )
-    probes = seconds.select(
-        *keys, "sec", (F.col("sec") - span).alias("at"), F.lit(0).alias("is_own"),
-        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("total"),
-        F.lit(None).cast("int").alias("longest"),
-    )
-    # Sums over the rows strictly earlier in the same day; a probe sorts ahead
-    # of the second it falls on, so that second stays inside the frame.
-    head = (
-        W.partitionBy(*keys, "at_day").orderBy("at", "is_own").rowsBetween(W.unboundedPreceding, -1)
+    swept = seconds.select(*keys, "sec", "longest", F.inline(both))
+    swept = swept.withColumn("day", F.expr("at div 86400"))
+    # Strictly earlier rows of the day; a probe (sign -1) sorts ahead of the
+    # second it falls on, so that second stays inside the frame.
+    earlier = W.partitionBy(*keys, "day").orderBy("at", "sign").rowsBetween(W.unboundedPreceding, -1)
+    within = swept.select(
+        *keys, "day", "sec", "sign", "longest",
+        F.coalesce(F.sum("n").over(earlier), zero).alias("n_within"),
+        F.coalesce(F.sum("total").over(earlier), zero).alias("total_within"),
     )
-    swept = own.unionByName(probes).withColumn("at_day", F.expr("at div 86400"))
-    swept = swept.withColumns(
-        {
-            "head_n": F.coalesce(F.sum("n").over(head), F.lit(0)),
-            "head_total": F.coalesce(F.sum("total").over(head), F.lit(0)),
-        }
+    per_day = swept.groupBy(*keys, "day").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    before = W.partitionBy(*keys).orderBy("day").rowsBetween(W.unboundedPreceding, -1)
+    days_before = per_day.select(
+        *keys, "day",
+        F.coalesce(F.sum("n").over(before), zero).alias("n_before"),
+        F.coalesce(F.sum("total").over(before), zero).alias("total_before"),
     )
-    sign = F.when(F.col("is_own") == 1, F.lit(1)).otherwise(F.lit(-1))
-    partial = swept.groupBy(*keys, "sec").agg(
-        F.sum(sign * F.col("head_n")).alias("part_n"),
-        F.sum(sign * F.col("head_total")).alias("part_total"),
+    running = within.join(days_before, [*keys, "day"])
+    frames = running.groupBy(*keys, "sec").agg(
+        F.sum(F.col("sign") * (F.col("n_before") + F.col("n_within"))).alias("baseline_jobs"),
+        F.sum(F.col("sign") * (F.col("total_before") + F.col("total_within"))).alias("_total"),
         F.max("longest").alias("longest"),
     )
-    joined = partial.withColumn("day", day).join(full_days, [*keys, "day"])
-    total, count = F.col("part_total") + F.col("full_total"), F.col("part_n") + F.col("full_n")
-    return joined.select(
-        *keys, "sec", "longest",
-        count.alias("baseline_jobs"),
-        ratio(total, count).alias("baseline_seconds"),
+    return frames.select(
+        *keys, "sec", "longest", "baseline_jobs",
+        ratio("_total", "baseline_jobs").alias("baseline_seconds"),
     )
 
 

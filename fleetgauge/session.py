@@ -7,8 +7,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# What a job should run with. Shuffle counts are left to AQE: the initial
-# number is only an upper bound that AQE coalesces.
+# What a job should run with. Sizes come from cluster_conf.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +25,21 @@ STREAM_STATE = {
 }
 
 
+def cluster_conf(scan_tb: float, shuffle_gb: float) -> dict[str, str]:
+    """Partition sizes for a run that reads ``scan_tb`` and shuffles at most ``shuffle_gb``.
+
+    AQE merges shuffle partitions but never splits below their first number,
+    so that number has to fit the largest shuffle; 256 MB per task leaves room
+    for its sort or hash table. Above a few terabytes scans take larger splits,
+    which keeps the number of tasks the driver tracks in the hundred thousands.
+    """
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, int(shuffle_gb * 4))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "512m" if scan_tb > 10 else "128m",
+    }
+
+
 def build_session(app: str = "fleetgauge", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -53,8 +53,9 @@ def make_batch_writer(
             events = as_stored(apply_defaults(events, now))
             append_new(spark, events, root, "job_events", "event_id", whole_table=whole_table)
             rejects = rejected_lines(parsed).withColumn("batch_id", F.lit(batch_id))
-            # One folder per batch id: a replay overwrites what it wrote before.
-            rejects.write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
+            # One folder per batch id that has any: a replay overwrites its own.
+            if not rejects.isEmpty():
+                rejects.write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
             found = as_stored_incidents(inline_incidents(events, ten, limits, as_of=now))
             append_new(spark, found, root, "incidents", "incident_id", whole_table=whole_table)
             refresh_daily_metrics(

@@ -135,3 +135,18 @@ def test_approximate_percentiles_are_close(spark):
     df = spark.range(100000).select(F.lit("k").alias("k"), F.col("id").cast("int").alias("v"))
     q = summarize(df, ["k"], {}, value="v", at=(0.5, 0.95), approx=True).first().q
     assert q[0] == pytest.approx(50000, abs=50) and q[1] == pytest.approx(95000, abs=50)
+
+
+def test_cluster_conf_scales_with_the_shuffle():
+    from fleetgauge.session import cluster_conf
+
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert cluster_conf(0.1, 1)[first] == "200" and cluster_conf(100, 10000)[first] == "40000"
+
+
+def test_work_dir_is_under_the_shared_folder(spark, monkeypatch):
+    from fleetgauge.session import work_dir
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = work_dir(spark, "x"), work_dir(spark, "x")
+    assert first != second and (shared is None or first.startswith(shared.rstrip("/") + "/x-"))
