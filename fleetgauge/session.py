@@ -35,6 +35,7 @@ def cluster_conf(scan_tb: float, shuffle_gb: float) -> dict[str, str]:
     """
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, int(shuffle_gb * 4))),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.files.maxPartitionBytes": "512m" if scan_tb > 10 else "128m",
     }

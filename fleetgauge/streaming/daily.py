@@ -14,14 +14,24 @@ from ..operators.detect import top_per
 KEYS = ("metric_date", "tenant_id", "job_type")
 
 
-def dedup_stream(events: DataFrame, key: str = "event_id", delay: str = "1 hour") -> DataFrame:
+def dedup_stream(
+    events: DataFrame, key: str = "event_id", delay: str = "1 hour", lanes: int = 256
+) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of each other.
 
     The watermark bounds the state. Rows without a start time cannot be placed
     and are left to the table side; later repeats are caught there by key.
+    A stream cannot combine before its shuffle, so all copies of one key would
+    meet in one task. They are first dropped per (key, input lane), which
+    spreads them over ``lanes`` tasks and leaves at most one per lane for the
+    final step. ``lanes=1`` saves that step's state where copies are rare.
     """
-    placed = events.filter(F.col("started_at").isNotNull())
-    return placed.withWatermark("started_at", delay).dropDuplicatesWithinWatermark([key])
+    placed = events.filter(F.col("started_at").isNotNull()).withWatermark("started_at", delay)
+    if lanes > 1:
+        lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
+        placed = placed.withColumn("_lane", lane).dropDuplicatesWithinWatermark([key, "_lane"])
+        placed = placed.drop("_lane")
+    return placed.dropDuplicatesWithinWatermark([key])
 
 
 def stream_daily_totals(events: DataFrame) -> DataFrame:

@@ -109,9 +109,10 @@ def test_one_tenant_only(spark, tenants, tmp_path, topic):
     assert {r.tenant_id for r in read_table(spark, root, "job_events").collect()} == {"client_acme"}
 
 
-def test_daily_totals_over_several_batches(spark, tmp_path, topic):
+@pytest.mark.parametrize("lanes", [1, 256])
+def test_daily_totals_over_several_batches(spark, tmp_path, topic, lanes):
     parsed = parse_lines(read_lines_stream(spark, topic, files_per_trigger=1)).filter("event_id IS NOT NULL")
-    totals = stream_daily_totals(dedup_stream(parsed, delay="30 days"))
+    totals = stream_daily_totals(dedup_stream(parsed, delay="30 days", lanes=lanes))
     out = str(tmp_path / "daily")
     start_daily_totals(totals, out, str(tmp_path / "cp")).awaitTermination()
     got = latest_totals(spark.read.parquet(out))
