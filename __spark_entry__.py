@@ -30,6 +30,15 @@ from fleetgauge.sources.sinks import new_rows, to_payload, touched_slices  # noq
 from fleetgauge.streaming import daily as stream_daily  # noqa: E402
 from oracles import oracle_sql as _oracle_sql  # noqa: E402
 
+try:  # the training-data operators may be absent; everything else works without them
+    from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
+    from corpus_pipeline import run as _pipeline
+    from fleetgauge.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "fleetgauge.llm"):
+        raise
+    _llm = None
+
 ROW = ("event_id", "tenant_id", "job_type", "status", "started_at", "cost_usd")
 CHECK = ("tenant_id", "check_name", "passed", "severity", "metric", "threshold")
 FOUND = ("tenant_id", "job_id", "anomaly_type", "severity", "metric_value", "threshold_value")
@@ -260,8 +269,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Bound], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Bound.over(spark, sf_dir))
 
-    return {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream}
+    own = {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream}
+    return own if _llm is None else {**own, **_llm.queries(), "pipeline": _pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    own = _oracle_sql()
+    if _llm is not None:
+        own |= _llm.oracle_sql()
+        if _PIPELINE_SQL is not None:
+            own["pipeline"] = _PIPELINE_SQL
+    return own
