@@ -34,7 +34,7 @@ try:  # the training-data operators may be absent; everything else works without
     from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
     from corpus_pipeline import run as _pipeline
     from fleetgauge.llm import queries as _llm
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("corpus_pipeline", "fleetgauge.llm"):
         raise
     _llm = None
