@@ -213,4 +213,5 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     one_id = nodes.join(one_id.drop("z"), "doc_id").select(F.col("node").alias("a"), "b")
     final = cut(components(links.unionByName(more).unionByName(one_id), "a", "b"))
     out = digest.select("doc_id", F.col("n").alias("n_shingles"), "node").join(final, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
+    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    return out.select("doc_id", "n_shingles", label.alias("component_id"))
