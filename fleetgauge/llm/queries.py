@@ -4,21 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgauge.llm.ngram_join import near_duplicates
+from fleetgauge.llm import bpe, language, lines, mixing, ngram_join
+
+#: Vocabulary of the encoding query.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(_table(spark, sf_dir, "documents"))
+
+
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(language.document_rows(_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_ngram_jaccard_join": _op7}
+    return {
+        "op5_line_dedup": _op5,
+        "op6_bpe": _op6,
+        "op7_ngram_jaccard_join": _op7,
+        "op8_mixing": _op8,
+        "op9_language_id": _op9,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
