@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.shared import column, cut, maybe_in, rows_of_shared_keys, slices, total
-from fleetgauge.llm.shingles import fingerprints, mix, raw, shingle_sets, sketches, starts_of
+from fleetgauge.llm.shared import column, cut, dealt_out, maybe_in, rows_of_shared_keys, slices, total
+from fleetgauge.llm.shingles import fingerprints, grouped, mix, raw, shingle_sets, shingles, sketches, starts_of
 
 #: Similarity in hundredths.
 SIMILAR = 75
@@ -44,8 +44,8 @@ _SKETCH = [f"k{i}" for i in range(FOLD)]
 _PLACE = "struct<doc_id:bigint,mark:bigint,line:int>"
 
 
-def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row of the batch, line number) of each line, then (line, hash) of the sorted distinct shingles."""
+def _starts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the batch, line number) of each line, the bytes of all, and where each line begins."""
     data, at = raw(column(batch, "text"))
     breaks = np.flatnonzero(data == 10) + 1
     starts = np.concatenate([breaks, at[:-1]])
@@ -54,8 +54,13 @@ def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     starts, of_doc = starts[order], of_doc[order]
     row = np.cumsum(of_doc) - 1
     number = np.arange(len(row)) - np.flatnonzero(of_doc)[row] if len(row) else row
-    segment, value = shingle_sets(data, np.append(starts, len(data)))
-    return row, number, segment, value
+    return row, number, data, np.append(starts, len(data))
+
+
+def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of the batch, line number) of each line, then (line, hash) of the distinct shingles by line."""
+    row, number, data, starts = _starts(batch)
+    return row, number, *shingle_sets(data, starts)
 
 
 def _slot(value: np.ndarray) -> np.ndarray:
@@ -65,17 +70,18 @@ def _slot(value: np.ndarray) -> np.ndarray:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = np.zeros(SLOTS, np.int64)
     for batch in slices(batches, "text"):
-        table += np.bincount(_slot(_lines(batch)[3]), minlength=SLOTS)
+        _, _, data, starts = _starts(batch)
+        table += np.bincount(_slot(shingles(data, starts)[1]), minlength=SLOTS)
     used = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(table[used])], ["slot", "n"])
 
 
 def _rarity(docs: DataFrame) -> np.ndarray:
-    """Count of each slot over all lines: SLOTS rows at most come to the driver."""
+    """Rank of each slot by its count over all lines: SLOTS rows at most come to the driver."""
     rows = docs.mapInArrow(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(SLOTS, np.int64)
     table[np.asarray(rows.column("slot"))] = np.asarray(rows.column("n"))
-    return table
+    return (np.log2(table + 1.0) * 1000).astype(np.uint16)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +103,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefixes(table) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(token, class, size, place in the order) of each prefix token of each class new to the task."""
+        """(token, class, place in the order) of each prefix token of each class new to the task."""
         seen: dict[int, None] = {}
         for batch in slices(batches, "text"):
             row, _, segment, value = _lines(batch)
@@ -113,15 +119,16 @@ def _prefixes(table) -> object:
                 del seen[next(iter(seen))]
             mine = new[segment]
             line, v = segment[mine], value[mine]
-            order = np.lexsort((v, table.value[_slot(v)], line))
+            order = grouped(line, v, table.value[_slot(v)])
             line, v = line[order], v[order]
-            first = np.searchsorted(line, line)  # the lines are sorted
-            place = np.arange(len(line)) - first
+            place = np.arange(len(line)) - starts_of(line, len(row))[line]
             keep = place < (n - -(-SIMILAR * n // 100) + 1)[line]
             line, v, place = line[keep], v[keep], place[keep]
-            values = (v.view(np.int64), f1[line], n[line].astype(np.int32), place.astype(np.int32))
+            part, sure = dealt_out(v, f1[line], mix)
+            values = (v.view(np.int64), f1[line], place.astype(np.int32), part.view(np.int64), sure)
             for lo in range(0, len(line), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + (1 << 17)]) for x in values], ["key", "f1", "n", "i"])
+                own = slice(lo, lo + (1 << 17))
+                yield pa.RecordBatch.from_arrays([pa.array(x[own]) for x in values], ["key", "f1", "i", "part", "sure"])
 
     return run
 
@@ -168,9 +175,9 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     shape = [F.first(c).alias(c) for c in ("n", *_SKETCH)]
     classes = cut(lines.groupBy("f1", "f2").agg(F.min(place).alias("place"), *shape))
 
-    rows = docs.mapInArrow(_prefixes(table), "key long, f1 long, n int, i int")
-    rows = rows_of_shared_keys(rows, "key", "f1").distinct()
-    rows = cut(rows.drop("n").join(classes.drop("f2"), "f1"))
+    rows = docs.mapInArrow(_prefixes(table), "key long, f1 long, i int, part long, sure boolean")
+    rows = cut(rows_of_shared_keys(rows))
+    rows = cut(rows.distinct().join(classes.drop("f2"), "f1"))
     first = rows.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("high")).filter("low < high")
     rows = cut(rows.join(first.drop("high"), "key"))
 

@@ -18,8 +18,8 @@ may. Where too many blocks are empty, the document is dealt out once more by ano
 is found at the first hash at which either document has few empty blocks. After the last hash, the
 empty blocks are kept as well, so the join stays exact.
 
-Rows of equal sets are one node, by two 64-bit hashes of the set; rows with the same doc_id are
-linked. A null or empty text, or one without words, has an
+Equal sets are linked outright, by two 64-bit hashes of the set. Rows with the same doc_id count as
+one document, with the links of each. A null or empty text, or one without words, has an
 empty set and no link. A null doc_id keeps its row, without links. Other columns are ignored.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.shared import column, components, cut, maybe_in, rows_of_shared_keys, slices, total
+from fleetgauge.llm.shared import column, components, cut, dealt_out, maybe_in, rows_of_shared_keys, slices, total
 from fleetgauge.llm.shingles import fingerprints, folded, mix, raw, shingle_sets, sketches, starts_of
 
 #: Similarity in hundredths: 100 * intersection >= SIMILAR * union.
@@ -46,6 +46,10 @@ HOT = 64
 SEEN = 1 << 16
 #: Hashes by which a document is dealt out at most.
 DEALS = 8
+#: Low bits of a block's key that hold its group and hash.
+LOW = 10
+#: First partners are looked for in one of so many blocks, and in all blocks of sets below that size.
+SOME, SMALL = 8, 100
 _SKETCH = [f"k{i}" for i in range(FOLD)]
 
 
@@ -84,8 +88,21 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), *values], ["doc_id", "n", "f1", "f2", *_SKETCH])
 
 
+def _dealings(segment: np.ndarray, value: np.ndarray, take: np.ndarray, sizes: np.ndarray):
+    """For both groups of each document taken, hash by hash: what _dealt() gives, and the group's number."""
+    own = np.searchsorted(_BANDS, sizes, side="right") - 1
+    for band in (own, own - 1):
+        blocks, spare = needed_blocks(np.maximum(band, 0))
+        left = take & (band >= 0)
+        for deal in range(DEALS):
+            if left.any():
+                key, doc, may, left = _dealt(segment, value, left, band, blocks, spare, deal, deal == DEALS - 1)
+                grp = band[doc] * DEALS + deal
+                yield (key >> np.uint64(LOW) << np.uint64(LOW)) + grp.astype(np.uint64), doc, may, grp
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, doc_id, grp, spare) for each block with bits; spare: hot blocks it may still leave out."""
+    """(key, doc_id) for each block with bits; sets that the task has seen lately are left out."""
     seen: OrderedDict[tuple[int, int], None] = OrderedDict()
     for batch in slices(batches, "text"):
         data, at = raw(column(batch, "text"))
@@ -100,27 +117,34 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(seen) > SEEN:
                     seen.popitem(last=False)
         ids = np.asarray(column(batch, "doc_id"))
-        own = np.searchsorted(_BANDS, sizes, side="right") - 1
-        for band in (own, own - 1):
-            blocks, spare = needed_blocks(np.maximum(band, 0))
-            left = new & (band >= 0)
-            for deal in range(DEALS):
-                if left.any():
-                    last = deal == DEALS - 1
-                    key, doc, may, left = _dealt(segment, value, left, band, blocks, spare, deal, last)
-                    grp = (band[doc] * DEALS + deal).astype(np.int16)
-                    for lo in range(0, len(doc), 1 << 17):
-                        part = slice(lo, lo + (1 << 17))
-                        values = (key[part].view(np.int64), ids[doc[part]], grp[part], may[doc[part]].astype(np.int32))
-                        yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["key", "doc_id", "grp", "spare"])
+        for key, doc, _, _ in _dealings(segment, value, new, sizes):
+            part, sure = dealt_out(key, ids[doc], mix)
+            for lo in range(0, len(doc), 1 << 17):
+                own = slice(lo, lo + (1 << 17))
+                values = (key[own].view(np.int64), ids[doc[own]], part[own].view(np.int64), sure[own])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["key", "doc_id", "part", "sure"])
+
+
+def _spares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, grp, spare): shared blocks that a document may leave out of a group."""
+    for batch in slices(batches, "text"):
+        data, at = raw(column(batch, "text"))
+        segment, value = shingle_sets(data, at)
+        sizes = np.diff(starts_of(segment, batch.num_rows))
+        ids = np.asarray(column(batch, "doc_id"))
+        for _, doc, may, grp in _dealings(segment, value, sizes > 0, sizes):
+            doc, first = np.unique(doc, return_index=True)
+            grp = grp[first]
+            values = (ids[doc], grp.astype(np.int32), may[doc].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["doc_id", "grp", "spare"])
 
 
 def _dealt(segment, value, take, band, blocks, spare, deal: int, last: bool):
-    """(key, document) of each block with bits; hot blocks each may leave out; who has too many empty ones."""
+    """(key, document) of each block with bits; by document, the shared blocks it may leave out and whether too many were empty."""
     mine = take[segment]
     doc, v = segment[mine], value[mine]
     block = (mix(v, 51 + deal) % blocks[doc].astype(np.uint64)).astype(np.int64)
-    order = np.lexsort((block, doc))
+    order = np.argsort((doc.astype(np.uint64) << np.uint64(40)) | block.astype(np.uint64))
     doc, block, v = doc[order], block[order], v[order]
     edge = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (block[1:] != block[:-1])])
     bits = folded(mix(v, 77), np.bitwise_xor, np.r_[edge, len(doc)])
@@ -177,41 +201,65 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     sets = digest.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("node"))
     digest = cut(digest.join(sets, ["f1", "f2"], "left").drop("f1", "f2"))
     nodes = digest.filter("node is not null").select("doc_id", "node")
-    rows = docs.filter("doc_id is not null").mapInArrow(_blocks, "key long, doc_id long, grp short, spare int")
-    rows = rows_of_shared_keys(rows, "key", "doc_id").join(nodes.distinct(), "doc_id")
-    rows = cut(rows.select("key", F.col("node").alias("doc_id"), "grp", "spare").distinct())
-    groups = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
-    rows = cut(rows.join(groups.filter("low < high").drop("high"), "key"))
-    shape = digest.filter("doc_id = node").select("doc_id", "n", *_SKETCH)
+    known = docs.filter("doc_id is not null")
+    rows = cut(rows_of_shared_keys(known.mapInArrow(_blocks, "key long, doc_id long, part long, sure boolean")))
+    shape = digest.filter("node is not null").select("doc_id", "n", *_SKETCH)
 
     def shaped(ids: DataFrame, key: str, prefix: str) -> DataFrame:
         own = shape.withColumnsRenamed({c: f"{prefix}{c}" for c in shape.columns if c != "doc_id"})
         return ids.join(own.withColumnRenamed("doc_id", key), key)
 
-    # one partner for each document
-    partner = rows.filter("doc_id > low").groupBy("doc_id", "low").agg(F.count("*").alias("times"))
+    # one partner for each document: the smallest of the block it shares most often
+    small = int(np.searchsorted(_BANDS, SMALL)) * DEALS
+    grp = F.col("key").bitwiseAND(F.lit((1 << LOW) - 1))
+    some = rows.filter((grp < small) | (F.pmod(F.shiftrightunsigned("key", LOW), F.lit(SOME)) == 0))
+    low = some.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
+    partner = some.join(low, "key").filter("doc_id > low").groupBy("doc_id", "low").agg(F.count("*").alias("times"))
     partner = partner.groupBy("doc_id").agg(F.max_by("low", F.struct("times", -F.col("low"))).alias("b"))
     pairs = shaped(shaped(partner.withColumnRenamed("doc_id", "a"), "a", "a_"), "b", "b_")
-    links = cut(_verified(docs, pairs.filter(_near("a_", "b_")).select("a", "b").distinct()))
+    links = _verified(docs, pairs.filter(_near("a_", "b_")).select("a", "b").distinct())
+    copies = nodes.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    links = cut(links.unionByName(copies))
     label = cut(components(links, "a", "b"))
 
     # what is left: members of one block in different components
     rows = rows.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    rows = cut(rows.join(mixed.filter("c0 < c1").select("key"), "key"))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
+    rows = cut(rows.join(mixed.filter("c0 < c1").select("key", "members"), "key").withColumn("grp", grp.cast("int")))
     hot = rows.filter(F.col("members") > HOT).groupBy("doc_id", "grp").agg(F.count("*").alias("hot"))
-    rows = rows.join(hot, ["doc_id", "grp"], "left").filter(f"members <= {HOT} or hot > spare")
-    rows = cut(shaped(rows.select("key", "doc_id", "component"), "doc_id", ""))
+    spare = maybe_in(known, "doc_id", hot.select("doc_id")).mapInArrow(_spares, "doc_id long, grp int, spare int")
+    hot = hot.join(spare, ["doc_id", "grp"]).filter("hot > spare").select("doc_id", "grp").distinct().withColumn("many", F.lit(True))
+    rows = rows.join(hot, ["doc_id", "grp"], "left").filter(f"members <= {HOT} or many")
+    rows = cut(shaped(rows.select("key", "doc_id", "component").distinct(), "doc_id", ""))
     one = rows.withColumnsRenamed({c: f"a_{c}" for c in rows.columns})
     two = rows.withColumnsRenamed({c: f"b_{c}" for c in rows.columns})
     meet = (F.col("a_key") == F.col("b_key")) & F.expr("a_component < b_component")
     rest = one.join(two, meet & _near("a_", "b_"))
     rest = rest.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
     more = _verified(docs, rest)
-    one_id = nodes.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("z")).filter("b < z")
-    one_id = nodes.join(one_id.drop("z"), "doc_id").select(F.col("node").alias("a"), "b")
-    final = cut(components(links.unionByName(more).unionByName(one_id), "a", "b"))
-    out = digest.select("doc_id", F.col("n").alias("n_shingles"), "node").join(final, "node", "left")
-    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    return out.select("doc_id", "n_shingles", label.alias("component_id"))
+    final = cut(components(links.unionByName(more), "a", "b"))
+    out = digest.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+#: The same by brute force: common shingles by a join on them, components by reachability.
+SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+    list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w
+), x AS (SELECT doc_id, len(s) AS n, unnest(s) AS m FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.m = b.m AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {SIMILAR} * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a AS n, a AS m FROM links UNION SELECT r.n, l.b FROM reach r JOIN links l ON r.m = l.a
+), component AS (SELECT n, min(m) AS c FROM reach GROUP BY n)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id
+FROM s LEFT JOIN component c ON c.n = s.doc_id
+"""

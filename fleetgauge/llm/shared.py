@@ -27,18 +27,30 @@ def work_folder(spark) -> str:
     return folder
 
 
+#: Lets Spark drop a query's shuffle files when it has ended.
+_DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back, so nothing above it runs again."""
-    path = f"{work_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df as Parquet in the shared folder and read it back, so nothing above it runs again.
+
+    The shuffle files behind it are of no use any more and go when the write has ended.
+    """
+    spark = df.sparkSession
+    path, before = f"{work_folder(spark)}/llm-{uuid.uuid4().hex}", spark.conf.get(_DROP, "false")
+    spark.conf.set(_DROP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about `limit` bytes of text each, one row at least: bounded memory."""
     for batch in batches:
         if not batch.num_rows:
@@ -65,13 +77,28 @@ def maybe_in(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return hit.filter(F.expr("(shiftrightunsigned(__bits, __bit) & 1L) = 1L")).drop("__word", "__bit", "__bits")
 
 
-def rows_of_shared_keys(rows: DataFrame, key: str, *order: str) -> DataFrame:
-    """Rows whose key more than one row has (and a few more: the edge keys of each partition).
+def dealt_out(key: np.ndarray, node: np.ndarray, mix) -> tuple[np.ndarray, np.ndarray]:
+    """(part, sure) of a slice's rows, for rows_of_shared_keys().
+
+    Of each key the slice has, one row goes where the key belongs. The others, which are sure to share
+    their key, go anywhere: so a key that a third of all rows have is a row per slice in its partition.
+    """
+    order = np.argsort(key)
+    k = key[order]
+    again = np.zeros(len(k) + 1, bool)
+    again[1:-1] = k[1:] == k[:-1]
+    part, sure = np.empty_like(key), np.empty(len(k), bool)
+    part[order] = np.where(again[:-1], mix(k ^ mix(node[order].astype(np.uint64))), k)
+    sure[order] = again[:-1] | again[1:]
+    return part, sure
+
+
+def rows_of_shared_keys(rows: DataFrame) -> DataFrame:
+    """Rows (key, ...) whose key more than one row has, without the columns part and sure.
 
-    Range partitions over (key, order) split a hot key evenly, and each sorted partition streams by
-    in constant memory. A key at the edge of a partition may go on in the next one, so its rows stay.
+    Sorted partitions stream by in constant memory.
     """
-    sorted_rows = rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    names = [f for f in rows.columns if f not in ("part", "sure")]
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the last row so far, whose successor is not known yet
@@ -79,23 +106,21 @@ def rows_of_shared_keys(rows: DataFrame, key: str, *order: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.asarray(column(batch, key))
+            keys, sure = np.asarray(column(batch, "key")), np.asarray(column(batch, "sure"))
+            batch = batch.select(names)
             same = np.zeros(len(keys) + 1, dtype=bool)
             same[1:-1] = keys[1:] == keys[:-1]
-            if held is None:
-                first = keys[0]
-            else:
+            if held is not None:
                 same[0] = keys[0] == last
                 if held_stays or same[0]:
                     yield held
-            stays = same[:-1] | same[1:] | (keys == first)
-            body = batch.slice(0, len(keys) - 1)
-            yield body.filter(pa.array(stays[:-1]))
+            stays = same[:-1] | same[1:] | sure
+            yield batch.slice(0, len(keys) - 1).filter(pa.array(stays[:-1]))
             held, held_stays, last = batch.slice(len(keys) - 1), bool(stays[-1]), keys[-1]
-        if held is not None:
+        if held is not None and held_stays:
             yield held
 
-    return sorted_rows.mapInArrow(shared, rows.schema)
+    return rows.repartition("part").sortWithinPartitions("key").mapInArrow(shared, rows.select(*names).schema)
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 WORDS = 5
 _RNG = np.random.default_rng(20240131)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
+_WORD = ~np.isin(np.arange(256), [32, *range(9, 14)])
 _STEP = _RNG.integers(1, 1 << 62, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -52,7 +54,7 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    inside = _WORD[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
@@ -60,15 +62,35 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     begins[inner] = inside[inner]
     ends[inner - 1] = inside[inner - 1]
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[low] * _power(_BASE, "up", n)[:n], dtype=np.uint64, out=sums[1:])
+    np.cumsum(np.multiply(_BYTE[data], _power(_BASE, "up", n)[:n]), out=sums[1:])
     hashes = mix((sums[end] - sums[begin]) * _power(_BACK, "down", n)[begin])
-    return np.searchsorted(at, begin, side="right") - 1, hashes
+    return np.repeat(np.arange(len(at) - 1), np.diff(np.searchsorted(begin, at))), hashes
 
 
-def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, hash) of the distinct shingles, sorted by both.
+def grouped(segment: np.ndarray, value: np.ndarray, rank: np.ndarray | None = None) -> np.ndarray:
+    """An order that groups by segment, inside by rank (of at most 16 bits) and value.
+
+    One sort of a packed key; where that can't tell two values apart, an exact one.
+    """
+    high = int(segment.max(initial=0)).bit_length() if len(segment) else 0
+    low = 0 if rank is None else 16
+    if high + low > 40:
+        return np.lexsort((value, segment) if rank is None else (value, rank, segment))
+    packed = value >> np.uint64(high + low)
+    if rank is not None:
+        packed |= rank.astype(np.uint64) << np.uint64(64 - high - low)
+    if high:
+        packed |= segment.astype(np.uint64) << np.uint64(64 - high)
+    order = np.argsort(packed)
+    same = np.flatnonzero(packed[order[1:]] == packed[order[:-1]])
+    if (value[order[same]] != value[order[same + 1]]).any():
+        return np.lexsort((value, segment) if rank is None else (value, rank, segment))
+    return order
+
+
+def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, hash) of all shingles, repeats included, in no order.
 
     A segment of fewer than five words has its whole sequence as its one shingle; without words, none.
     """
@@ -90,7 +112,13 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
         for k in range(size):
             value += words[first[own] + k] * _STEP[k]
         seg, val = np.concatenate([seg, own]), np.concatenate([val, mix(value)])
-    order = np.lexsort((val, seg))
+    return seg, val
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, hash) of the distinct shingles, grouped by segment."""
+    seg, val = shingles(data, at)
+    order = grouped(seg, val)
     seg, val = seg[order], val[order]
     new = np.ones(len(seg), bool)
     new[1:] = (seg[1:] != seg[:-1]) | (val[1:] != val[:-1])
@@ -99,7 +127,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def starts_of(sorted_ids: np.ndarray, n: int) -> np.ndarray:
     """Where each id of 0..n-1 begins in the sorted ids, and the end."""
-    return np.searchsorted(sorted_ids, np.arange(n + 1))
+    return np.concatenate([[0], np.cumsum(np.bincount(sorted_ids, minlength=n))])
 
 
 def folded(values: np.ndarray, op: np.ufunc, at: np.ndarray) -> np.ndarray:
