@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgauge.llm import bpe, language, lines, mixing, ngram_join
+from fleetgauge.llm import bpe, embedding_dedup, extract, language, lines, mixing, ngram_join, pii, secret_scan, topk
 
 #: Vocabulary of the encoding query.
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_pii(_table(spark, sf_dir, "documents"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(_table(spark, sf_dir, "embeddings"))
+
+
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
@@ -37,15 +53,28 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(language.document_rows(_table(spark, sf_dir, "documents")))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": _op1,
+        "op2_pii": _op2,
+        "op3_exact_topk": _op3,
+        "op4_embedding_neardup": _op4,
         "op5_line_dedup": _op5,
         "op6_bpe": _op6,
         "op7_ngram_jaccard_join": _op7,
         "op8_mixing": _op8,
         "op9_language_id": _op9,
+        "op10_secret_scan": _op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_exact_topk": topk.SQL,
+        "op4_embedding_neardup": embedding_dedup.SQL,
+        "op7_ngram_jaccard_join": ngram_join.SQL,
+    }
