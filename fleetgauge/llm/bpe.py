@@ -36,6 +36,8 @@ from fleetgauge.llm.shared import column, slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a window, bytes of a word that is merged whole, words remembered.
 WINDOW, SHORT, WORDS = 1 << 16, 64, 1 << 18
+#: Rank of a pair that is never merged.
+NONE = 1 << 40
 
 
 def byte_letters() -> dict[str, int]:
@@ -56,11 +58,13 @@ class Coder:
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         vocab = model["vocab"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = list(pairs)
+        self.rank = {(vocab[a], vocab[b]): k for k, (a, b) in enumerate(pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
         self.byte_id = [0] * 256
         for c, b in letters.items():
             self.byte_id[b] = vocab[c]
-        self.lookahead = max(len(self.bytes_of[i]) for _, i in self.merge.values())
+        self.lookahead = max(len(self.bytes_of[i]) for i in self.made)
         self.words = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
@@ -70,11 +74,16 @@ class Coder:
     def merged(self, data: bytes) -> list[int]:
         """Merge a short run of bytes: the earliest rule of the list first, then the leftmost pair."""
         ids = [self.byte_id[b] for b in data]
-        while len(ids) > 1:
-            rank, at = min((self.merge.get(p, (1 << 40, 0))[0], k) for k, p in enumerate(zip(ids, ids[1:], strict=False)))
-            if rank == 1 << 40:
-                break
-            ids[at : at + 2] = [self.merge[ids[at], ids[at + 1]][1]]
+        rank = self.rank.get
+        ranks = [rank(p, NONE) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (least := min(ranks)) != NONE:
+            at = ranks.index(least)
+            ids[at : at + 2] = [self.made[least]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((ids[at - 1], ids[at]), NONE)
+            if at < len(ranks):
+                ranks[at] = rank((ids[at], ids[at + 1]), NONE)
         return ids
 
     def _stays(self, a: int, b: int) -> bool:
@@ -89,7 +98,7 @@ class Coder:
         """Tokens by their bytes backwards, as nested tables; None holds the token itself."""
         if self.ends is None:
             self.ends = {}
-            for i in {*self.byte_id, *(i for _, i in self.merge.values())}:
+            for i in {*self.byte_id, *self.made}:
                 if self.merged(self.bytes_of[i]) == [i]:
                     node = self.ends
                     for b in reversed(self.bytes_of[i]):
