@@ -96,6 +96,23 @@ def _tenant_dim(b: Bound) -> DataFrame:
     )
 
 
+def _spoiled(b: Bound) -> DataFrame:
+    """Job events in which some amounts are NaN, as a JSON line may carry them."""
+    gap, nan = F.col("duration_seconds") % 17 == 0, F.lit(float("nan"))
+    return b.job_events.withColumns({c: F.when(gap, nan).otherwise(F.col(c)) for c in ("cost_usd", "gpu_hours")})
+
+
+SPIKE = ("tenant_id", "event_id", "job_id", "severity", "metric_value", "threshold_value", "z_score")
+INCIDENT = ("tenant_id", "job_id", "incident_type", "severity", "metric_value", "threshold_value", "detected_at")
+
+
+def _baseline(ev: DataFrame) -> DataFrame:
+    return detect.cost_baseline(ev, AS_OF).select(
+        "tenant_id", "job_type", "machine_type",
+        rnd("mean_cost", 6).alias("mean_cost"), rnd("std_cost", 6).alias("std_cost"),
+    )
+
+
 def _checks(b: Bound, *names: str) -> DataFrame:
     return health.health_checks(b.job_events, b.tenants, AS_OF, checks=names or health.CHECKS)
 
@@ -206,13 +223,8 @@ _BOUND: dict[str, Callable[[Bound], DataFrame]] = {
         _checks(b), detect.all_anomalies(b.job_events, AS_OF)
     ),
     # detectors
-    "cost_baseline": lambda b: detect.cost_baseline(b.job_events, AS_OF).select(
-        "tenant_id", "job_type", "machine_type",
-        rnd("mean_cost", 6).alias("mean_cost"), rnd("std_cost", 6).alias("std_cost"),
-    ),
-    "cost_spikes": lambda b: detect.cost_spikes(b.job_events, AS_OF).select(
-        "tenant_id", "event_id", "job_id", "severity", "metric_value", "threshold_value", "z_score"
-    ),
+    "cost_baseline": lambda b: _baseline(b.job_events),
+    "cost_spikes": lambda b: detect.cost_spikes(b.job_events, AS_OF).select(*SPIKE),
     "duration_fence": lambda b: detect.duration_fence(b.job_events, AS_OF),
     "duration_outliers": lambda b: detect.duration_outliers(b.job_events, AS_OF).select(
         "tenant_id", "event_id", "job_id", "severity", "metric_value", "threshold_value"
@@ -232,10 +244,13 @@ _BOUND: dict[str, Callable[[Bound], DataFrame]] = {
         "tenant_id", "severity", "gpu_jobs", "short_jobs", "metric_value", "threshold_value",
         rnd("avg_wasted_cost", 6).alias("avg_wasted_cost"),
     ),
-    "inline_incidents": lambda b: inline_incidents(b.job_events, b.tenants).select(
-        "tenant_id", "job_id", "incident_type", "severity", "metric_value", "threshold_value",
-        "detected_at",
-    ),
+    "inline_incidents": lambda b: inline_incidents(b.job_events, b.tenants).select(*INCIDENT),
+    # the same over amounts that are NaN
+    "cost_baseline_dirty": lambda b: _baseline(_spoiled(b)),
+    "cost_spikes_dirty": lambda b: detect.cost_spikes(_spoiled(b), AS_OF).select(*SPIKE),
+    "daily_cost_summary_dirty": lambda b: reports.daily_cost_summary(_spoiled(b), SINCE),
+    "top_expensive_jobs_dirty": lambda b: finance.top_expensive_jobs(_spoiled(b), SINCE),
+    "inline_incidents_dirty": lambda b: inline_incidents(_spoiled(b), b.tenants).select(*INCIDENT),
     "all_anomalies": lambda b: detect.all_anomalies(b.job_events, AS_OF).select(*FOUND),
     "escalations": _escalations,
     # digests

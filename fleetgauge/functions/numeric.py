@@ -11,22 +11,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MILLION = 1e6
+# From here on every double is a whole number, and BIGINT soon ends.
+WHOLE = 2.0**53
 
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def real(c: Column | str) -> Column:
+    """A number as double; NaN counts as missing."""
+    return F.nanvl(as_col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def rnd(c: Column | str, digits: int) -> Column:
-    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``."""
+    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+
+    NaN gives NULL; a value too large for whole units has no such digits and stays.
+    """
     scale = F.lit(10.0**digits)
-    return F.floor(as_col(c) * scale + F.lit(0.5)) / scale
+    value = real(c)
+    return F.when(F.abs(value * scale) >= F.lit(WHOLE), value).otherwise(F.floor(value * scale + F.lit(0.5)) / scale)
 
 
 def units(c: Column | str) -> Column:
     """An amount in whole millionths; NaN counts as missing."""
-    known = F.nanvl(as_col(c).cast("double"), F.lit(None).cast("double"))
-    return F.floor(known * F.lit(MILLION) + F.lit(0.5))
+    return F.floor(real(c) * F.lit(MILLION) + F.lit(0.5))
 
 
 def from_units(c: Column | str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, between, clip, epoch_seconds, moment, stamp, today, trailing
-from ..functions.numeric import from_units, hit, pct, ratio, rnd, units
+from ..functions.numeric import from_units, hit, pct, ratio, real, rnd, units
 from ..functions.quantiles import summarize
 from ..functions.text import fixed, say, stable_id, usd
 from ..functions.tiers import above
@@ -28,10 +28,6 @@ ANOMALY_COLUMNS = (
 )
 
 
-MAX_FLOORS = 50_000
-BUCKETS_PER_RANK = 8
-
-
 def top_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per key; Spark trims to ``k`` per task before the shuffle."""
     w = W.partitionBy(*keys).orderBy(*order)
@@ -39,23 +35,8 @@ def top_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int)
 
 
 def highest_per(df: DataFrame, keys: Sequence[str], value: str, tie: str, k: int) -> DataFrame:
-    """The ``k`` rows with the highest ``value`` per key, ties by ``tie``, without sorting all rows.
-
-    Rows fall into ``8 k`` buckets by the hash of ``tie``. The k-th highest of
-    the bucket maxima is a floor: at least k rows reach it, so no row below it
-    can be among the first k. Finding it is one hash aggregation of two
-    columns, and few rows remain to be ranked. The floors are broadcast up to
-    a fixed number of keys; keys beyond that number have no floor and all
-    their rows are ranked.
-    """
-    bucket = F.pmod(F.xxhash64(tie), F.lit(BUCKETS_PER_RANK * k))
-    maxima = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.max(value).alias("_max"))
-    highest = F.sort_array(F.collect_list("_max"), asc=False)
-    floors = maxima.groupBy(*keys).agg(F.get(highest, F.lit(k - 1)).alias("_floor"))
-    floors = floors.filter(F.col("_floor").isNotNull()).limit(MAX_FLOORS)
-    near = df.join(F.broadcast(floors), list(keys), "left")
-    near = near.filter(F.col("_floor").isNull() | (F.col(value) >= F.col("_floor"))).drop("_floor")
-    return top_per(near, keys, [F.col(value).desc_nulls_last(), F.col(tie).asc()], k)
+    """The ``k`` rows with the highest ``value`` per key, ties by ``tie``, in one pass."""
+    return top_per(df, keys, [F.col(value).desc_nulls_last(), F.col(tie).asc()], k)
 
 
 def _anomaly(
@@ -84,7 +65,7 @@ def cost_baseline(
     ev: DataFrame, as_of: Moment, limits: DetectorLimits = DetectorLimits()
 ) -> DataFrame:
     """Mean and sample deviation of cost per tenant, job type and machine."""
-    rows = clip(ev, **trailing(as_of, days=limits.baseline_days))
+    rows = clip(ev, **trailing(as_of, days=limits.baseline_days)).withColumn("cost_usd", real("cost_usd"))
     stats = rows.groupBy("tenant_id", "job_type", "machine_type").agg(
         F.count(F.lit(1)).alias("samples"),
         ratio(from_units(F.sum(units("cost_usd"))), F.count("cost_usd")).alias("mean_cost"),
@@ -101,7 +82,8 @@ def cost_spikes(
 ) -> DataFrame:
     """Jobs whose cost is more than ``z_flag`` deviations above their group's mean."""
     group = ["tenant_id", "job_type", "machine_type"]
-    rows = clip(ev, **trailing(as_of, hours=window_hours)).filter(F.col("cost_usd").isNotNull())
+    rows = clip(ev, **trailing(as_of, hours=window_hours)).withColumn("cost_usd", real("cost_usd"))
+    rows = rows.filter(F.col("cost_usd").isNotNull())
     rows = rows.select("event_id", "job_id", "job_name", "cost_usd", *group)
     highest = highest_per(rows, group, "cost_usd", "event_id", limits.top_spikes)
     scored = highest.join(cost_baseline(ev, as_of, limits), group).withColumn(
@@ -236,7 +218,7 @@ def gpu_waste_rates(
         F.sum(hit(short)).alias("short_jobs"),
         pct(F.sum(hit(short)), F.count(F.lit(1))).alias("waste_pct"),
         F.coalesce(
-            ratio(spent, F.count(F.when(short, F.col("cost_usd")))), F.lit(0.0)
+            ratio(spent, F.count(F.when(short, real("cost_usd")))), F.lit(0.0)
         ).alias("avg_wasted_cost"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, clip, minutes_between, stamp, today, trailing
-from ..functions.numeric import pct
+from ..functions.numeric import pct, real
 from ..functions.text import clipped, fixed, say, stable_id, usd
 from ..functions.tiers import severity_rank
 from ..schemas import INCIDENTS
@@ -27,7 +27,7 @@ def inline_incidents(
     duration or cost raises nothing. The id depends only on rule and event,
     so a replay produces the same incidents again.
     """
-    seconds, cost = F.col("duration_seconds"), F.col("cost_usd")
+    seconds, cost = F.col("duration_seconds"), real("cost_usd")
     daily = F.col("budget_weekly") / F.lit(7.0)
     slow, pricey = F.lit(limits.baseline_seconds * limits.spike_factor), daily * F.lit(limits.cost_share)
     rules = {

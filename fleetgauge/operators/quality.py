@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, between, stamp, trailing
 from ..functions.numeric import hit
+from ..schemas import JOB_EVENTS
 from ..settings import JOB_TYPES, STATUSES
 
 
@@ -70,6 +71,14 @@ EVENT_SUITE = (
 )
 
 
+# What a stored event has to keep: the suite and every required column of the table.
+STORED_SUITE = EVENT_SUITE + tuple(
+    _expectation(NOT_NULL, f.name)
+    for f in JOB_EVENTS
+    if not f.nullable and f.name not in ("event_id", "tenant_id")
+)
+
+
 def load_suite(path: str) -> list[dict]:
     """Expectations of a JSON suite file."""
     return json.loads(Path(path).read_text())["expectations"]

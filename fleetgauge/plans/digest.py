@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, between, calendar_day, clip, stamp, today, trailing
-from ..functions.numeric import from_units, hit, hours, pct, ratio, rnd, units
+from ..functions.numeric import from_units, hit, hours, pct, ratio, real, rnd, units
 from ..functions.quantiles import summarize
 from ..functions.text import fixed, say, shown, stable_id, usd
 from ..functions.tiers import budget_label, severity_rank
@@ -69,7 +69,7 @@ def digest_daily_metrics(
         "week_n": hit(one), "week_ok": hit(ok), "week_u": units("cost_usd"),
         "day_n": hit(day), "day_ok": hit(day & ok), "day_failed": hit(day & failed),
         "day_u": F.when(day, units("cost_usd")),
-        "day_cost_n": hit(day & F.col("cost_usd").isNotNull()),
+        "day_cost_n": hit(day & real("cost_usd").isNotNull()),
         "day_gpu_u": F.when(day, units("gpu_hours")),
         "day_cpu_u": F.when(day, units("cpu_hours")),
     }
@@ -229,18 +229,18 @@ def render_digest(
     ten: DataFrame,
     as_of: Moment,
     period: str = "DAILY",
-    top: int = 20,
+    top: int | None = None,
 ) -> DataFrame:
     """Digest text per tenant from the daily or weekly metrics.
 
-    The worst ``top`` incidents of the period are listed line by line and the
-    others are counted in a last line, so the text stays of bounded size.
+    Every incident of the period is a line, the worst first. With ``top`` only
+    so many are, and a last line counts the others.
     """
     daily = period == "DAILY"
     window = trailing(as_of, hours=24) if daily else calendar_day(as_of, days=7)
     recent = clip(inc, "detected_at", **window)
     order = [severity_rank("severity"), F.col("detected_at").desc_nulls_last(), F.col("incident_id")]
-    worst = top_per(recent, ["tenant_id"], order, top)
+    worst = recent if top is None else top_per(recent, ["tenant_id"], order, top)
     title = F.col("title") if "title" in inc.columns else F.col("incident_type")
     line = F.concat(F.lit("  - "), shown("severity"), F.lit(": "), shown("incident_type"),
                     F.lit(" — "), shown(title))
@@ -271,7 +271,7 @@ def render_digest(
         F.size("items") > 0,
         F.concat(F.array(F.lit("- Recent incidents (severity / type / title):")), lines),
     ).otherwise(F.array().cast("array<string>"))
-    hidden = F.col("recent_n") - F.lit(top)
+    hidden = F.col("recent_n") - (F.col("recent_n") if top is None else F.lit(top))
     more = F.when(hidden > 0, F.array(say("  - and ", hidden, " more"))).otherwise(
         F.array().cast("array<string>")
     )

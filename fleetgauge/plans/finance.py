@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import Moment, clip, day_start, moment, today, week_start
-from ..functions.numeric import from_units, hours, pct, rnd
+from ..functions.numeric import from_units, hours, pct, real, rnd
 from ..functions.quantiles import summarize
 from ..functions.tiers import budget_label
 from ..operators.detect import highest_per
@@ -89,7 +89,7 @@ def spend_by_job_type(ev: DataFrame, since, tenant: str | None = None) -> DataFr
 def top_expensive_jobs(ev: DataFrame, since, tenant: str | None = None, k: int = 10) -> DataFrame:
     """The ``k`` costliest jobs of each tenant, ties by event id."""
     rows = scan_events(ev, since, tenant).select(
-        "event_id", "tenant_id", "job_name", "job_type", "machine_type", "cost_usd",
+        "event_id", "tenant_id", "job_name", "job_type", "machine_type", real("cost_usd").alias("cost_usd"),
         "duration_seconds", "status", "started_at",
     )
     if tenant is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.numeric import as_col, from_units, hit, ratio, rnd, units
+from ..functions.numeric import as_col, from_units, hit, ratio, real, rnd, units
 
 
 def counts() -> dict[str, Column]:
@@ -24,7 +24,7 @@ def amounts(*names: str) -> dict[str, Column]:
 
 def known(name: str) -> dict[str, Column]:
     """Additive count of rows where the column is known, named ``<column>_n``."""
-    return {f"{name}_n": hit(F.col(name).isNotNull())}
+    return {f"{name}_n": hit(real(name).isNotNull())}
 
 
 def total(name: str, digits: int) -> Column:

@@ -144,9 +144,9 @@ REPORT_SQL = {
           SELECT to_date(started_at) AS run_date, tenant_id, job_type, duration_seconds,
                  count(*) AS n, count_if(status = 'SUCCEEDED') AS ok,
                  count_if(status = 'FAILED') AS failed,
-                 sum(floor(gpu_hours * 1e6D + 0.5D)) AS gpu_u,
-                 sum(floor(cpu_hours * 1e6D + 0.5D)) AS cpu_u,
-                 sum(floor(cost_usd * 1e6D + 0.5D)) AS cost_u, count(cost_usd) AS cost_n
+                 sum(floor(nanvl(gpu_hours, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) AS gpu_u,
+                 sum(floor(nanvl(cpu_hours, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) AS cpu_u,
+                 sum(floor(nanvl(cost_usd, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) AS cost_u, count(nanvl(cost_usd, CAST(NULL AS DOUBLE))) AS cost_n
           FROM job_events
           WHERE tenant_id = :tenant_id AND started_at >= CAST(:since_date AS TIMESTAMP_NTZ)
           GROUP BY ALL),
@@ -169,7 +169,7 @@ REPORT_SQL = {
           SELECT tenant_id, framework, job_type, duration_seconds, count(*) AS n,
                  count(duration_seconds) AS known,
                  sum(CAST(duration_seconds AS BIGINT)) AS seconds,
-                 sum(floor(cost_usd * 1e6D + 0.5D)) AS cost_u, count(cost_usd) AS cost_n
+                 sum(floor(nanvl(cost_usd, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) AS cost_u, count(nanvl(cost_usd, CAST(NULL AS DOUBLE))) AS cost_n
           FROM job_events
           WHERE tenant_id = :tenant_id AND started_at >= CAST(:since_date AS TIMESTAMP_NTZ)
             AND status IN ('SUCCEEDED', 'FAILED')
@@ -190,8 +190,8 @@ REPORT_SQL = {
     "weekly_gpu_spend": """
         WITH grouped AS (
           SELECT trunc(to_date(started_at), 'week') AS week_start, tenant_id, machine_type, gpu_type,
-                 count(*) AS gpu_jobs, sum(floor(gpu_hours * 1e6D + 0.5D)) / 1e6D AS gpu,
-                 sum(floor(cost_usd * 1e6D + 0.5D)) / 1e6D AS cost, count(cost_usd) AS cost_n,
+                 count(*) AS gpu_jobs, sum(floor(nanvl(gpu_hours, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) / 1e6D AS gpu,
+                 sum(floor(nanvl(cost_usd, CAST(NULL AS DOUBLE)) * 1e6D + 0.5D)) / 1e6D AS cost, count(nanvl(cost_usd, CAST(NULL AS DOUBLE))) AS cost_n,
                  count_if(duration_seconds < 300) AS sub_5min_jobs
           FROM job_events
           WHERE tenant_id = :tenant_id AND started_at >= CAST(:since_date AS TIMESTAMP_NTZ)

@@ -25,19 +25,19 @@ STREAM_STATE = {
 }
 
 
-def cluster_conf(scan_tb: float, shuffle_gb: float) -> dict[str, str]:
-    """Partition sizes for a run that reads ``scan_tb`` and shuffles at most ``shuffle_gb``.
+def cluster_conf(shuffle_gb: float, split_mb: int = 128) -> dict[str, str]:
+    """Partition sizes for a run that shuffles at most ``shuffle_gb`` and reads in splits of ``split_mb``.
 
     AQE merges shuffle partitions but never splits below their first number,
     so that number has to fit the largest shuffle; 256 MB per task leaves room
-    for its sort or hash table. Above a few terabytes scans take larger splits,
-    which keeps the number of tasks the driver tracks in the hundred thousands.
+    for its sort or hash table. For scans of many terabytes 512 MB splits keep the
+    number of tasks the driver tracks in the hundred thousands.
     """
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, int(shuffle_gb * 4))),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.files.maxPartitionBytes": "512m" if scan_tb > 10 else "128m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
     }
 
 

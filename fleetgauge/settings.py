@@ -16,8 +16,6 @@ SEVERITIES = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
 INCIDENT_STATES = ("OPEN", "ACKNOWLEDGED", "RESOLVED")
 PERIODS = ("DAILY", "WEEKLY")
 WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
-TELEMETRY_TOPIC = "job.telemetry"
-INCIDENT_TOPIC = "job.incidents"
 
 # --- fixed values: money ------------------------------------------------------
 DEFAULT_WEEKLY_BUDGET = 5000.0

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clock import Moment, clip, stamp
+from ..functions.numeric import real
 from ..schemas import EVENT_DEFAULTS, JOB_EVENTS, STORED, WIRE_EVENT
-from ..settings import TELEMETRY_TOPIC
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -50,7 +50,7 @@ def query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None
 def read_events_stream(
     spark: SparkSession,
     servers: str,
-    topic: str = TELEMETRY_TOPIC,
+    topic: str,
     starting: str = "latest",
     **options: str,
 ) -> DataFrame:
@@ -115,8 +115,13 @@ def apply_defaults(ev: DataFrame, as_of: Moment) -> DataFrame:
 
 
 def as_stored(ev: DataFrame) -> DataFrame:
-    """Shape of the stored table: declared columns and types plus the date companions."""
-    shaped = ev.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOB_EVENTS])
+    """Shape of the stored table: declared columns and types plus the date companions; NaN is NULL."""
+    shaped = ev.select(
+        *[
+            (real(f.name) if f.dataType == T.DoubleType() else F.col(f.name).cast(f.dataType)).alias(f.name)
+            for f in JOB_EVENTS
+        ]
+    )
     return shaped.withColumns(
         {"ingest_date": F.to_date("ingested_at"), "event_date": F.to_date("started_at")}
     )

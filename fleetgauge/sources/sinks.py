@@ -1,24 +1,27 @@
-"""Writing: idempotent inserts, slice replacement, appends, CSV, topics.
+"""Writing: idempotent inserts, slice replacement, appends, compaction, CSV, topics.
 
 Plain Parquet has no keys, so "insert or ignore" is: keep the first row per
 key inside the batch, drop keys the table already holds, append the rest.
-Only the partitions the batch touches are read for that.
+What it holds is told by a narrow table of keys in hash buckets, of which
+only the buckets of the batch are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..schemas import PARTITIONS
-from ..settings import INCIDENT_TOPIC
 from .dimensions import literal_table
 from .events import read_table, table_exists
 
-MAX_LISTED_SLICES = 1000
+# Hash buckets of a key table. More make a small batch read less and write more files.
+KEY_BUCKETS = 32
 
 
 def first_per_key(batch: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
@@ -37,36 +40,22 @@ def touched_slices(batch: DataFrame, columns: Sequence[str] = PARTITIONS["job_ev
     return batch.select(*columns).distinct()
 
 
-def touched_days(batch: DataFrame, column: str, limit: int = MAX_LISTED_SLICES) -> Column:
-    """A constant predicate on a date partition covering every day in ``batch``.
+def touched_days(batch: DataFrame, column: str) -> Column:
+    """A constant predicate on a date partition: the days ``batch`` has rows of.
 
-    Lists the days when there are at most ``limit`` of them, otherwise states
-    the range they span; either way partitions are pruned while planning.
+    Only distinct days come to the driver. The predicate prunes partitions while planning.
     """
-    days = [r[0] for r in batch.select(column).distinct().limit(limit + 1).collect()]
-    known = [d for d in days if d is not None]
-    if len(days) > limit:
-        low, high = batch.agg(F.min(column), F.max(column)).first()
-        test = F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull()
-    elif known:
-        test = F.col(column).isin(known)
-        if len(known) < len(days):
-            test = test | F.col(column).isNull()
-    else:
-        test = F.col(column).isNull()
-    return test
-
-
-def pinned(slices: DataFrame, limit: int = MAX_LISTED_SLICES) -> DataFrame:
-    """The slices as a literal table when there are at most ``limit``, else unchanged.
-
-    Catalyst knows the size of a literal table, so a semi-join with it becomes
-    a broadcast and the large side is not shuffled by slice.
+    days = [r[0] for r in batch.select(column).distinct().collect()]
+    test = F.col(column).isin([d for d in days if d is not None])
+    return test | F.col(column).isNull() if None in days else test
+
+
+def pinned(slices: DataFrame) -> DataFrame:
+    """The slices as a literal table: partition names only, so Catalyst knows their size.
+
+    A semi-join with it is a broadcast where it is small and shuffles where it is not.
     """
-    rows = slices.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return slices
-    return literal_table(slices.sparkSession, rows, slices.schema)
+    return literal_table(slices.sparkSession, slices.collect(), slices.schema)
 
 
 def new_rows(
@@ -88,6 +77,16 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> No
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def stored_keys(spark: SparkSession, root: str, table: str, key: str) -> DataFrame | None:
+    """The keys a table holds, with their bucket; None before the first insert."""
+    path = f"{root}/{table}_keys"
+    return spark.read.schema(f"{key} STRING, bucket INT").parquet(path) if table_exists(spark, path) else None
+
+
 def append_new(
     spark: SparkSession,
     batch: DataFrame,
@@ -95,19 +94,44 @@ def append_new(
     table: str,
     key: str,
     order: Sequence[Column] = (),
-    whole_table: bool = False,
+    unique: bool = False,
 ) -> None:
-    """Insert or ignore into a stored table.
+    """Insert or ignore into a stored table: a key is stored once, whatever its day.
 
-    A copy of a record has the same key and the same day, so by default only
-    the touched days are compared. ``whole_table`` compares with every day,
-    for senders that may reuse an id with another start time.
+    Rows are written before their keys. After a crash between the two the
+    same rows come again, with the same days; so the keys of these days in
+    the table itself are compared as well. ``unique``: the batch has no key twice.
     """
     path, partitions = f"{root}/{table}", PARTITIONS[table]
-    target = read_table(spark, root, table) if table_exists(spark, path) else None
-    if target is not None and not whole_table:
-        target = target.filter(touched_days(batch, partitions[0]))
-    _write(new_rows(batch, target, key, order), path, partitions, "append")
+    first = batch if unique else first_per_key(batch, key, order)
+    first = first.withColumn("_bucket", _bucket(key)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fresh, unknown = first, first
+        if table_exists(spark, path):
+            found = first.agg(F.collect_set(F.struct(partitions[0])).alias("d"), F.collect_set("_bucket").alias("b")).first()
+            days = [d[0] for d in found.d]
+            near = F.col(partitions[0]).isin([d for d in days if d is not None])
+            near = near | F.col(partitions[0]).isNull() if None in days else near
+            held = read_table(spark, root, table).filter(near).select(key)
+            known = stored_keys(spark, root, table, key)
+            if known is not None:
+                known = known.filter(F.col("bucket").isin(found.b)).select(key)
+                held, unknown = held.unionByName(known), first.join(known, key, "left_anti")
+            fresh = first.join(held, key, "left_anti")
+        _write(fresh.drop("_bucket"), path, partitions, "append")
+        keys = unknown.select(F.col(key).cast("string").alias(key), F.col("_bucket").alias("bucket"))
+        keys.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}_keys")
+    finally:
+        first.unpersist()
+
+
+def compact(spark: SparkSession, root: str, table: str, day: date) -> None:
+    """Rewrite the files of one day, so that micro-batches leave few behind.
+
+    The new files replace the old ones when they are complete; a run that fails leaves the day as it was.
+    """
+    first = PARTITIONS[table][0]
+    _write(read_table(spark, root, table).filter(F.col(first) == F.lit(day)), f"{root}/{table}", PARTITIONS[table], "overwrite")
 
 
 def overwrite_slices(df: DataFrame, root: str, table: str) -> None:
@@ -119,13 +143,14 @@ def drop_slices(spark: SparkSession, slices: DataFrame, root: str, table: str) -
     """Remove whole slices, for slices whose recomputation gave no row at all.
 
     A dynamic overwrite leaves those as they were. Only partition names are
-    listed here, never rows.
+    listed here, never rows; a slice without a name is no slice of a table.
     """
     partitions = PARTITIONS[table]
+    slices = slices.select(*partitions).dropna().distinct()
     hadoop = spark._jvm.org.apache.hadoop.fs
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     dropped = 0
-    for row in slices.select(*partitions).distinct().toLocalIterator():
+    for row in slices.collect():
         parts = "/".join(f"{c}={escape(str(row[c]))}" for c in partitions)
         path = hadoop.Path(f"{root}/{table}/{parts}")
         dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -150,7 +175,7 @@ def to_payload(df: DataFrame, key: str = "tenant_id") -> DataFrame:
     )
 
 
-def publish(df: DataFrame, servers: str, topic: str = INCIDENT_TOPIC, key: str = "tenant_id") -> None:
+def publish(df: DataFrame, servers: str, topic: str, key: str = "tenant_id") -> None:
     """Send rows to a topic, keyed by tenant, acknowledged by all replicas."""
     writer = to_payload(df, key).write.format("kafka")
     writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)

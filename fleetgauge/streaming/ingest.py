@@ -1,7 +1,9 @@
 """The ingestion stream: lines in, stored events, incidents and daily metrics out.
 
-A micro-batch stays a DataFrame from decoding to the last write. The order is
-events, rejected lines, incidents, metrics, and every step may be repeated:
+A micro-batch stays a DataFrame from decoding to the last write. Lines without
+an id are set aside as rejected; events that break a required column, a value
+range or a domain as quarantined, with their reasons. Only the others are
+stored. The order is set-asides, events, incidents, metrics, and every step may be repeated:
 events and incidents are inserted by key, metrics replace whole slices. What
 the rules look at is the batch itself, not what the event insert let through,
 so a batch replayed after a crash between two steps still raises its
@@ -19,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import Moment
 from ..operators.incidents import as_stored_incidents, inline_incidents
+from ..operators.quality import STORED_SUITE, quarantine
 from ..plans.metrics import refresh_daily_metrics
 from ..settings import HealthLimits, RuleLimits
 from ..sources.events import apply_defaults, as_stored, parse_lines, rejected_lines
@@ -32,36 +35,38 @@ def make_batch_writer(
     tenant: str | None = None,
     limits: RuleLimits = RuleLimits(),
     overrun_pct: float = HealthLimits().overrun_pct,
-    whole_table: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function. ``as_of`` gives the arrival time of a batch id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_lines(batch).withColumn("_batch", F.lit(batch_id))
-        # Read four times below. Cached blocks lost with an executor are
-        # rebuilt from the source, whose offsets are fixed for the batch.
+        # Cached blocks lost with an executor are rebuilt from the source,
+        # whose offsets are fixed for the batch.
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        events = parsed
         try:
-            if parsed.isEmpty():
-                return
             now = as_of(batch_id)
             good = parsed.filter(F.col("event_id").isNotNull())
             if tenant is not None:
                 good = good.filter(F.col("tenant_id") == tenant)
             events = first_per_key(good, "event_id", [F.col("emitted_at").asc_nulls_last()])
-            events = as_stored(apply_defaults(events, now))
-            append_new(spark, events, root, "job_events", "event_id", whole_table=whole_table)
-            rejects = rejected_lines(parsed).withColumn("batch_id", F.lit(batch_id))
+            events = as_stored(apply_defaults(events, now)).persist(StorageLevel.MEMORY_AND_DISK)
+            clean, bad = quarantine(events, now, STORED_SUITE)
+            aside = {"rejected": rejected_lines(parsed), "quarantine": bad.drop("_batch")}
             # One folder per batch id that has any: a replay overwrites its own.
-            if not rejects.isEmpty():
-                rejects.write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
-            found = as_stored_incidents(inline_incidents(events, ten, limits, as_of=now))
-            append_new(spark, found, root, "incidents", "incident_id", whole_table=whole_table)
-            refresh_daily_metrics(
-                spark, root, ten, touched_slices(events), now, overrun_pct=overrun_pct
-            )
+            for name, rows in aside.items():
+                if not rows.isEmpty():
+                    rows = rows.withColumn("batch_id", F.lit(batch_id))
+                    rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+            if clean.isEmpty():
+                return
+            append_new(spark, clean, root, "job_events", "event_id", unique=True)
+            found = as_stored_incidents(inline_incidents(clean, ten, limits, as_of=now))
+            append_new(spark, found, root, "incidents", "incident_id", unique=True)
+            refresh_daily_metrics(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct)
         finally:
+            events.unpersist()
             parsed.unpersist()
 
     return write

@@ -593,6 +593,18 @@ for _name, _view in (
     # The parameterised SQL reports give one tenant's part of the same dataset.
     _TEXTS[_name] = f"SELECT * FROM ({_TEXTS[_view]}) x WHERE tenant_id = 'client_demo'"
 
+# NaN counts as missing: the same rules over a table where the amounts the fixtures spoil are NULL.
+GAP = "duration_seconds % 17 = 0"
+_CLEAN = (
+    f"(SELECT * REPLACE (CASE WHEN {GAP} THEN NULL ELSE cost_usd END AS cost_usd, "
+    f"CASE WHEN {GAP} THEN NULL ELSE gpu_hours END AS gpu_hours) FROM {{job_events}})"
+)
+for _name in ("cost_spikes", "cost_baseline", "daily_cost_summary", "top_expensive_jobs"):
+    _TEXTS[f"{_name}_dirty"] = _TEXTS[_name].replace("{job_events}", _CLEAN)
+_TEXTS["inline_incidents_dirty"] = _TEXTS["inline_incidents"] + f"""
+        WHERE incident_type <> 'COST_OVERRUN'
+           OR job_id NOT IN (SELECT job_id FROM {{job_events}} WHERE {GAP})"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: oracle(text) for name, text in _TEXTS.items()}

@@ -208,8 +208,8 @@ def test_highest_per_equals_a_full_ranking(spark, k):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_highest_per_without_floors_still_ranks_everything(spark, monkeypatch):
-    monkeypatch.setattr(detect, "MAX_FLOORS", 1)
-    df = spark.createDataFrame([(t, f"{t}{i}", float(i)) for t in "abc" for i in range(200)], "t string, id string, v double")
-    got = detect.highest_per(df, ["t"], "v", "id", 2)
-    assert sorted(r.id for r in got.collect()) == ["a198", "a199", "b198", "b199", "c198", "c199"]
+def test_one_missing_number_raises_no_alarm(spark):
+    rows = [event(i, minutes_ago=10 + i, cost_usd=1.0 + i % 3, status="SUCCEEDED") for i in range(40)]
+    rows.append(event(99, minutes_ago=5, cost_usd=float("nan")))
+    assert detect.cost_spikes(events(spark, rows), AS_OF).count() == 0
+    assert detect.cost_baseline(events(spark, rows), AS_OF).first().std_cost < 1

@@ -141,7 +141,7 @@ def test_cluster_conf_scales_with_the_shuffle():
     from fleetgauge.session import cluster_conf
 
     first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert cluster_conf(0.1, 1)[first] == "200" and cluster_conf(100, 10000)[first] == "40000"
+    assert cluster_conf(1)[first] == "200" and cluster_conf(10000)[first] == "40000"
 
 
 def test_work_dir_is_under_the_shared_folder(spark, monkeypatch):
@@ -150,3 +150,9 @@ def test_work_dir_is_under_the_shared_folder(spark, monkeypatch):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second and (shared is None or first.startswith(shared.rstrip("/") + "/x-"))
+
+
+def test_rounding_keeps_missing_and_huge_values(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 1e300), (4, 1.005), (5, float("inf")), (6, -2.5)], "i int, x double")
+    got = {r.i: r.y for r in df.select("i", numeric.rnd("x", 2).alias("y")).collect()}
+    assert got == {1: None, 2: None, 3: 1e300, 4: 1.0, 5: float("inf"), 6: -2.5}

@@ -123,7 +123,7 @@ def test_daily_totals_over_several_batches(spark, tmp_path, topic, lanes):
 
 def test_topic_source_needs_the_connector(spark):
     try:
-        stream = read_events_stream(spark, "localhost:9092")
+        stream = read_events_stream(spark, "localhost:9092", "topic")
     except Exception as e:  # the connector jar is not part of this installation
         assert "kafka" in str(e).lower()
     else:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+from datetime import timedelta
 
 import pytest
 from conftest import AS_OF, event, events
@@ -14,10 +15,12 @@ from fleetgauge.sources.events import as_stored, query, read_table, scan_events
 from fleetgauge.sources.sinks import (
     append,
     append_new,
+    compact,
     drop_slices,
     export_csv,
     overwrite_slices,
     pinned,
+    stored_keys,
     to_payload,
     touched_slices,
 )
@@ -41,14 +44,33 @@ def test_insert_twice_is_insert_once(spark, tmp_path):
     assert sorted(stored.columns) == sorted(STORED["job_events"].names)
 
 
-def test_reused_id_on_another_day_needs_the_whole_table(spark, tmp_path):
-    first = as_stored(events(spark, [event(1, 10)]))
-    moved = as_stored(events(spark, [event(1, 5000)]))
-    for whole, rows in ((False, 2), (True, 1)):
-        root = str(tmp_path / str(whole))
-        append_new(spark, first, root, "job_events", "event_id")
-        append_new(spark, moved, root, "job_events", "event_id", whole_table=whole)
-        assert read_table(spark, root, "job_events").count() == rows
+def test_reused_id_on_another_day_is_stored_once(spark, tmp_path):
+    root = str(tmp_path)
+    for minutes in (10, 5000, 9000):
+        append_new(spark, as_stored(events(spark, [event(1, minutes), event(minutes)])), root, "job_events", "event_id")
+    assert sorted(r.event_id for r in read_table(spark, root, "job_events").collect()) == ["e1", "e10", "e5000", "e9000"]
+    assert stored_keys(spark, root, "job_events", "event_id").count() == 4
+
+
+def test_crash_before_the_keys_is_healed(spark, tmp_path):
+    root = str(tmp_path)
+    batch = as_stored(events(spark, [event(i, 600 * i) for i in range(5)]))
+    append_new(spark, batch, root, "job_events", "event_id")
+    for f in (tmp_path / "job_events_keys").glob("bucket=*/part-*"):
+        f.unlink()
+    append_new(spark, batch, root, "job_events", "event_id")
+    assert read_table(spark, root, "job_events").count() == 5
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path):
+    root = str(tmp_path)
+    for i in range(6):
+        append_new(spark, as_stored(events(spark, [event(i, 10), event(100 + i, 3000)])), root, "job_events", "event_id")
+    before = sorted(map(str, read_table(spark, root, "job_events").collect()))
+    compact(spark, root, "job_events", (AS_OF - timedelta(minutes=10)).date())
+    assert sorted(map(str, read_table(spark, root, "job_events").collect())) == before
+    files = lambda day: len(list((tmp_path / "job_events" / f"event_date={day}").glob("*/part-*.parquet")))
+    assert files("2024-01-30") == 1 and files("2024-01-28") == 6
 
 
 def test_anti_join_reads_only_touched_days(spark, tmp_path):
@@ -81,7 +103,7 @@ def test_refresh_broadcasts_the_slices(spark, tenants, tmp_path):
     listed = pinned(touched_slices(ev))
     plan = daily_metrics(ev, tenants, AS_OF, slices=listed)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert listed.count() == 2 and pinned(touched_slices(ev), limit=1).count() == 2
+    assert listed.count() == 2
 
 
 def test_slice_without_events_is_removed(spark, tenants, tmp_path):
@@ -95,6 +117,15 @@ def test_slice_without_events_is_removed(spark, tenants, tmp_path):
     assert [str(r.metric_date) for r in read_table(spark, root, "daily_metrics").collect()] == ["2024-01-30"]
 
 
+def test_slices_without_a_name_touch_nothing(spark, tenants, tmp_path):
+    root = str(tmp_path)
+    ev = as_stored(events(spark, [event(1, 10)]))
+    append_new(spark, ev, root, "job_events", "event_id")
+    unnamed = touched_slices(ev).withColumn("tenant_id", F.lit(None).cast("string"))
+    assert drop_slices(spark, unnamed, root, "job_events") == 0
+    assert read_table(spark, root, "job_events").count() == 1
+
+
 def test_overwrite_with_nothing_changes_nothing(spark, tenants, tmp_path):
     root = str(tmp_path)
     ev = as_stored(events(spark, [event(1)]))
