@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.shared import column, cut, dealt_out, maybe_in, rows_of_shared_keys, slices, total
+from fleetgauge.llm.shared import column, cut, marked, maybe_in, rows_of_shared_keys, slices, total
 from fleetgauge.llm.shingles import fingerprints, grouped, mix, raw, shingle_sets, shingles, sketches, starts_of
 
 #: Similarity in hundredths.
@@ -124,11 +124,10 @@ def _prefixes(table) -> object:
             place = np.arange(len(line)) - starts_of(line, len(row))[line]
             keep = place < (n - -(-SIMILAR * n // 100) + 1)[line]
             line, v, place = line[keep], v[keep], place[keep]
-            part, sure = dealt_out(v, f1[line], mix)
-            values = (v.view(np.int64), f1[line], place.astype(np.int32), part.view(np.int64), sure)
+            values = (marked(v).view(np.int64), f1[line], place.astype(np.int32))
             for lo in range(0, len(line), 1 << 17):
                 own = slice(lo, lo + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(x[own]) for x in values], ["key", "f1", "i", "part", "sure"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[own]) for x in values], ["key", "f1", "i"])
 
     return run
 
@@ -175,8 +174,8 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     shape = [F.first(c).alias(c) for c in ("n", *_SKETCH)]
     classes = cut(lines.groupBy("f1", "f2").agg(F.min(place).alias("place"), *shape))
 
-    rows = docs.mapInArrow(_prefixes(table), "key long, f1 long, i int, part long, sure boolean")
-    rows = cut(rows_of_shared_keys(rows))
+    rows = docs.mapInArrow(_prefixes(table), "key long, f1 long, i int")
+    rows = cut(rows_of_shared_keys(rows, "f1"))
     rows = cut(rows.distinct().join(classes.drop("f2"), "f1"))
     first = rows.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("high")).filter("low < high")
     rows = cut(rows.join(first.drop("high"), "key"))

@@ -14,7 +14,7 @@ other, the smallest of the block it shares most often with; the links found make
 Then only documents of different components that share a block are compared. Blocks are more than
 needed, by three in ten; so a document may leave out that many blocks and still lose no link. It
 leaves out empty ones and those that more than HOT documents share, unless there are more than it
-may. Where too many blocks are empty, the document is dealt out once more by another hash: the pair
+may; what it could have left out beyond these, a similar document must share as well. Where too many blocks are empty, the document is dealt out once more by another hash: the pair
 is found at the first hash at which either document has few empty blocks. After the last hash, the
 empty blocks are kept as well, so the join stays exact.
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.shared import column, components, cut, dealt_out, maybe_in, rows_of_shared_keys, slices, total
+from fleetgauge.llm.shared import column, components, cut, marked, maybe_in, rows_of_shared_keys, slices, total
 from fleetgauge.llm.shingles import fingerprints, folded, mix, raw, shingle_sets, sketches, starts_of
 
 #: Similarity in hundredths: 100 * intersection >= SIMILAR * union.
@@ -46,8 +46,8 @@ HOT = 64
 SEEN = 1 << 16
 #: Hashes by which a document is dealt out at most.
 DEALS = 8
-#: Low bits of a block's key that hold its group and hash.
-LOW = 10
+#: Low bits of a block's key: two marks, the number of the hash, the size band.
+LOW = 12
 #: First partners are looked for in one of so many blocks, and in all blocks of sets below that size.
 SOME, SMALL = 8, 100
 _SKETCH = [f"k{i}" for i in range(FOLD)]
@@ -98,7 +98,7 @@ def _dealings(segment: np.ndarray, value: np.ndarray, take: np.ndarray, sizes: n
             if left.any():
                 key, doc, may, left = _dealt(segment, value, left, band, blocks, spare, deal, deal == DEALS - 1)
                 grp = band[doc] * DEALS + deal
-                yield (key >> np.uint64(LOW) << np.uint64(LOW)) + grp.astype(np.uint64), doc, may, grp
+                yield (key >> np.uint64(LOW) << np.uint64(LOW)) + (grp.astype(np.uint64) << np.uint64(2)), doc, may, grp
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,11 +118,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.popitem(last=False)
         ids = np.asarray(column(batch, "doc_id"))
         for key, doc, _, _ in _dealings(segment, value, new, sizes):
-            part, sure = dealt_out(key, ids[doc], mix)
+            key = marked(key)
             for lo in range(0, len(doc), 1 << 17):
                 own = slice(lo, lo + (1 << 17))
-                values = (key[own].view(np.int64), ids[doc[own]], part[own].view(np.int64), sure[own])
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["key", "doc_id", "part", "sure"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[own].view(np.int64)), pa.array(ids[doc[own]])], ["key", "doc_id"])
 
 
 def _spares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +201,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     digest = cut(digest.join(sets, ["f1", "f2"], "left").drop("f1", "f2"))
     nodes = digest.filter("node is not null").select("doc_id", "node")
     known = docs.filter("doc_id is not null")
-    rows = cut(rows_of_shared_keys(known.mapInArrow(_blocks, "key long, doc_id long, part long, sure boolean")))
+    rows = cut(rows_of_shared_keys(known.mapInArrow(_blocks, "key long, doc_id long"), "doc_id"))
     shape = digest.filter("node is not null").select("doc_id", "n", *_SKETCH)
 
     def shaped(ids: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -211,7 +210,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     # one partner for each document: the smallest of the block it shares most often
     small = int(np.searchsorted(_BANDS, SMALL)) * DEALS
-    grp = F.col("key").bitwiseAND(F.lit((1 << LOW) - 1))
+    grp = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << LOW) - 1)), 2)
     some = rows.filter((grp < small) | (F.pmod(F.shiftrightunsigned("key", LOW), F.lit(SOME)) == 0))
     low = some.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
     partner = some.join(low, "key").filter("doc_id > low").groupBy("doc_id", "low").agg(F.count("*").alias("times"))
@@ -227,16 +226,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
     mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
     rows = cut(rows.join(mixed.filter("c0 < c1").select("key", "members"), "key").withColumn("grp", grp.cast("int")))
-    hot = rows.filter(F.col("members") > HOT).groupBy("doc_id", "grp").agg(F.count("*").alias("hot"))
-    spare = maybe_in(known, "doc_id", hot.select("doc_id")).mapInArrow(_spares, "doc_id long, grp int, spare int")
-    hot = hot.join(spare, ["doc_id", "grp"]).filter("hot > spare").select("doc_id", "grp").distinct().withColumn("many", F.lit(True))
-    rows = rows.join(hot, ["doc_id", "grp"], "left").filter(f"members <= {HOT} or many")
-    rows = cut(shaped(rows.select("key", "doc_id", "component").distinct(), "doc_id", ""))
+    spare = maybe_in(known, "doc_id", rows.select("doc_id").distinct()).mapInArrow(_spares, "doc_id long, grp int, spare int")
+    hot = rows.groupBy("doc_id", "grp").agg(F.sum((F.col("members") > HOT).cast("int")).alias("hot"))
+    may = hot.join(spare.groupBy("doc_id", "grp").agg(F.min("spare").alias("spare")), ["doc_id", "grp"])
+    # the blocks that a similar document has to share beyond those that may be left out
+    may = may.select("doc_id", "grp", (F.col("hot") > F.col("spare")).alias("many"), F.greatest(F.col("spare") - F.col("hot"), F.lit(0)).alias("least"))
+    rows = rows.join(may, ["doc_id", "grp"]).filter(f"members <= {HOT} or many").select("key", "grp", "doc_id", "component", "least")
+    rows = cut(shaped(rows.distinct(), "doc_id", ""))
     one = rows.withColumnsRenamed({c: f"a_{c}" for c in rows.columns})
     two = rows.withColumnsRenamed({c: f"b_{c}" for c in rows.columns})
     meet = (F.col("a_key") == F.col("b_key")) & F.expr("a_component < b_component")
     rest = one.join(two, meet & _near("a_", "b_"))
-    rest = rest.select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
+    rest = rest.groupBy(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), "a_grp").agg(
+        F.count("*").alias("blocks"), F.greatest(F.max("a_least"), F.max("b_least")).alias("least"))
+    rest = rest.filter("blocks > least").select("a", "b").distinct()
     more = _verified(docs, rest)
     final = cut(components(links.unionByName(more), "a", "b"))
     out = digest.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -77,28 +77,28 @@ def maybe_in(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return hit.filter(F.expr("(shiftrightunsigned(__bits, __bit) & 1L) = 1L")).drop("__word", "__bit", "__bits")
 
 
-def dealt_out(key: np.ndarray, node: np.ndarray, mix) -> tuple[np.ndarray, np.ndarray]:
-    """(part, sure) of a slice's rows, for rows_of_shared_keys().
+def marked(key: np.ndarray) -> np.ndarray:
+    """Keys of a slice's rows with their lowest two bits set for rows_of_shared_keys().
 
-    Of each key the slice has, one row goes where the key belongs. The others, which are sure to share
-    their key, go anywhere: so a key that a third of all rows have is a row per slice in its partition.
+    0: the slice has the key once. Of a key that it has more often, one row gets 1 and the others 2.
     """
     order = np.argsort(key)
-    k = key[order]
+    k = key[order] >> np.uint64(2)
     again = np.zeros(len(k) + 1, bool)
     again[1:-1] = k[1:] == k[:-1]
-    part, sure = np.empty_like(key), np.empty(len(k), bool)
-    part[order] = np.where(again[:-1], mix(k ^ mix(node[order].astype(np.uint64))), k)
-    sure[order] = again[:-1] | again[1:]
-    return part, sure
+    out = np.empty_like(key)
+    out[order] = (k << np.uint64(2)) + np.where(again[:-1], 2, again[1:]).astype(np.uint64)
+    return out
 
 
-def rows_of_shared_keys(rows: DataFrame) -> DataFrame:
-    """Rows (key, ...) whose key more than one row has, without the columns part and sure.
+def rows_of_shared_keys(rows: DataFrame, node: str) -> DataFrame:
+    """Rows (key, node, ...) whose key more than one row has; their lowest two bits are cleared.
 
-    Sorted partitions stream by in constant memory.
+    One row of a slice goes where its key belongs. The slice's others are sure to share the key and
+    go anywhere: a key that a third of all rows have is a row per slice in its partition. Sorted
+    partitions stream by in constant memory.
     """
-    names = [f for f in rows.columns if f not in ("part", "sure")]
+    place = F.when(F.col("key").bitwiseAND(F.lit(3)) == 2, F.xxhash64("key", node)).otherwise(F.shiftright("key", 2))
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the last row so far, whose successor is not known yet
@@ -106,8 +106,9 @@ def rows_of_shared_keys(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, sure = np.asarray(column(batch, "key")), np.asarray(column(batch, "sure"))
-            batch = batch.select(names)
+            keys = np.asarray(column(batch, "key"))
+            sure, keys = (keys & 3) != 0, keys >> 2
+            batch = batch.set_column(batch.schema.get_field_index("key"), "key", pa.array(keys << 2))
             same = np.zeros(len(keys) + 1, dtype=bool)
             same[1:-1] = keys[1:] == keys[:-1]
             if held is not None:
@@ -120,7 +121,7 @@ def rows_of_shared_keys(rows: DataFrame) -> DataFrame:
         if held is not None and held_stays:
             yield held
 
-    return rows.repartition("part").sortWithinPartitions("key").mapInArrow(shared, rows.select(*names).schema)
+    return rows.repartition(place).sortWithinPartitions("key").mapInArrow(shared, rows.schema)
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
