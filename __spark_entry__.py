@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from datetime import timedelta
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +27,11 @@ from fleetgauge.operators.incidents import (  # noqa: E402
 )
 from fleetgauge.plans import digest, finance, metrics, operations, reports  # noqa: E402
 from fleetgauge.session import work_dir  # noqa: E402
-from fleetgauge.sources.events import apply_defaults, decode_events, scan_events  # noqa: E402
+from fleetgauge.schemas import DAILY_METRICS  # noqa: E402
+from fleetgauge.sources.events import apply_defaults, decode_events, read_table, scan_events  # noqa: E402
 from fleetgauge.sources.sinks import new_rows, to_payload, touched_slices  # noqa: E402
 from fleetgauge.streaming import daily as stream_daily  # noqa: E402
+from fleetgauge.streaming import ingest  # noqa: E402
 from oracles import oracle_sql as _oracle_sql  # noqa: E402
 
 try:  # the training-data operators may be absent; everything else works without them
@@ -150,6 +154,51 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_daily.latest_totals(spark.read.parquet(f"{out}/table"))
 
 
+@lru_cache(maxsize=2)
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of tables after four micro-batches of JSON lines.
+
+    Some events have no tenant, some a start that is no time. The second batch repeats the first one's
+    ids with other days, the third repeats the first, and the third comes again as after a crash.
+    """
+    b = Bound.over(spark, sf_dir)
+    seconds = F.col("duration_seconds")
+    ev = b.raw_job_events.drop("ingested_at").withColumn("tenant_id", F.when(seconds % 29 != 0, F.col("tenant_id")))
+
+    def lines(rows: DataFrame, days_back: int = 0) -> DataFrame:
+        start = (F.col("started_at") - F.make_interval(days=F.lit(days_back))).cast("string")
+        start = F.when(seconds % 31 == 0, F.lit("soon")).otherwise(start)
+        times = {"started_at": start, "completed_at": F.col("completed_at").cast("string")}
+        return rows.withColumns(times).select(F.to_json(F.struct(*rows.columns)).alias("value"))
+
+    first, second, third = (ev.filter(seconds % 3 == i) for i in range(3))
+    batches = [lines(first), lines(second).unionByName(lines(first, 2)), lines(third).unionByName(lines(first))]
+    root = work_dir(spark, "ingest")
+    write = ingest.make_batch_writer(root, b.tenants, lambda i: AS_OF + timedelta(minutes=i))
+    for i in (0, 1, 2, 2):
+        write(batches[i], i)
+    return root
+
+
+def _table_of(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: read_table(spark, _ingested(spark, sf_dir), name).select(*columns)
+
+
+def _aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{_ingested(spark, sf_dir)}/quarantine")
+    return rows.select("event_id", F.array_join(F.sort_array("reasons"), ", ").alias("reasons")).distinct()
+
+
+_INGEST = {
+    "ingest_events": _table_of("job_events", *ROW, "duration_seconds", "event_date"),
+    "ingest_incidents": _table_of("incidents", "tenant_id", "job_id", "incident_type", "severity", "metric_value"),
+    "ingest_daily_metrics": _table_of(
+        "daily_metrics", *(c for c in DAILY_METRICS.names if c != "computed_at"), "tenant_day_over_budget"
+    ),
+    "ingest_quarantine": _aside,
+}
+
+
 def _report(name: str, **args: str) -> Callable[[Bound], DataFrame]:
     def run(b: Bound) -> DataFrame:
         b.job_events.createOrReplaceTempView("job_events")
@@ -278,20 +327,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["daily_cost_summary"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every dataset by name; each takes (spark, folder of driver tables)."""
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The datasets over job telemetry; each takes (spark, folder of driver tables)."""
 
     def bind(build: Callable[[Bound], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Bound.over(spark, sf_dir))
 
-    own = {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream}
-    return own if _llm is None else {**own, **_llm.queries(), "pipeline": _pipeline}
+    return {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream, **_INGEST}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every dataset by name, and the training-data operators where they are present."""
+    return own_queries() if _llm is None else {**own_queries(), **_llm.queries(), "pipeline": _pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    own = _oracle_sql()
-    if _llm is not None:
-        own |= _llm.oracle_sql()
-        if _PIPELINE_SQL is not None:
-            own["pipeline"] = _PIPELINE_SQL
-    return own
+    if _llm is None:
+        return _oracle_sql()
+    pipeline = {} if _PIPELINE_SQL is None else {"pipeline": _PIPELINE_SQL}
+    return {**_oracle_sql(), **_llm.oracle_sql(), **pipeline}

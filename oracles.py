@@ -599,11 +599,31 @@ _CLEAN = (
     f"(SELECT * REPLACE (CASE WHEN {GAP} THEN NULL ELSE cost_usd END AS cost_usd, "
     f"CASE WHEN {GAP} THEN NULL ELSE gpu_hours END AS gpu_hours) FROM {{job_events}})"
 )
-for _name in ("cost_spikes", "cost_baseline", "daily_cost_summary", "top_expensive_jobs"):
+for _name in ("cost_spikes", "cost_baseline", "daily_cost_summary"):
     _TEXTS[f"{_name}_dirty"] = _TEXTS[_name].replace("{job_events}", _CLEAN)
 _TEXTS["inline_incidents_dirty"] = _TEXTS["inline_incidents"] + f"""
         WHERE incident_type <> 'COST_OVERRUN'
            OR job_id NOT IN (SELECT job_id FROM {{job_events}} WHERE {GAP})"""
+_TEXTS["top_expensive_jobs_dirty"] = (
+    _TEXTS["top_expensive_jobs"].replace("FROM {job_events}", f"FROM {_CLEAN} j").replace("{job_events}.cost_usd", "j.cost_usd")
+)
+
+# Ingestion: what has a tenant and a start time is stored once, as it came first.
+_NO_TENANT, _NO_TIME = "duration_seconds % 29 = 0", "duration_seconds % 31 = 0"
+_STORED = f"(SELECT * FROM {{job_events}} WHERE NOT ({_NO_TENANT} OR {_NO_TIME}))"
+_TEXTS["ingest_events"] = f"""
+    SELECT event_id, tenant_id, job_type, status, started_at, cost_usd, duration_seconds,
+           CAST(started_at AS DATE) AS event_date FROM {_STORED} s"""
+_TEXTS["ingest_incidents"] = f"""
+    SELECT tenant_id, job_id, incident_type, severity, metric_value FROM {{incidents}}
+    WHERE job_id IN (SELECT job_id FROM {_STORED} s)"""
+_TEXTS["ingest_daily_metrics"] = (
+    "SELECT * EXCLUDE (computed_at) FROM (" + _TEXTS["daily_metrics"].replace("{job_events}", _STORED) + ") m"
+)
+_TEXTS["ingest_quarantine"] = f"""
+    SELECT DISTINCT event_id, concat_ws(', ', CASE WHEN {_NO_TIME} THEN 'started_at null' END,
+                                        CASE WHEN {_NO_TENANT} THEN 'tenant_id null' END) AS reasons
+    FROM {{job_events}} WHERE {_NO_TENANT} OR {_NO_TIME}"""
 
 
 def oracle_sql() -> dict[str, str]:

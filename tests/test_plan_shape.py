@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import queries
+from __spark_entry__ import own_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def plans(spark):
     built = {}
-    for name, query in queries().items():
+    for name, query in own_queries().items():
         if name != "stream_daily":
             built[name] = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     return built
