@@ -6,113 +6,114 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    """Build a schema from lines of ``name type [!]``; ``!`` marks a required column."""
-    kinds = {
-        "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
-        "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(),
-        "ntz": T.TimestampNTZType(),
-    }
-    fields = []
-    for line in spec.strip().splitlines():
-        name, kind, *required = line.split()
-        fields.append(T.StructField(name, kinds[kind], not required))
-    return T.StructType(fields)
-
-
-# Column names, types and order of the tables.
-JOB_EVENTS = _struct("""
-    event_id string !
-    job_id string !
-    job_name string !
-    job_type string !
-    tenant_id string !
-    project_id string !
-    region string !
-    status string !
-    model_id string
-    framework string
-    machine_type string !
-    gpu_type string
-    gpu_count int
-    replica_count int
-    batch_size int
-    dataset_size_gb double
-    started_at ntz
-    completed_at ntz
-    duration_seconds int
-    gpu_hours double
-    cpu_hours double
-    cost_usd double
-    ingested_at ntz
-""")
-
-DAILY_METRICS = _struct("""
-    metric_date date !
-    tenant_id string !
-    job_type string !
-    total_jobs bigint
-    succeeded_jobs bigint
-    failed_jobs bigint
-    total_gpu_hours double
-    total_cpu_hours double
-    total_cost_usd double
-    avg_duration_sec double
-    p95_duration_sec double
-    budget_threshold double
-    is_over_budget boolean
-    computed_at ntz
-""")
-
-INCIDENTS = _struct("""
-    incident_id string !
-    tenant_id string !
-    job_id string
-    incident_type string !
-    severity string !
-    title string !
-    description string
-    metric_value double
-    threshold_value double
-    recommended_action string
-    status string
-    detected_at ntz
-    resolved_at ntz
-""")
-
-DIGESTS = _struct("""
-    digest_id string !
-    tenant_id string !
-    digest_date date !
-    period string !
-    summary_text string !
-    incidents_count bigint
-    total_cost_usd double
-    budget_status string
-    generated_at ntz
-""")
-
-TENANTS = _struct("""
-    tenant_id string !
-    display_name string
-    project_id string
-    region string
-    budget_weekly double
-    sla_p95_hours double
-    alert_email string
-    dashboard_view string
-    machine_type_preference string
-    gpu_policy string
-    notify_on_overrun boolean
-""")
-
-RATE_CARD = _struct("""
-    machine_type string !
-    gpu_type string
-    gpu_count int
-    gpu_rate double
-    cpu_rate double
-""")
+STRING, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BOOLEAN, DATE, NTZ = T.BooleanType(), T.DateType(), T.TimestampNTZType()
+
+# Name, type and whether it may be null, of each column in order.
+JOB_EVENTS = T.StructType(
+    [
+        T.StructField("event_id", STRING, False),
+        T.StructField("job_id", STRING, False),
+        T.StructField("job_name", STRING, False),
+        T.StructField("job_type", STRING, False),
+        T.StructField("tenant_id", STRING, False),
+        T.StructField("project_id", STRING, False),
+        T.StructField("region", STRING, False),
+        T.StructField("status", STRING, False),
+        T.StructField("model_id", STRING, True),
+        T.StructField("framework", STRING, True),
+        T.StructField("machine_type", STRING, False),
+        T.StructField("gpu_type", STRING, True),
+        T.StructField("gpu_count", INT, True),
+        T.StructField("replica_count", INT, True),
+        T.StructField("batch_size", INT, True),
+        T.StructField("dataset_size_gb", DOUBLE, True),
+        T.StructField("started_at", NTZ, True),
+        T.StructField("completed_at", NTZ, True),
+        T.StructField("duration_seconds", INT, True),
+        T.StructField("gpu_hours", DOUBLE, True),
+        T.StructField("cpu_hours", DOUBLE, True),
+        T.StructField("cost_usd", DOUBLE, True),
+        T.StructField("ingested_at", NTZ, True),
+    ]
+)
+
+DAILY_METRICS = T.StructType(
+    [
+        T.StructField("metric_date", DATE, False),
+        T.StructField("tenant_id", STRING, False),
+        T.StructField("job_type", STRING, False),
+        T.StructField("total_jobs", BIGINT, True),
+        T.StructField("succeeded_jobs", BIGINT, True),
+        T.StructField("failed_jobs", BIGINT, True),
+        T.StructField("total_gpu_hours", DOUBLE, True),
+        T.StructField("total_cpu_hours", DOUBLE, True),
+        T.StructField("total_cost_usd", DOUBLE, True),
+        T.StructField("avg_duration_sec", DOUBLE, True),
+        T.StructField("p95_duration_sec", DOUBLE, True),
+        T.StructField("budget_threshold", DOUBLE, True),
+        T.StructField("is_over_budget", BOOLEAN, True),
+        T.StructField("computed_at", NTZ, True),
+    ]
+)
+
+INCIDENTS = T.StructType(
+    [
+        T.StructField("incident_id", STRING, False),
+        T.StructField("tenant_id", STRING, False),
+        T.StructField("job_id", STRING, True),
+        T.StructField("incident_type", STRING, False),
+        T.StructField("severity", STRING, False),
+        T.StructField("title", STRING, False),
+        T.StructField("description", STRING, True),
+        T.StructField("metric_value", DOUBLE, True),
+        T.StructField("threshold_value", DOUBLE, True),
+        T.StructField("recommended_action", STRING, True),
+        T.StructField("status", STRING, True),
+        T.StructField("detected_at", NTZ, True),
+        T.StructField("resolved_at", NTZ, True),
+    ]
+)
+
+DIGESTS = T.StructType(
+    [
+        T.StructField("digest_id", STRING, False),
+        T.StructField("tenant_id", STRING, False),
+        T.StructField("digest_date", DATE, False),
+        T.StructField("period", STRING, False),
+        T.StructField("summary_text", STRING, False),
+        T.StructField("incidents_count", BIGINT, True),
+        T.StructField("total_cost_usd", DOUBLE, True),
+        T.StructField("budget_status", STRING, True),
+        T.StructField("generated_at", NTZ, True),
+    ]
+)
+
+TENANTS = T.StructType(
+    [
+        T.StructField("tenant_id", STRING, False),
+        T.StructField("display_name", STRING, True),
+        T.StructField("project_id", STRING, True),
+        T.StructField("region", STRING, True),
+        T.StructField("budget_weekly", DOUBLE, True),
+        T.StructField("sla_p95_hours", DOUBLE, True),
+        T.StructField("alert_email", STRING, True),
+        T.StructField("dashboard_view", STRING, True),
+        T.StructField("machine_type_preference", STRING, True),
+        T.StructField("gpu_policy", STRING, True),
+        T.StructField("notify_on_overrun", BOOLEAN, True),
+    ]
+)
+
+RATE_CARD = T.StructType(
+    [
+        T.StructField("machine_type", STRING, False),
+        T.StructField("gpu_type", STRING, True),
+        T.StructField("gpu_count", INT, True),
+        T.StructField("gpu_rate", DOUBLE, True),
+        T.StructField("cpu_rate", DOUBLE, True),
+    ]
+)
 
 # The wire record is the stored event with times as text, no arrival time,
 # and two sender-side fields. Everything may be missing on the wire.

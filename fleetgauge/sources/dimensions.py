@@ -11,23 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RATE_CARD, TENANTS
 from ..settings import DEFAULT_WEEKLY_BUDGET
 
-# The three configured tenants.
-DEFAULT_TENANTS = (
-    ("client_acme", "ACME Corp", "acme-prod", "us-central1", 5000.0, 2.0,
-     "acme@ops.example", "finance_primary", "a2-highgpu-1g", "open", True),
-    ("client_demo", "Demo Client", "demo-dev", "us-east1", 2500.0, 3.0,
-     "demo@ops.example", "technical_primary", "n1-standard-8", "restricted", True),
-    ("client_internal", "Internal", "internal-ops", "us-west1", 15000.0, 4.0,
-     "internal@ops.example", "technical_primary", "a2-highgpu-4g", "open", False),
-)
-
 # Accelerator, accelerator count and hourly rates by machine.
 DEFAULT_RATES = (
     ("n1-standard-4", None, 0, 0.0, 0.19),
@@ -49,7 +39,8 @@ def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.Struc
     return spark.createDataFrame(table, schema)
 
 
-def tenant_table(spark: SparkSession, rows: Iterable[Sequence] = DEFAULT_TENANTS) -> DataFrame:
+def tenant_table(spark: SparkSession, rows: Iterable[Sequence]) -> DataFrame:
+    """Tenants given as rows in the order of the schema; larger sets come from files."""
     return literal_table(spark, rows, TENANTS)
 
 
@@ -66,18 +57,34 @@ def read_tenants(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
 
 
 def read_tenant_settings(spark: SparkSession, pattern: str) -> DataFrame:
-    """Tenant table from one flat ``key: value`` settings file per tenant."""
+    """Tenant table from one flat ``key: value`` settings file per tenant.
+
+    Lines without a key (blank ones, comments) are skipped. A value may stand in quotes; outside of
+    them a ``#`` after a space starts a comment. Of a repeated key the last line counts.
+    """
     files = spark.read.text(pattern, wholetext=True)
-    plain = F.regexp_replace("value", r"[ \t]*#[^\n]*", "")
-    pairs = F.str_to_map(F.regexp_replace(plain, r":[ \t]*", ":"), F.lit("\n"), F.lit(":"))
+    key, rest = r"^[ \t]*([A-Za-z_][A-Za-z0-9_]*)[ \t]*:", r"^[^:]*:[ \t]*(.*?)[ \t]*$"
+
+    def value(line: Column) -> Column:
+        text = F.regexp_extract(line, rest, 1)
+        quoted = F.regexp_extract(text, r"""^(["'])(.*?)\1[ \t]*(?:#.*)?$""", 2)
+        plain = F.rtrim(F.regexp_replace(text, r"(^|[ \t]+)#.*$", ""))
+        return F.when(text.rlike(r"""^(["'])(.*?)\1[ \t]*(?:#.*)?$"""), quoted).otherwise(F.nullif(plain, F.lit("")))
+
+    def last(name: str) -> Column:
+        own = F.filter("lines", lambda x: F.regexp_extract(x, key, 1) == name)
+        return F.element_at(F.transform(own, value), -1)
+
+    lines = F.split(F.regexp_replace("value", "\r", ""), "\n")
+    named = files.select(F.filter(lines, lambda x: x.rlike(key)).alias("lines"))
     renamed = {"budget_weekly": "budget_threshold_weekly"}
-    fields = files.select(pairs.alias("m"))
-    return fields.select(
-        *[
-            F.trim(F.element_at("m", renamed.get(f.name, f.name))).cast(f.dataType).alias(f.name)
-            for f in TENANTS
-        ]
-    ).filter(F.col("tenant_id").isNotNull())
+
+    def field(f: T.StructField) -> Column:
+        name = renamed.get(f.name, f.name)
+        known = F.exists("lines", lambda x: F.regexp_extract(x, key, 1) == name)
+        return F.when(known, last(name)).cast(f.dataType).alias(f.name)
+
+    return named.select(*[field(f) for f in TENANTS]).filter(F.col("tenant_id").isNotNull())
 
 
 def with_budget(df: DataFrame, ten: DataFrame, *extra: str) -> DataFrame:

@@ -14,6 +14,14 @@ from fleetgauge.session import build_session  # noqa: E402
 from fleetgauge.sources.dimensions import rate_card, tenant_table  # noqa: E402
 
 AS_OF = datetime(2024, 1, 31)
+TENANTS = (
+    ("client_acme", "ACME Corp", "acme-prod", "us-central1", 5000.0, 2.0,
+     "acme@ops.example", "finance_primary", "a2-highgpu-1g", "open", True),
+    ("client_demo", "Demo Client", "demo-dev", "us-east1", 2500.0, 3.0,
+     "demo@ops.example", "technical_primary", "n1-standard-8", "restricted", True),
+    ("client_internal", "Internal", "internal-ops", "us-west1", 15000.0, 4.0,
+     "internal@ops.example", "technical_primary", "a2-highgpu-4g", "open", False),
+)
 
 
 @pytest.fixture(scope="session")
@@ -29,7 +37,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tenants(spark):
-    return tenant_table(spark)
+    return tenant_table(spark, TENANTS)
 
 
 @pytest.fixture(scope="session")

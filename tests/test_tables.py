@@ -190,6 +190,12 @@ def test_tenants_from_files(spark, tenants, tmp_path):
     row = read_tenant_settings(spark, str(tmp_path / "*.yml")).first()
     assert (row.tenant_id, row.budget_weekly, row.gpu_policy, row.sla_p95_hours) == ("t1", 700.5, "open", 2.0)
     assert row.notify_on_overrun is True and row.region is None
+    (tmp_path / "two.yml").write_text(
+        "# settings\n\n\ntenant_id: \"t#2\"  # quoted\r\n  # indented\nregion: 'a: b'\nproject_id: p#1\ngpu_policy:\n"
+        "alert_email: x # y\nalert_email: last@b.example\n"
+    )
+    row = read_tenant_settings(spark, str(tmp_path / "two.yml")).first()
+    assert (row.tenant_id, row.region, row.project_id, row.gpu_policy, row.alert_email) == ("t#2", "a: b", "p#1", None, "last@b.example")
 
 
 def test_unknown_tenant_gets_the_default_budget(spark, tenants):
