@@ -149,7 +149,7 @@ DATE_COMPANION = {
 PARTITIONS = {
     "job_events": ("event_date", "tenant_id"),
     "daily_metrics": ("metric_date", "tenant_id"),
-    "incidents": ("subject_date", "tenant_id"),
+    "incidents": ("detected_date", "tenant_id"),
     "digests": ("digest_date",),
 }
 STORED = {

@@ -8,6 +8,7 @@ import pytest
 from conftest import AS_OF, event, events
 from pyspark.sql import functions as F
 
+from fleetgauge.operators.incidents import as_stored_incidents, escalations, inline_incidents
 from fleetgauge.plans.metrics import daily_metrics, refresh_daily_metrics
 from fleetgauge.schemas import DAILY_METRICS, DIGESTS, INCIDENTS, JOB_EVENTS, STORED, create_tables
 from fleetgauge.sources.dimensions import read_tenant_settings, read_tenants, with_budget
@@ -210,6 +211,21 @@ def test_scan_filters(spark):
     assert scan_events(ev, upto="2024-01-30").count() == 1 and scan_events(ev).count() == 3
 
 
+def test_recent_incidents_read_recent_partitions(spark, tenants, tmp_path):
+    root = str(tmp_path)
+    ev = events(spark, [event(i, minutes_ago=30, status="FAILED") for i in range(3)])
+    for days in (0, 1, 20):
+        at = AS_OF - timedelta(days=days, minutes=5)
+        found = inline_incidents(ev.withColumn("event_id", F.concat("event_id", F.lit(f"-{days}"))), tenants, as_of=at)
+        append_new(spark, as_stored_incidents(found), root, "incidents", "incident_id", unique=True)
+    stored = read_table(spark, root, "incidents")
+    assert stored.count() == 9
+    recent = escalations(stored.withColumn("severity", F.lit("CRITICAL")), AS_OF)
+    assert recent.count() == 3
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "detected_date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+
+
 def test_adhoc_query_raises_errors(spark):
     ev = events(spark, [event(1)])
     df = query(spark, "SELECT count(*) AS n FROM ev WHERE tenant_id = :t", {"ev": ev}, t="client_demo")
