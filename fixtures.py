@@ -44,10 +44,14 @@ VIEWS = {
           (4, 'a2-highgpu-4g', 'NVIDIA_TESLA_A100', 4, 2.93, 0.0)
         ) t(slot, machine_type, gpu_type, gpu_count, gpu_rate, cpu_rate)""",
     "job_base": """
-        SELECT e.event_id AS n, e.user_id AS u, e.event_type, e.ts,
-               CAST(floor(e.value * 72) AS INT) AS duration_seconds,
-               CAST(floor(e.value * 72) AS INT) / 3600e0 AS hrs
-        FROM {events} e""",
+        SELECT n, u, event_type, ts, duration_seconds, duration_seconds / 3600e0 AS hrs
+        FROM (
+          SELECT e.event_id AS n, e.user_id AS u, e.event_type, e.ts,
+                 -- on the last day some jobs on machines with accelerators end almost at once
+                 CAST(floor(e.value * CASE WHEN e.ts >= TIMESTAMP '2024-01-30 00:00:00'
+                   AND e.event_id % 5 >= 2 AND e.event_id % 7 < 2 THEN 2 ELSE 72 END) AS INT)
+                   AS duration_seconds
+          FROM {events} e) d""",
     "job_events": """
         SELECT concat('evt-', CAST(b.n AS STRING)) AS event_id,
                concat('job-', CAST(b.n AS STRING)) AS job_id,
