@@ -227,10 +227,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     mixed = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("members"))
     rows = cut(rows.join(mixed.filter("c0 < c1").select("key", "members"), "key").withColumn("grp", grp.cast("int")))
     spare = maybe_in(known, "doc_id", rows.select("doc_id").distinct()).mapInArrow(_spares, "doc_id long, grp int, spare int")
-    hot = rows.groupBy("doc_id", "grp").agg(F.sum((F.col("members") > HOT).cast("int")).alias("hot"))
+    hot = rows.groupBy("doc_id", "grp").agg(F.count("*").alias("all"), F.sum((F.col("members") > HOT).cast("int")).alias("hot"))
     may = hot.join(spare.groupBy("doc_id", "grp").agg(F.min("spare").alias("spare")), ["doc_id", "grp"])
-    # the blocks that a similar document has to share beyond those that may be left out
-    may = may.select("doc_id", "grp", (F.col("hot") > F.col("spare")).alias("many"), F.greatest(F.col("spare") - F.col("hot"), F.lit(0)).alias("least"))
+    # a similar document shares more blocks than may be left out: who has no more can't have one
+    may = may.filter("all > spare").select("doc_id", "grp", (F.col("hot") > F.col("spare")).alias("many"), F.greatest(F.col("spare") - F.col("hot"), F.lit(0)).alias("least"))
     rows = rows.join(may, ["doc_id", "grp"]).filter(f"members <= {HOT} or many").select("key", "grp", "doc_id", "component", "least")
     rows = cut(shaped(rows.distinct(), "doc_id", ""))
     one = rows.withColumnsRenamed({c: f"a_{c}" for c in rows.columns})
