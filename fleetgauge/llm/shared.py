@@ -20,6 +20,8 @@ def work_folder(spark) -> str:
     """The shared folder of spark.checkpoint.dir; a folder of its own only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="llm-")
