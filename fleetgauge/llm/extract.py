@@ -10,7 +10,8 @@ Left out everywhere: scripts, styles, forms, menus, headers and footers of the p
 notices, adverts, reader comments, by element, role, or the words of class and id.
 
 Null or empty html, or html without prose, gives an empty text. Broken markup is read as browsers do:
-open elements are closed by their parents, unknown references stay as they are. Pages keep their
+open elements are closed by their parents, unknown references stay as they are, a malformed declaration or marked
+section ends at the next '>'. Pages keep their
 page_id and url, repeated or null; other columns are ignored; an empty table gives no rows.
 """
 
@@ -51,6 +52,7 @@ MARKS = frozenset(
 )
 #: Words that outweigh such marks: the element holds the article.
 KEEPS = frozenset("article content main post story entry body text".split())
+_SHORT_COMMENT, _COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--!?>")
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -148,6 +150,17 @@ class Tree(HTMLParser):
         if self.links:
             self.block_links += len(data.strip())
 
+    def parse_comment(self, i, report=True):
+        """Behind a comment: '--!>' ends it too, '<!-->' and '<!--->' are whole; -1 if nothing ends it."""
+        end = _COMMENT_END.search(self.rawdata, i + 4) if not (short := _SHORT_COMMENT.match(self.rawdata, i)) else short
+        return end.end() if end else -1
+
+    def parse_html_declaration(self, i):
+        """Behind a declaration or marked section: whatever it holds, the next '>' ends it."""
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        return self.rawdata.find(">", i) + 1 or -1
+
     def unwanted(self, tag: str, attrs) -> bool:
         if tag in DROPPED:
             return True
@@ -197,13 +210,10 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = Tree()
-    try:
-        tree.feed(html)
-        if re.match(r"<[/!?A-Za-z]", tree.rawdata):  # a tag or comment that never ends
-            tree.rawdata = ""
-        tree.close()
-    except AssertionError:  # a malformed declaration ends what the parser can read
-        pass
+    tree.feed(html)
+    if re.match(r"<[/!?A-Za-z]", tree.rawdata):  # a tag or comment that never ends
+        tree.rawdata = ""
+    tree.close()
     tree.flush()
     nodes = list(_walk(tree.root))
     for node in nodes:

@@ -44,6 +44,13 @@ def test_odd_html():
     assert main_text("<p>" + "word " * 200_000) == ("word " * 200_000).strip()
 
 
+def test_malformed_declarations():
+    for odd in ("<![ endif]-->", "<![foo[>", "<![endif]-->", "<![if !IE]>", "<!-- x --!>", "<!-->", "<!--->", "<!>", "<!x y>", "<!DOCTYPE a 'b>"):
+        assert main_text(f"<p>one</p>{odd}<p>two</p>").replace("-->", "").split() == ["one", "two"], odd
+    assert main_text("<p>one</p><![CDATA[ two <p>three</p><p>four</p>").split()[-1] == "four"
+    assert main_text("<p>one</p><!-- <p>two</p>") == main_text("<p>one</p><![foo") == "one"
+
+
 def test_pages(spark):
     rows = [(1, "u", PAGE % "<article><p>A é</p></article>", "x"), (1, "u", None, "x"), (None, None, "", None)]
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
