@@ -1,8 +1,10 @@
 """Language identification: text, declared language, address suffix and host, fused by Bayes' rule.
 
-Text likelihood: hashed byte trigrams of the lower-cased text, one multinomial per language, fitted on a
-bounded sample of labelled documents (PER_LANGUAGE documents of LANGUAGES languages, up to
-SAMPLE_CHARS characters each). A class 'und' spreads evenly over all trigrams: text that no language
+Text likelihood: hashed byte trigrams of the lower-cased text, one multinomial per declared language, fitted on a
+bounded sample of labelled documents (PER_LANGUAGE documents a language, the first SAMPLE_CHARS characters of
+each). Spellings of a label (en, EN, en-US) are one language, named by the commonest. Memory bounds the
+languages to LANGUAGES; rows whose label has no class, beyond these or without any text, are never rejected
+and keep their label as the language, with confidence 0. A class 'und' spreads evenly over all trigrams: text that no language
 explains better than that. Neighbouring trigrams overlap, so the sum is tempered by TEMPER.
 
 Declared language (a document's label or a page's markup): P(declared | language) from the counts of
@@ -30,7 +32,7 @@ from fleetgauge.llm.shared import column, cut, slices
 from fleetgauge.llm.shingles import folded, raw
 
 #: Bounds of the sample the model is fitted on.
-PER_LANGUAGE, LANGUAGES, SAMPLE_CHARS = 250, 32, 20_000
+PER_LANGUAGE, LANGUAGES, SAMPLE_CHARS = 250, 1024, 20_000
 #: Trigram slots, and what each is counted beforehand.
 SLOTS, PRIOR = 1 << 16, 0.3
 #: Weight of a trigram's log likelihood, rows that a parent level counts for, share of 'und'.
@@ -58,29 +60,48 @@ def _trigrams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return slot[where].astype(np.int64), np.searchsorted(where, at)
 
 
+def _labels(rows: DataFrame) -> DataFrame:
+    """(declared, label): the language of each spelling, for the LANGUAGES languages with most rows."""
+    plain = F.lower(F.trim("declared"))
+    tag = F.regexp_extract(plain, r"^([a-z]{2,3})[-_](?:[a-z]{4}|[a-z]{2}|[0-9]{3})(?:[-_].*)?$", 1)
+    said = cut(rows.filter("declared is not null").groupBy("declared").agg(F.count("*").alias("n")).withColumn("key", F.coalesce(F.nullif(tag, F.lit("")), plain)))
+    names = said.groupBy("key").agg(F.min(F.struct(-F.col("n"), "declared"))["declared"].alias("label"), F.sum("n").alias("rows"))
+    names = names.orderBy(F.desc("rows"), "label").limit(LANGUAGES)
+    return cut(said.join(F.broadcast(names), "key").select("declared", "label"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, slot, n): trigrams of each slice's texts."""
+    for batch in slices(batches, "text"):
+        for label in column(batch, "label").unique():
+            slot, _ = _trigrams(batch.filter(pc.equal(column(batch, "label"), label)))
+            found, n = np.unique(slot, return_counts=True)
+            if not len(found):  # the language has a class all the same
+                found, n = np.zeros(1, np.int64), np.zeros(1, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([label.as_py()] * len(found)), pa.array(found), pa.array(n)], ["label", "slot", "n"])
+
+
 def _sampled(rows: DataFrame) -> DataFrame:
-    """(declared, text): the bounded sample, the same on each run."""
-    langs = rows.filter("declared is not null").groupBy("declared").agg(F.count("*").alias("n"))
-    langs = langs.orderBy(F.desc("n"), "declared").limit(LANGUAGES).drop("n")
-    fit = rows.filter(f"length(text) between 1 and {SAMPLE_CHARS}").withColumn("order", F.xxhash64("doc_id", "text"))
-    ids = fit.select("declared", "order").join(F.broadcast(langs), "declared")
-    rank = F.row_number().over(Window.partitionBy("declared").orderBy("order"))
+    """(label, text): the bounded sample, the same on each run."""
+    fit = rows.filter("label is not null and length(text) > 0").withColumn("order", F.xxhash64("doc_id", "text"))
+    ids = fit.select("label", "order")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("order"))
     ids = cut(ids.withColumn("rank", rank).filter(F.col("rank") <= PER_LANGUAGE).drop("rank").distinct())
-    return fit.join(F.broadcast(ids), ["declared", "order"]).select("declared", "text").distinct()
+    return fit.join(F.broadcast(ids), ["label", "order"]).select("label", F.substring("text", 1, SAMPLE_CHARS).alias("text")).distinct()
 
 
 def fit(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and the log likelihood of each trigram slot by language, 'und' last."""
-    found = _sampled(rows).toArrow().combine_chunks()
-    labels = sorted({*found.column("declared").to_pylist()})
-    counts = np.full((SLOTS, len(labels) + 1), PRIOR)
-    counts[:, -1] = 1.0
-    for k, label in enumerate(labels):
-        own = found.filter(pc.equal(found.column("declared"), label)).combine_chunks()
-        for batch in own.to_batches():
-            slot, _ = _trigrams(batch)
-            counts[:, k] += np.bincount(slot, minlength=SLOTS)
-    return labels, np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    """Languages, and the log likelihood of each trigram slot by language, 'und' last, from (doc_id, text, label)."""
+    found = _sampled(rows).mapInArrow(_counted, "label string, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
+    labels = sorted(found.column("label").unique().to_pylist())
+    which = np.asarray(pc.index_in(found.column("label"), pa.array(labels, pa.string())).combine_chunks()) if labels else []
+    table = np.full((SLOTS, len(labels) + 1), PRIOR, np.float32)
+    table[:, -1] = 1.0
+    table[np.asarray(found.column("slot")), which] += np.asarray(found.column("n")) if labels else 0
+    sums = table.sum(axis=0, dtype=np.float64)
+    np.log(table, out=table)
+    table -= np.log(sums).astype(np.float32)
+    return labels, table
 
 
 def _log_shares(counts: Column, size: Column, parent: Column) -> Column:
@@ -94,6 +115,7 @@ def identify(rows: DataFrame) -> DataFrame:
     Fitted on these rows' own declared languages.
     """
     rows = rows.select("doc_id", F.lower("text").alias("text"), "declared", "suffix", "host")
+    rows = rows.join(F.broadcast(_labels(rows)), "declared", "left")
     labels, table = fit(rows)
     if not labels:
         none = (F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(True).alias("kept"))
@@ -109,50 +131,58 @@ def identify(rows: DataFrame) -> DataFrame:
             best = np.where(np.diff(at) > 0, sums.argmax(axis=1), -1)
             flat = pa.array((sums * TEMPER).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, batch.num_rows * width + 1, width, dtype=np.int32)), flat)
-            passed = [column(batch, c) for c in ("doc_id", "declared", "suffix", "host")]
-            yield pa.RecordBatch.from_arrays([*passed, lists, pa.array(best.astype(np.int32))], ["doc_id", "declared", "suffix", "host", "likely", "best"])
+            names = ["doc_id", "declared", "label", "suffix", "host"]
+            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in names), lists, pa.array(best.astype(np.int32))], [*names, "likely", "best"])
 
-    scored = rows.mapInArrow(score, "doc_id long, declared string, suffix string, host string, likely array<double>, best int")
+    fields = "doc_id long, declared string, label string, suffix string, host string, likely array<double>, best int"
+    scored = rows.mapInArrow(score, fields)
     scored = cut(scored)
     told = scored.filter("best >= 0")
 
     # P(declared | language): a table of languages squared at most, declared values beyond the labels as one
-    known = F.when(F.col("declared").isin(labels), F.col("declared"))
-    seen = told.groupBy("best", known.alias("d")).agg(F.count("*").alias("n")).collect()
-    says = np.full((width, width), 0.5)
+    seen = told.groupBy("best", F.col("label").alias("d")).agg(F.count("*").alias("n")).collect()
+    says, place = np.full((width, width), 0.5), {label: k for k, label in enumerate(labels)}
     for r in seen:
-        says[r.best, labels.index(r.d) if r.d is not None else width - 1] += r.n
+        says[r.best, place.get(r.d, width - 1)] += r.n
     says = np.log(says / says.sum(axis=1, keepdims=True))
     says[-1, :-1] = says[:-1, :-1].max(axis=0)  # a label is no sign against 'und'
 
-    counts = [F.sum((F.col("best") == k).cast("double")).alias(f"c{k}") for k in range(width)]
-    by_host = told.groupBy("suffix", "host").agg(*counts)
-    again = [F.sum(f"c{k}").alias(f"c{k}") for k in range(width)]
-    by_suffix = by_host.groupBy("suffix").agg(*again)
-    everything = np.array([x or 0.0 for x in by_suffix.agg(*again).first()])
+    def vector(keys: list[str], counted: DataFrame) -> DataFrame:
+        """(keys, counts, size): rows by language, from (keys, best, n)."""
+        got = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m"), F.sum("n").alias("size"))
+        at = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(0)).cast("double"))
+        return got.select(*keys, at.alias("counts"), F.col("size").cast("double").alias("size"))
+
+    counted = cut(told.groupBy("suffix", "host", "best").agg(F.count("*").alias("n")))
+    everything = np.zeros(width)
+    for r in counted.groupBy("best").agg(F.sum("n").alias("n")).collect():
+        everything[r.best] = r.n
     overall = (everything + 1) / (everything.sum() + width)
     overall[-1] = UNKNOWN
     overall /= overall.sum()
-    vector, size = F.array(*(f"c{k}" for k in range(width))), sum(F.col(f"c{k}") for k in range(width))
     whole = F.array(*(F.lit(float(x)) for x in overall))
-    by_suffix = by_suffix.select(F.col("suffix").alias("s"), _log_shares(vector, size, whole).alias("up"))
+    by_suffix = vector(["suffix"], counted.groupBy("suffix", "best").agg(F.sum("n").alias("n")))
+    by_suffix = by_suffix.select(F.col("suffix").alias("s"), _log_shares(F.col("counts"), F.col("size"), whole).alias("up"))
     same = F.col("suffix").eqNullSafe(F.col("s"))
-    priors = by_host.join(by_suffix, same).select(F.col("host").alias("h"), "s", _log_shares(vector, size, F.col("up")).alias("prior"))
+    shares = _log_shares(F.col("counts"), F.col("size"), F.col("up"))
+    priors = vector(["suffix", "host"], counted).join(by_suffix, same).select(F.col("host").alias("h"), "s", shares.alias("prior"))
 
     out = scored.join(cut(priors), same & F.col("host").eqNullSafe(F.col("h")), "left")
-    rows_of = {c: F.array(*(F.lit(float(x)) for x in says[:, k])) for k, c in enumerate(labels)}
-    declared = F.array(*[F.lit(0.0)] * width)
-    for label, values in rows_of.items():
-        declared = F.when(F.col("declared") == label, values).otherwise(declared)
+    by_label = pa.table({"label": pa.array(labels, pa.string()), "declares": pa.array(says[:, :-1].T.tolist(), pa.list_(pa.float64()))})
+    out = out.join(F.broadcast(rows.sparkSession.createDataFrame(by_label)), "label", "left")
+    declared = F.coalesce("declares", F.array(*[F.lit(0.0)] * width))
     log_prior = F.transform(F.coalesce("prior", whole), lambda p: F.log(p))
     fused = F.zip_with(F.zip_with("likely", log_prior, lambda x, y: x + y), declared, lambda x, y: x + y)
     out = out.withColumn("fused", fused).withColumn("top", F.array_max("fused"))
     mass = F.aggregate(F.transform("fused", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, x: a + x)
     names = F.array(*(F.lit(x) for x in [*labels, "und"]))
     out = out.withColumn("language", F.element_at(names, F.array_position("fused", F.col("top")).cast("int")))
-    confidence = F.round(1 / mass, 6)
-    return out.select("doc_id", "declared", "language", confidence.alias("confidence"),
-                      ((F.col("language") != "und") & (confidence >= KEEP)).alias("kept"))
+    out = out.withColumn("confidence", F.round(1 / mass, 6))
+    unfitted = F.col("declared").isNotNull() & F.col("declares").isNull()
+    kept = unfitted | (F.col("language") != "und") & (F.col("confidence") >= KEEP)
+    language = F.when(unfitted, F.col("declared")).otherwise(F.col("language"))
+    confidence = F.when(unfitted, 0.0).otherwise(F.col("confidence"))
+    return out.select("doc_id", "declared", language.alias("language"), confidence.alias("confidence"), kept.alias("kept"))
 
 
 def document_rows(documents: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+from fleetgauge.llm import language
 from fleetgauge.llm.language import document_rows, identify, kept_documents, page_rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, language string"
@@ -45,6 +46,24 @@ def test_priors_decide_without_text(spark):
     assert [got[d].language for d in (2000, 2001, 2002)] == ["aa", "bb", "cc"]
 
 
+def scripts(rng, k, words):
+    """Words of a script of its own for each k."""
+    return " ".join("".join(chr(0x4E00 + 100 * k + rng.randrange(60)) for _ in range(5)) for _ in range(words))
+
+
+def test_every_declared_language_counts(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(100 * k + d, scripts(rng, k, 60), f"l{k:02}", "h", f"l{k:02}") for k in range(40) for d in range(4 if k > 32 else 8)]
+    rows += [(9000 + d, scripts(rng, 50, 4000), "long", "h", "long") for d in range(3)]
+    rows += [(9100 + d, scripts(rng, 51, 60), said, None, "xx") for d, said in enumerate(["xx", "XX", "xx-US", "xx", "xx", None])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in identify(document_rows(df)).collect()}
+    assert all(r.kept for r in got.values()) and all(got[d].language == lang for d, _, _, _, lang in rows)
+    monkeypatch.setattr(language, "LANGUAGES", 5)  # labels without a class are taken as they are
+    got = {r.doc_id: r for r in identify(document_rows(df)).collect()}
+    assert all(got[d].kept and got[d].language == said for d, _, said, _, _ in rows if d < 9100)
+
+
 def test_odd_tables(spark):
     assert identify(document_rows(spark.createDataFrame([], SCHEMA))).collect() == []
     rows = [(1, "abc", None, None, ""), (1, "abc", None, None, ""), (None, None, None, None, "")]
