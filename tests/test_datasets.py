@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import pytest
-from conftest import AS_OF, by, event, events
+from telemetry import AS_OF, by, event, events
 from pyspark.sql import functions as F
 
 from fleetgauge.operators.incidents import inline_incidents, open_incidents

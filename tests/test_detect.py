@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import AS_OF, by, event, events
+from telemetry import AS_OF, by, event, events
 
 from fleetgauge.operators import detect
 from fleetgauge.operators.incidents import anomalies_to_incidents, inline_incidents, open_incidents

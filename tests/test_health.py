@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
-from conftest import AS_OF, by, event, events
+from telemetry import AS_OF, by, event, events
 
 from fleetgauge.operators.health import CHECKS, health_checks, health_report, last_ingested
 from fleetgauge.operators.incidents import checks_to_incidents, escalations

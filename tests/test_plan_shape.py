@@ -52,7 +52,7 @@ def test_one_scan_per_dataset(plans):
 
 
 def test_dimensions_are_broadcast_by_size(spark, tenants, rates):
-    from conftest import event, events
+    from telemetry import event, events
 
     from fleetgauge.operators.costs import with_costs
     from fleetgauge.sources.dimensions import with_budget

@@ -4,7 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import AS_OF, by, event, events
+from telemetry import AS_OF, by, event, events
 
 from fleetgauge.operators.quality import (
     EVENT_SUITE,

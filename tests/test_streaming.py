@@ -4,7 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import AS_OF, event, events
+from telemetry import AS_OF, event, events
 from pyspark.sql import functions as F
 
 from fleetgauge.operators.incidents import inline_incidents
