@@ -7,10 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgauge.llm import bpe, embedding_dedup, extract, language, lines, mixing, ngram_join, pii, secret_scan, topk
-
-#: Vocabulary of the encoding query.
-TOKENIZER = "byte_bpe_50k.json"
+from fleetgauge.llm import (
+    bpe,
+    embedding_dedup,
+    extract,
+    language,
+    lines,
+    mixing,
+    ngram_join,
+    pii,
+    secret_scan,
+    token_counts,
+    topk,
+)
+
+#: Vocabularies of the encoding and the counting query.
+TOKENIZER, COUNTED = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +69,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": _op1,
@@ -69,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": _op8,
         "op9_language_id": _op9,
         "op10_secret_scan": _op10,
+        "op11_token_counts": _op11,
     }
 
 
