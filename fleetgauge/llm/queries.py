@@ -13,6 +13,7 @@ from fleetgauge.llm import (
     extract,
     language,
     lines,
+    manifest,
     mixing,
     ngram_join,
     pii,
@@ -73,6 +74,10 @@ def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED))
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.prove_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": _op1,
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": _op9,
         "op10_secret_scan": _op10,
         "op11_token_counts": _op11,
+        "op12_merkle_manifest": _op12,
     }
 
 
@@ -94,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_topk": topk.SQL,
         "op4_embedding_neardup": embedding_dedup.SQL,
         "op7_ngram_jaccard_join": ngram_join.SQL,
+        "op12_merkle_manifest": manifest.SQL,
     }

@@ -9,7 +9,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 12))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 13))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
