@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.llm import (
+    alignment,
     bpe,
     embedding_dedup,
     extract,
@@ -22,8 +23,8 @@ from fleetgauge.llm import (
     topk,
 )
 
-#: Vocabularies of the encoding and the counting query.
-TOKENIZER, COUNTED = "byte_bpe_50k.json", "word_bpe_49k.json"
+#: Vocabularies of the encoding and the counting query; the second one of the aligning query, whose first is TOKENIZER.
+TOKENIZER, COUNTED, OTHER = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,11 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.prove_documents(_table(spark, sf_dir, "documents"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align_documents(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": _op1,
@@ -92,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secret_scan": _op10,
         "op11_token_counts": _op11,
         "op12_merkle_manifest": _op12,
+        "op13_tokenizer_alignment": _op13,
     }
 
 

@@ -21,34 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.shared import column, slices
-from fleetgauge.llm.tokenizer_files import PIECE, Encoder, SharedFile
-
-#: Bytes of text in one call of the library.
-BATCH = 1 << 19
-
-
-def _calls(encoder: Encoder, texts: pa.Array, piece: int, batch: int) -> Iterator[tuple[list[int], list[str]]]:
-    """Pieces and the rows they belong to, in calls of about `batch` bytes."""
-    rows, pieces, size = [], [], 0
-    for row, value in enumerate(texts):
-        if (value.as_py() or "") == "":
-            continue
-        for part in encoder.pieces(value.as_py(), piece):
-            n = len(part.encode())
-            if pieces and size + n > batch:
-                yield rows, pieces
-                rows, pieces, size = [], [], 0
-            rows.append(row)
-            pieces.append(part)
-            size += n
-    if pieces:
-        yield rows, pieces
-
+from fleetgauge.llm.tokenizer_files import BATCH, PIECE, Encoder, SharedFile
 
 def lengths(encoder: Encoder, texts: pa.Array, piece: int = PIECE, batch: int = BATCH) -> np.ndarray:
     """Tokens of each text."""
     out = np.zeros(len(texts), dtype=np.int64)
-    for rows, pieces in _calls(encoder, texts, piece, batch):
+    for rows, pieces in encoder.calls((t.as_py() for t in texts), piece, batch):
         np.add.at(out, rows, encoder.counts(pieces))
     return out
 

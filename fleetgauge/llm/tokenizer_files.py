@@ -17,15 +17,17 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import regex
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: Characters of a piece of a long text.
-PIECE = 1 << 16
+from fleetgauge.llm.bpe import byte_letters
+
+#: Characters of a piece of a long text; bytes of text in one call of the library.
+PIECE, BATCH = 1 << 16, 1 << 19
 #: Signs that end a word of letters and are part of no special string.
 _SIGNS = r"[!-&(-/:;=?@\[-`{}~。、，！？；：]"
 _SPACE, _LINE = r"(?<=[!-~\w]) (?=(?s:.))", r"(?<=[!-~\w])[ \n]"
@@ -87,6 +89,51 @@ class Encoder:
         """The text in pieces of at most `size` characters where safe places allow."""
         return safe_pieces(text, self.cut, size, self.model)
 
+    def calls(self, texts: Iterable[str | None], piece: int = PIECE, batch: int = BATCH) -> Iterator[tuple[list[int], list[str]]]:
+        """Pieces of the texts that have any, and the rows they belong to, in calls of about `batch` bytes."""
+        rows, pieces, size = [], [], 0
+        for row, text in enumerate(texts):
+            for part in self.pieces(text, piece) if text else ():
+                n = len(part.encode())
+                if pieces and size + n > batch:
+                    yield rows, pieces
+                    rows, pieces, size = [], [], 0
+                rows.append(row)
+                pieces.append(part)
+                size += n
+        if pieces:
+            yield rows, pieces
+
+    def encoded(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        out: list[list[int]] = [[] for _ in texts]
+        for rows, pieces in self.calls(texts):
+            for row, ids in zip(rows, self.ids(pieces), strict=True):
+                if out[row]:
+                    out[row].extend(ids)
+                else:
+                    out[row] = ids
+        return out
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of each id: byte-level entries decoded, space marks as spaces, byte pieces as their byte."""
+        if self.model:
+            names = (self.coder.id_to_piece(i) for i in range(self.coder.get_piece_size()))
+            return [
+                bytes([int(p[3:5], 16)]) if self.coder.is_byte(i) else p.replace("▁", " ").encode()
+                for i, p in enumerate(names)
+            ]
+        letters, vocab = byte_letters(), self.coder.get_vocab()
+        entries = {i: e for e, i in vocab.items()}
+        return [
+            bytes(letters[c] for c in entries[i]) if i in entries and set(entries[i]) <= letters.keys() else entries.get(i, "").encode()
+            for i in range(max(entries) + 1)
+        ]
+
+    def size(self) -> int:
+        """Ids of the vocabulary."""
+        return self.coder.get_piece_size() if self.model else max(self.coder.get_vocab().values()) + 1
+
     def counts(self, pieces: list[str]) -> list[int]:
         if self.model:
             return [len(ids) for ids in self.coder.encode(pieces, num_threads=1)]

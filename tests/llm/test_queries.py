@@ -9,7 +9,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 13))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -22,7 +22,7 @@ def test_equals_its_sql(spark, name):
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op1_html_extraction", "op8_mixing", "op9_language_id", "op10_secret_scan", "op2_pii", "op11_token_counts"])
+@pytest.mark.parametrize("name", ["op1_html_extraction", "op8_mixing", "op9_language_id", "op10_secret_scan", "op2_pii", "op11_token_counts", "op13_tokenizer_alignment"])
 def test_a_row_for_each_row(spark, name):
     table = "pages" if name.startswith("op1_") else "documents"
     got = queries.queries()[name](spark, DATA)
