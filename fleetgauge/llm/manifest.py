@@ -255,22 +255,29 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*arrays, pa.array([subroot], pa.string())], ["tree", "idx", "left", "right", "subroot"])
 
 
-def _with_paths(log: DataFrame, above: DataFrame | None, top: DataFrame) -> DataFrame:
+def _with_paths(log: DataFrame, above: DataFrame | None, top: DataFrame | str | None) -> DataFrame:
     """Segments of a tier with the path of their root: the tree's own at its last tier, else that of the next tier's leaf."""
-    top = top.select(F.col("tree").alias("__tree"), "left", "right", "subroot")
     last = log.filter(F.col("n") <= CHUNK)
-    found = last.join(top, last["tree"].eqNullSafe(top["__tree"]))
+    if isinstance(top, DataFrame):
+        top = top.select(F.col("tree").alias("__tree"), "left", "right", "subroot")
+        found = last.join(top, last["tree"].eqNullSafe(top["__tree"])).drop("__tree")
+    else:  # a single tree, with nothing above its root
+        none = F.expr("cast(array() as array<string>)")
+        found = last.withColumns({"left": none, "right": none, "subroot": F.lit(top).cast("string")})
     if above is not None:
         rest = log.filter(F.col("n") > CHUNK)
         above = above.select(F.col("tree").alias("__tree"), F.col("idx").alias("__idx"), "left", "right", "subroot")
         found = found.unionByName(
-            rest.join(above, rest["tree"].eqNullSafe(above["__tree"]) & (rest["builder"] == above["__idx"])).drop("__idx")
+            rest.join(above, rest["tree"].eqNullSafe(above["__tree"]) & (rest["builder"] == above["__idx"])).drop("__tree", "__idx")
         )
-    return found.drop("__tree")
+    return found
 
 
-def read_paths(logs: list[DataFrame], top: DataFrame) -> DataFrame:
-    """Segments of the lowest tier with the siblings above their roots; top: (tree, left, right, subroot)."""
+def read_paths(logs: list[DataFrame], top: DataFrame | str | None) -> DataFrame:
+    """Segments of the lowest tier with the siblings above their roots.
+
+    top: (tree, left, right, subroot) of what is above the trees, or the root of a single tree.
+    """
     above = None
     for tier in range(len(logs) - 1, 0, -1):
         segments = _with_paths(logs[tier], above, top)
@@ -347,11 +354,7 @@ def build_manifest(documents: DataFrame) -> Manifest:
     source_logs = append_logs(sources)
     last = subroots(source_logs).first()
     root = None if last is None else last.node
-    start = source_logs[-1].sparkSession.range(1).select(
-        F.lit(None).cast("string").alias("tree"), F.expr("cast(array() as array<string>)").alias("left"),
-        F.expr("cast(array() as array<string>)").alias("right"), F.lit(root).cast("string").alias("subroot"),
-    )
-    rows = _streams(_placed(sources), read_paths(source_logs, start), ["source", "node"])
+    rows = _streams(_placed(sources), read_paths(source_logs, root), ["source", "node"])
 
     def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, (source, node), left, right, _ in _walk(batches, ["source", "node"]):
