@@ -2,8 +2,7 @@
 
 Plain Parquet has no keys, so "insert or ignore" is: keep the first row per
 key inside the batch, drop keys the table already holds, append the rest.
-What it holds is told by a narrow table of keys in hash buckets, of which
-only the buckets of the batch are read.
+What it holds is told by an index of keys (:mod:`.key_index`).
 """
 
 from __future__ import annotations
@@ -19,9 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import PARTITIONS
 from .dimensions import literal_table
 from .events import read_table, table_exists
-
-# Hash buckets of a key table. More make a small batch read less and write more files.
-KEY_BUCKETS = 32
+from .key_index import KeyIndex
 
 
 def first_per_key(batch: DataFrame, key: str, order: Sequence[Column] = ()) -> DataFrame:
@@ -77,14 +74,8 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> No
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
-
-
-def stored_keys(spark: SparkSession, root: str, table: str, key: str) -> DataFrame | None:
-    """The keys a table holds, with their bucket; None before the first insert."""
-    path = f"{root}/{table}_keys"
-    return spark.read.schema(f"{key} STRING, bucket INT").parquet(path) if table_exists(spark, path) else None
+def key_index(spark: SparkSession, root: str, table: str, key: str) -> KeyIndex:
+    return KeyIndex(spark, f"{root}/{table}_keys", key)
 
 
 def append_new(
@@ -98,29 +89,27 @@ def append_new(
 ) -> None:
     """Insert or ignore into a stored table: a key is stored once, whatever its day.
 
-    Rows are written before their keys. After a crash between the two the
-    same rows come again, with the same days; so the keys of these days in
-    the table itself are compared as well. ``unique``: the batch has no key twice.
+    Rows are written before their keys, between two marks. Only when a run finds the first mark without the second,
+    after a crash, are the days of its batch compared in the table itself: the same rows come again, with
+    the same days. ``unique``: the batch has no key twice.
     """
     path, partitions = f"{root}/{table}", PARTITIONS[table]
     first = batch if unique else first_per_key(batch, key, order)
-    first = first.withColumn("_bucket", _bucket(key)).persist(StorageLevel.MEMORY_AND_DISK)
+    first = first.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fresh, unknown = first, first
-        if table_exists(spark, path):
-            found = first.agg(F.collect_set(F.struct(partitions[0])).alias("d"), F.collect_set("_bucket").alias("b")).first()
-            days = [d[0] for d in found.d]
-            near = F.col(partitions[0]).isin([d for d in days if d is not None])
-            near = near | F.col(partitions[0]).isNull() if None in days else near
-            held = read_table(spark, root, table).filter(near).select(key)
-            known = stored_keys(spark, root, table, key)
-            if known is not None:
-                known = known.filter(F.col("bucket").isin(found.b)).select(key)
-                held, unknown = held.unionByName(known), first.join(known, key, "left_anti")
-            fresh = first.join(held, key, "left_anti")
-        _write(fresh.drop("_bucket"), path, partitions, "append")
-        keys = unknown.select(F.col(key).cast("string").alias(key), F.col("_bucket").alias("bucket"))
-        keys.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}_keys")
+        index = key_index(spark, root, table, key)
+        stored = table_exists(spark, path)
+        if stored and not index.runs and not index.interrupted():
+            index.add(read_table(spark, root, table).select(key).distinct())  # a table older than its index
+        known = index.known(first)
+        unknown = first if known is None else first.join(known, key, "left_anti")
+        fresh = unknown
+        if stored and index.interrupted():
+            held = read_table(spark, root, table).filter(touched_days(first, partitions[0])).select(key)
+            fresh = unknown.join(held, key, "left_anti")
+        index.begin()
+        _write(fresh, path, partitions, "append")
+        index.add(unknown.select(key))
     finally:
         first.unpersist()
 

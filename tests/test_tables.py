@@ -19,9 +19,9 @@ from fleetgauge.sources.sinks import (
     compact,
     drop_slices,
     export_csv,
+    key_index,
     overwrite_slices,
     pinned,
-    stored_keys,
     to_payload,
     touched_slices,
 )
@@ -50,17 +50,28 @@ def test_reused_id_on_another_day_is_stored_once(spark, tmp_path):
     for minutes in (10, 5000, 9000):
         append_new(spark, as_stored(events(spark, [event(1, minutes), event(minutes)])), root, "job_events", "event_id")
     assert sorted(r.event_id for r in read_table(spark, root, "job_events").collect()) == ["e1", "e10", "e5000", "e9000"]
-    assert stored_keys(spark, root, "job_events", "event_id").count() == 4
+    assert key_index(spark, root, "job_events", "event_id").keys().count() == 4
 
 
 def test_crash_before_the_keys_is_healed(spark, tmp_path):
     root = str(tmp_path)
     batch = as_stored(events(spark, [event(i, 600 * i) for i in range(5)]))
     append_new(spark, batch, root, "job_events", "event_id")
-    for f in (tmp_path / "job_events_keys").glob("bucket=*/part-*"):
-        f.unlink()
-    append_new(spark, batch, root, "job_events", "event_id")
-    assert read_table(spark, root, "job_events").count() == 5
+    more = as_stored(events(spark, [event(i, 600 * i) for i in range(3, 9)]))
+    key_index(spark, root, "job_events", "event_id").begin()
+    append(more.filter("event_id in ('e5', 'e6')"), root, "job_events")  # written, but the run ended before the keys
+    for _ in range(2):
+        append_new(spark, more, root, "job_events", "event_id")
+        assert sorted(r.event_id for r in read_table(spark, root, "job_events").collect()) == [f"e{i}" for i in range(9)]
+        assert not key_index(spark, root, "job_events", "event_id").interrupted()
+    assert key_index(spark, root, "job_events", "event_id").keys().count() == 9
+
+
+def test_table_older_than_its_index(spark, tmp_path):
+    root = str(tmp_path)
+    append(as_stored(events(spark, [event(i, 600 * i) for i in range(5)])), root, "job_events")
+    append_new(spark, as_stored(events(spark, [event(i, 10) for i in range(3, 7)])), root, "job_events", "event_id")
+    assert read_table(spark, root, "job_events").count() == 7
 
 
 def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path):
