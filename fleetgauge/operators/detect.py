@@ -3,7 +3,8 @@
 Top-k reports rank before they join: inside one baseline group the order by z
 is the order by cost, so the k rows a tenant can report are among the k
 costliest rows of each of its groups. Only those reach the join, whatever the
-size of the group.
+size of the group. Asked for all findings at once, the detectors share one
+baseline (:mod:`.baseline`).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ..functions.quantiles import summarize
 from ..functions.text import fixed, say, stable_id, usd
 from ..functions.tiers import above
 from ..settings import DetectorLimits, RuleLimits
+from . import baseline
 
 ANOMALY_COLUMNS = (
     "anomaly_id", "tenant_id", "job_id", "anomaly_type", "severity", "title", "description",
@@ -39,15 +41,14 @@ def highest_per(df: DataFrame, keys: Sequence[str], value: str, tie: str, k: int
     return top_per(df, keys, [F.col(value).desc_nulls_last(), F.col(tie).asc()], k)
 
 
-def _anomaly(
-    df: DataFrame, as_of: Moment, kind: str, subject: Column, *, job_id, severity, title,
-    description, metric, threshold, action, keep: Sequence[str] = (),
-) -> DataFrame:
-    """Rows in the common anomaly shape, followed by the columns in ``keep``."""
+def _fields(
+    as_of: Moment, kind: str, subject: Column, *, job_id, severity, title, description, metric, threshold, action,
+) -> list[Column]:
+    """A finding in the common shape, from the columns of its detector."""
     day = F.lit(today(as_of).isoformat())
-    return df.select(
+    return [
         stable_id(F.lit(kind), F.col("tenant_id"), subject, day).alias("anomaly_id"),
-        "tenant_id",
+        F.col("tenant_id"),
         job_id.cast("string").alias("job_id"),
         F.lit(kind).alias("anomaly_type"),
         severity.alias("severity"),
@@ -57,7 +58,68 @@ def _anomaly(
         threshold.cast("double").alias("threshold_value"),
         F.lit(action).alias("recommended_action"),
         stamp(as_of).alias("detected_at"),
-        *keep,
+    ]
+
+
+def _spike(as_of: Moment, limits: DetectorLimits) -> list[Column]:
+    return _fields(
+        as_of, "COST_SPIKE", F.col("event_id"),
+        job_id=F.col("job_id"),
+        severity=above("z", (limits.z_critical, "CRITICAL"), otherwise="HIGH"),
+        title=say(F.col("job_name"), " cost $", fixed("cost_usd", 2), ", ", fixed("z", 1), " deviations above its group"),
+        description=say(F.col("job_id"), " (", F.col("job_type"), ", ", F.col("machine_type"),
+                        ") cost $", fixed("cost_usd", 4), ": ", fixed("z", 1),
+                        " deviations above the mean of $", fixed("mean_cost", 4),
+                        " (deviation $", fixed("std_cost", 4), ")."),
+        metric=rnd("cost_usd", 6),
+        threshold=rnd(F.col("mean_cost") + F.lit(limits.z_flag) * F.col("std_cost"), 6),
+        action="Check the job for more input, more replicas than meant, or an endless loop.",
+    )
+
+
+def _outlier(as_of: Moment, job_type: str = "job_type") -> list[Column]:
+    seconds, fence = F.col("duration_seconds"), F.col("fence")
+    return _fields(
+        as_of, "DURATION_OUTLIER", F.col("event_id"),
+        job_id=F.col("job_id"),
+        severity=F.lit("MEDIUM"),
+        title=say(F.col("job_name"), " ran ", fixed(seconds / F.lit(3600.0), 1), " hours, longer than usual"),
+        description=say(F.col("job_id"), " (", F.col(job_type), ") took ", seconds, "s (",
+                        fixed(seconds / F.lit(3600.0), 2), "h); the fence is ", fixed(fence, 0),
+                        "s (", fixed(fence / F.lit(3600.0), 2), "h)."),
+        metric=seconds,
+        threshold=rnd(fence, 1),
+        action="Check input volume, model changes and hardware; consider a job timeout.",
+    )
+
+
+def _burst(as_of: Moment, limits: DetectorLimits) -> list[Column]:
+    return _fields(
+        as_of, "FAILURE_BURST", F.date_format(stamp(as_of), "yyyy-MM-dd HH"),
+        job_id=F.lit(None),
+        severity=above("delta", (limits.burst_critical_points, "CRITICAL"), otherwise="HIGH"),
+        title=say("Failures up ", fixed("delta", 1), " points within the hour"),
+        description=say("Failures went from ", fixed("baseline_rate", 1), "% (baseline) to ",
+                        fixed("recent_rate", 1), "% in the last hour (+", fixed("delta", 1),
+                        " points)."),
+        metric=rnd("recent_rate", 2),
+        threshold=rnd(F.col("baseline_rate") + F.lit(limits.burst_points), 2),
+        action="Act now: check infrastructure, recent deployments and input schema changes.",
+    )
+
+
+def _waste(as_of: Moment, limits: DetectorLimits) -> list[Column]:
+    return _fields(
+        as_of, "GPU_WASTE_PATTERN", F.lit("window"),
+        job_id=F.lit(None),
+        severity=F.lit("MEDIUM"),
+        title=say(fixed("waste_pct", 0), "% of accelerator jobs ended within five minutes"),
+        description=say(F.col("short_jobs"), "/", F.col("gpu_jobs"),
+                        " GPU jobs ended within five minutes (", fixed("waste_pct", 1),
+                        "%). Mean cost of such a job: ", usd("avg_wasted_cost", 4), "."),
+        metric=rnd("waste_pct", 1),
+        threshold=F.lit(limits.waste_flag_pct),
+        action="Move very short jobs to machines without an accelerator.",
     )
 
 
@@ -92,22 +154,7 @@ def cost_spikes(
     flagged = scored.filter(F.col("z") > limits.z_flag)
     order = [F.col("z").desc(), F.col("cost_usd").desc(), F.col("event_id").asc()]
     flagged = top_per(flagged, ["tenant_id"], order, limits.top_spikes)
-    flagged = flagged.withColumn("z_score", rnd("z", 4))
-    return _anomaly(
-        flagged, as_of, "COST_SPIKE", F.col("event_id"),
-        job_id=F.col("job_id"),
-        severity=above("z", (limits.z_critical, "CRITICAL"), otherwise="HIGH"),
-        title=say("Cost spike: ", F.col("job_name"), " (z=", fixed("z", 1), ", $",
-                  fixed("cost_usd", 2), ")"),
-        description=say(F.col("job_id"), " (", F.col("job_type"), ", ", F.col("machine_type"),
-                        ") cost $", fixed("cost_usd", 4), ": ", fixed("z", 1),
-                        " deviations above the mean of $", fixed("mean_cost", 4),
-                        " (deviation $", fixed("std_cost", 4), ")."),
-        metric=rnd("cost_usd", 6),
-        threshold=rnd(F.col("mean_cost") + F.lit(limits.z_flag) * F.col("std_cost"), 6),
-        action="Check the job for more input, more replicas than meant, or an endless loop.",
-        keep=("event_id", "z_score"),
-    )
+    return flagged.select(*_spike(as_of, limits), "event_id", rnd("z", 4).alias("z_score"))
 
 
 def duration_fence(
@@ -138,22 +185,9 @@ def duration_outliers(
         "event_id", "tenant_id", "job_id", "job_name", "job_type", "duration_seconds"
     )
     longest = highest_per(rows, ["tenant_id"], "duration_seconds", "event_id", limits.top_outliers)
-    seconds, fence = F.col("duration_seconds"), F.col("fence")
     flagged = longest.join(duration_fence(ev, as_of, limits, approx), "tenant_id")
-    flagged = flagged.filter(seconds > fence)
-    return _anomaly(
-        flagged, as_of, "DURATION_OUTLIER", F.col("event_id"),
-        job_id=F.col("job_id"),
-        severity=F.lit("MEDIUM"),
-        title=say("Duration outlier: ", F.col("job_name"), " (", fixed(seconds / F.lit(3600.0), 1), "h)"),
-        description=say(F.col("job_id"), " (", F.col("job_type"), ") took ", seconds, "s (",
-                        fixed(seconds / F.lit(3600.0), 2), "h); the fence is ", fixed(fence, 0),
-                        "s (", fixed(fence / F.lit(3600.0), 2), "h)."),
-        metric=seconds,
-        threshold=rnd(fence, 1),
-        action="Check input volume, model changes and hardware; consider a job timeout.",
-        keep=("event_id",),
-    )
+    flagged = flagged.filter(F.col("duration_seconds") > F.col("fence"))
+    return flagged.select(*_outlier(as_of), "event_id")
 
 
 def failure_rates(
@@ -188,19 +222,7 @@ def failure_bursts(
 ) -> DataFrame:
     """Tenants whose failure share rose by more than ``burst_points``."""
     flagged = failure_rates(ev, as_of, limits).filter(F.col("delta") > limits.burst_points)
-    hour = F.date_format(stamp(as_of), "yyyy-MM-dd HH")
-    return _anomaly(
-        flagged, as_of, "FAILURE_BURST", hour,
-        job_id=F.lit(None),
-        severity=above("delta", (limits.burst_critical_points, "CRITICAL"), otherwise="HIGH"),
-        title=say("Failure burst: rate jumped +", fixed("delta", 1), "pp in last 1h"),
-        description=say("Failures went from ", fixed("baseline_rate", 1), "% (baseline) to ",
-                        fixed("recent_rate", 1), "% in the last hour (+", fixed("delta", 1),
-                        " points)."),
-        metric=rnd("recent_rate", 2),
-        threshold=rnd(F.col("baseline_rate") + F.lit(limits.burst_points), 2),
-        action="Act now: check infrastructure, recent deployments and input schema changes.",
-    )
+    return flagged.select(*_burst(as_of, limits))
 
 
 def gpu_waste_rates(
@@ -223,6 +245,10 @@ def gpu_waste_rates(
     )
 
 
+def _wasteful(limits: DetectorLimits) -> Column:
+    return (F.col("gpu_jobs") >= limits.min_samples) & (F.col("waste_pct") >= limits.waste_flag_pct)
+
+
 def gpu_waste_pattern(
     ev: DataFrame,
     as_of: Moment,
@@ -231,22 +257,8 @@ def gpu_waste_pattern(
 ) -> DataFrame:
     """Tenants with enough accelerator jobs of which too many ended almost at once."""
     rates = gpu_waste_rates(ev, as_of, window_hours, limits)
-    flagged = rates.filter(
-        (F.col("gpu_jobs") >= limits.min_samples) & (F.col("waste_pct") >= limits.waste_flag_pct)
-    )
-    return _anomaly(
-        flagged, as_of, "GPU_WASTE_PATTERN", F.lit("window"),
-        job_id=F.lit(None),
-        severity=F.lit("MEDIUM"),
-        title=say("Systematic GPU waste: ", fixed("waste_pct", 0), "% of GPU jobs < 5min"),
-        description=say(F.col("short_jobs"), "/", F.col("gpu_jobs"),
-                        " GPU jobs ended within five minutes (", fixed("waste_pct", 1),
-                        "%). Mean cost of such a job: ", usd("avg_wasted_cost", 4), "."),
-        metric=rnd("waste_pct", 1),
-        threshold=F.lit(limits.waste_flag_pct),
-        action="Move very short jobs to machines without an accelerator.",
-        keep=("gpu_jobs", "short_jobs", "avg_wasted_cost"),
-    )
+    flagged = rates.filter(_wasteful(limits))
+    return flagged.select(*_waste(as_of, limits), "gpu_jobs", "short_jobs", "avg_wasted_cost")
 
 
 def all_anomalies(
@@ -256,17 +268,46 @@ def all_anomalies(
     limits: DetectorLimits = DetectorLimits(),
     approx: bool = False,
 ) -> DataFrame:
-    """Findings of all four detectors in the common shape."""
-    found = [
-        cost_spikes(ev, as_of, window_hours, limits),
-        duration_outliers(ev, as_of, window_hours, limits, approx),
-        failure_bursts(ev, as_of, limits),
-        gpu_waste_pattern(ev, as_of, window_hours, limits),
+    """Findings of all four detectors in the common shape.
+
+    Two scans: one fills the shared baseline, one finds the candidates of the window. They
+    are dealt by the same keys, so the join between them moves nothing. ``approx`` asks each detector by itself, since
+    sketches cannot be weighted.
+    """
+    if approx:
+        found = [
+            cost_spikes(ev, as_of, window_hours, limits),
+            duration_outliers(ev, as_of, window_hours, limits, approx),
+            failure_bursts(ev, as_of, limits),
+            gpu_waste_pattern(ev, as_of, window_hours, limits),
+        ]
+        result = found[0].select(*ANOMALY_COLUMNS)
+        for df in found[1:]:
+            result = result.unionByName(df.select(*ANOMALY_COLUMNS))
+        return result
+    base = baseline.measured(ev, as_of, window_hours, limits)
+    tops = baseline.candidates(ev, as_of, window_hours, limits).withColumnRenamed("job_type", "cand_type")
+    on = [base[c] == tops[f"of_{c}"] for c in baseline.KEYS]
+    rows = base.join(tops, on, "left").withColumns(
+        {
+            "z": F.try_divide(F.col("cost_usd") - F.col("mean_cost"), F.col("std_cost")),
+            "delta": F.col("recent_rate") - F.col("baseline_rate"),
+        }
+    )
+    group, per_tenant = F.col("level") == baseline.GROUP, F.col("level") == baseline.TENANT
+    once = per_tenant & F.coalesce(F.col("nth") == 1, F.lit(True))  # what is about the tenant, not about a job
+    tests = [
+        (group & (F.col("samples") >= limits.min_samples) & (F.col("z") > limits.z_flag), _spike(as_of, limits)),
+        (per_tenant & (F.col("duration_seconds") > F.col("fence")), _outlier(as_of, "cand_type")),
+        (once & (F.col("delta") > limits.burst_points), _burst(as_of, limits)),
+        (once & _wasteful(limits), _waste(as_of, limits)),
     ]
-    result = found[0].select(*ANOMALY_COLUMNS)
-    for df in found[1:]:
-        result = result.unionByName(df.select(*ANOMALY_COLUMNS))
-    return result
+    found = F.array_compact(F.array(*[F.when(test, F.struct(*fields)) for test, fields in tests]))
+    found = rows.select("z", "cost_usd", "event_id", F.explode(found).alias("f")).select("z", "cost_usd", "event_id", "f.*")
+    order = [F.col("z").desc(), F.col("cost_usd").desc(), F.col("event_id").asc()]
+    nth = F.row_number().over(W.partitionBy("tenant_id", "anomaly_type").orderBy(*order))
+    kept = (F.col("anomaly_type") != "COST_SPIKE") | (nth <= limits.top_spikes)
+    return found.withColumn("_kept", kept).filter("_kept").select(*ANOMALY_COLUMNS)
 
 
 def rolling_duration_baseline(ev: DataFrame, days: int = 7) -> DataFrame:

@@ -20,7 +20,7 @@ def test_cost_spike_is_found_with_its_numbers(spark):
     assert [r.event_id for r in rows] == ["spike"]
     spike = rows[0]
     assert spike.severity == "CRITICAL" and spike.metric_value == 50.0 and spike.z_score > 5
-    assert spike.title.startswith("Cost spike: fraud-detection (z=")
+    assert spike.title.startswith("fraud-detection cost $50.00, ")
 
 
 @pytest.mark.parametrize("others, found", [(8, 0), (30, 1)])
