@@ -6,8 +6,8 @@ both sides meet in a hash join (Acero) on the key (document, end). A match links
 group, so groups are numbered by a cumulative sum of matches. Table.group_by counts the slice's id pairs;
 counts are added up over a block of documents, and Spark adds up the blocks.
 
-A document's links need the totals of their pairs. They are written once, with the block they belong to. Each block gets
-the totals of its own pairs back, one row a pair and block, and reads them before its documents:
+A document's links need the totals of their pairs. They are written once, each as the number of its pair in the block.
+Each block gets the totals of its own pairs back, one row a pair and block, and reads them before its documents:
 no link is shuffled by its pair, so a pair that every document has costs a row a block. A block's documents are
 dealt together; a block has BLOCK bytes of text, or one text that is longer.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from fleetgauge.llm.shared import column, cut, slices
 from fleetgauge.llm.tokenizer_files import Encoder, SharedFile
 
-#: Bytes of text whose pair counts are added up in a task before they leave it; pairs held uncounted.
+#: Bytes of text whose pair counts are added up in a task before they leave it; rows of counts or links held at once.
 BLOCK, HELD = 64 << 20, 1 << 20
 #: Bits of a byte offset inside a document in the join key.
 OFFSET = 40
@@ -141,73 +141,86 @@ def _sides(a: Encoder, b: Encoder) -> tuple[Side, Side, pa.LargeStringArray]:
     return one, two, _words(len(one.sizes), len(two.sizes))
 
 
-class _Counts:
-    """Pair counts of a block: partial tables, added up when many pairs are held."""
+class _Pairs:
+    """The id pairs of a block in order of first sight, and how often each was linked."""
 
     def __init__(self) -> None:
-        self.parts: list[pa.Table] = []
-
-    def add(self, pairs: np.ndarray) -> None:
-        self.parts.append(pa.table({"pair": pairs}).group_by("pair", use_threads=False).aggregate([([], "count_all")]))
+        self.known, self.parts = pa.array([], pa.int64()), []
+
+    def add(self, pairs: np.ndarray) -> pa.Array:
+        """Count pairs; their numbers in the block."""
+        rows = pa.array(pairs)
+        new = pc.unique(rows)
+        new = new.filter(pc.invert(pc.is_in(new, value_set=self.known)))
+        self.known = pa.concat_arrays([self.known, new])
+        number = pc.index_in(rows, value_set=self.known)
+        self.parts.append(pa.table({"number": number}).group_by("number", use_threads=False).aggregate([([], "count_all")]))
         if len(self.parts) > 1 and sum(p.num_rows for p in self.parts) > HELD:
-            self.parts = [self.total()]
+            self.parts = [self._total()]
+        return number
+
+    def _total(self) -> pa.Table:
+        rows = pa.concat_tables(self.parts).group_by("number", use_threads=False).aggregate([("count_all", "sum")])
+        return rows.rename_columns(["number", "count_all"])
 
-    def total(self) -> pa.Table:
-        rows = pa.concat_tables(self.parts).group_by("pair", use_threads=False).aggregate([("count_all", "sum")])
-        return rows.rename_columns(["pair", "count_all"])
+    def counts(self) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """(number, pair, count)."""
+        total = self._total()
+        number = total["number"].combine_chunks()
+        return number, self.known.take(number), total["count_all"].combine_chunks()
 
 
 _DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
 def linked_documents(documents: DataFrame, a: str, b: str) -> DataFrame:
-    """Two kinds of rows: documents (block, _DOC, links array<long>), and their blocks' counts (block, pair, n).
+    """Two kinds of rows: documents (block, _DOC, links), and the pairs of their block (block, number, pair, n).
 
-    A link is a pair of ids, a * WIDTH + b, with the size of b's vocabulary as WIDTH. Written to the shared folder.
+    A link is the number of its pair in the block; a pair is a * width + b, with the size of b's vocabulary as
+    width. Written to the shared folder.
     """
     spark = documents.sparkSession
     file_a, file_b = SharedFile(spark, a, plain=True), SharedFile(spark, b, plain=True)
-    schema = f"block long, pair long, n long, {_DOC}, links array<long>"
+    schema = f"block long, number int, pair long, n long, {_DOC}, links array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two, words = _sides(file_a.encoder(), file_b.encoder())
-        block, size, counts = TaskContext.get().partitionId() << 32, 0, _Counts()
+        block, size, pairs = TaskContext.get().partitionId() << 32, 0, _Pairs()
         for batch in slices(batches, "text"):
             texts = column(batch, "text").to_pylist()
             found = Aligned(one, two, [t or "" for t in texts])
-            pairs = found.pairs(len(two.sizes))
-            counts.add(pairs)
-            yield _doc_rows(block, column(batch, "doc_id"), found, pairs, words)
+            numbers = pairs.add(found.pairs(len(two.sizes)))
+            yield _doc_rows(block, column(batch, "doc_id"), found, numbers, words)
             size += sum(len(t) for t in texts if t)
             if size >= BLOCK:
-                yield _count_rows(block, counts.total())
-                block, size, counts = block + 1, 0, _Counts()
-        if counts.parts:
-            yield _count_rows(block, counts.total())
+                yield _pair_rows(block, pairs)
+                block, size, pairs = block + 1, 0, _Pairs()
+        if pairs.parts:
+            yield _pair_rows(block, pairs)
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return cut(docs.mapInArrow(run, schema))
 
 
-_NAMES = ["block", "pair", "n", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]
+_NAMES = ["block", "number", "pair", "n", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]
 
 
-def _doc_rows(block: int, doc_ids: pa.Array, found: Aligned, pairs: np.ndarray, words: pa.LargeStringArray) -> pa.RecordBatch:
+def _doc_rows(block: int, doc_ids: pa.Array, found: Aligned, numbers: pa.Array, words: pa.LargeStringArray) -> pa.RecordBatch:
     n = len(doc_ids)
     offsets = np.concatenate([[0], np.cumsum(found.n_links)]).astype(np.int32)
     arrays = [
-        pa.array(np.full(n, block)), *[pa.nulls(n, pa.int64())] * 2, doc_ids,
+        pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.int64())] * 2, doc_ids,
         *(pa.array(c) for c in (found.a.counts, found.b.counts, found.n_links, found.n_links)),
-        pa.array(found.digests(words), pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(pairs)),
+        pa.array(found.digests(words), pa.string()), pa.ListArray.from_arrays(pa.array(offsets), numbers),
     ]
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
-def _count_rows(block: int, counts: pa.Table) -> pa.RecordBatch:
-    n = counts.num_rows
+def _pair_rows(block: int, pairs: _Pairs) -> pa.RecordBatch:
+    counts = pairs.counts()
+    n = len(counts[0])
     arrays = [
-        pa.array(np.full(n, block)), *(counts[c].combine_chunks() for c in ("pair", "count_all")), *[pa.nulls(n, pa.int64())] * 5,
-        pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int64())),
+        pa.array(np.full(n, block)), *counts, *[pa.nulls(n, pa.int64())] * 5, pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int32())),
     ]
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
@@ -222,7 +235,7 @@ def pair_totals(found: DataFrame, width: int) -> DataFrame:
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a block: totals by pair, then documents, whose links look their totals up."""
+    """Rows of a block: its pairs' totals by number, then its documents, whose links look them up."""
     at, held, table = None, [], None
     for batch in batches:
         blocks = np.asarray(column(batch, "block"))
@@ -233,27 +246,29 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if blocks[lo] != at:
                 at, held, table = blocks[lo], [], None
             rows = batch.slice(lo, hi - lo)
-            known = pc.is_valid(column(rows, "pair"))
-            totals, docs = rows.filter(known), rows.filter(pc.invert(known))
-            if totals.num_rows:
-                held.append(pa.Table.from_batches([totals]).select(["pair", "total", "best"]))
-            if docs.num_rows:
-                if table is None:
-                    table = pa.concat_tables(held).combine_chunks() if held else None
-                yield _scored(docs, table)
+            n_pairs = len(rows) - column(rows, "number").null_count  # pairs come first
+            if n_pairs:
+                held.append([np.asarray(column(rows, c).slice(0, n_pairs).cast(pa.int64())) for c in ("best", "total")])
+            docs = rows.slice(n_pairs)
+            if len(docs) and table is None:
+                table = [np.concatenate([np.zeros(0, np.int64), *(h[i] for h in held)]) for i in range(2)]
+            yield from (_scored(part, table) for part in _parts(docs))
+
+
+def _parts(docs: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The documents in parts of about HELD links, one document at least."""
+    sizes = np.asarray(pc.list_value_length(column(docs, "links"))).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // HELD
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(docs)]
+    return (docs.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:], strict=False) if hi > lo)
 
 
-def _scored(docs: pa.RecordBatch, table: pa.Table | None) -> pa.RecordBatch:
+def _scored(docs: pa.RecordBatch, table: list[np.ndarray]) -> pa.RecordBatch:
     links = column(docs, "links")
-    flat, starts = pc.list_flatten(links), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(links)))])
+    flat, starts = np.asarray(pc.list_flatten(links)), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(links)))])
     sums = []
-    for name in ("best", "total"):
-        values = np.zeros(0, np.int64)
-        if len(flat):
-            # Totals come sorted by pair.
-            where = np.searchsorted(np.asarray(table["pair"].combine_chunks()), np.asarray(flat))
-            values = np.asarray(table[name].combine_chunks().cast(pa.int64()))[where]
-        run = np.concatenate([[0], np.cumsum(values)])
+    for values in table:
+        run = np.concatenate([[0], np.cumsum(values[flat])])
         sums.append(pa.array(run[starts[1:]] - run[starts[:-1]]))
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     arrays = [*(column(docs, c) for c in names), *sums, column(docs, "groups_sha256")]
@@ -264,12 +279,12 @@ def align_documents(documents: DataFrame, a: str, b: str) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each document; a, b: tokenizer files."""
     width = SharedFile(documents.sparkSession, b).encoder().size()
     found = linked_documents(documents, a, b)
-    own = found.filter("pair is not null").select("block", "pair").join(pair_totals(found, width), "pair")
-    docs = found.filter("pair is null").drop("n")
-    names = [c for c in docs.columns if c not in ("block", "pair")]
+    own = found.filter("pair is not null").select("block", "number", "pair").join(pair_totals(found, width), "pair").drop("pair")
+    docs = found.filter("pair is null").drop("pair", "n")
+    names = [c for c in docs.columns if c not in ("block", "number")]
     empty = {c: F.lit(None).cast(docs.schema[c].dataType) for c in names}
     rows = own.withColumns(empty).unionByName(docs.withColumns({"total": F.lit(None).cast("long"), "best": F.lit(None).cast("boolean")}))
-    dealt = rows.repartition("block").sortWithinPartitions("block", F.col("pair").asc_nulls_last())
+    dealt = rows.repartition("block").sortWithinPartitions("block", F.col("number").asc_nulls_last())
     return dealt.mapInArrow(
         _sums, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     )
