@@ -46,14 +46,39 @@ def summarize(
             aggs.append(F.percentile_approx(seen, list(at), accuracy).cast("array<double>").alias("q"))
         return df.groupBy(*keys).agg(*aggs)
 
+    rows = histogram(df, keys, sums, value, counted, maxima, minima)
+    return of_histogram(rows, keys, list(sums), at, list(maxima), list(minima))
+
+
+def histogram(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, Column],
+    value: str,
+    counted: Column | None = None,
+    maxima: Mapping[str, Column] | None = None,
+    minima: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """One row per key and value: ``_weight`` and the measures. Such rows can be added up with others."""
     weight = F.count(F.lit(1)) if counted is None else F.sum(hit(counted))
-    histogram = df.groupBy(*keys, F.col(value).alias("_value")).agg(
+    return df.groupBy(*keys, F.col(value).alias("_value")).agg(
         weight.alias("_weight"),
         *[F.sum(c).alias(n) for n, c in sums.items()],
-        *[F.max(c).alias(n) for n, c in maxima.items()],
-        *[F.min(c).alias(n) for n, c in minima.items()],
+        *[F.max(c).alias(n) for n, c in (maxima or {}).items()],
+        *[F.min(c).alias(n) for n, c in (minima or {}).items()],
     )
-    return histogram.groupBy(*keys).agg(
+
+
+def of_histogram(
+    rows: DataFrame,
+    keys: Sequence[str],
+    sums: Sequence[str],
+    at: Sequence[float],
+    maxima: Sequence[str] = (),
+    minima: Sequence[str] = (),
+) -> DataFrame:
+    """Totals and exact percentiles ``q`` per key from histogram rows, several to a value or one."""
+    return rows.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in sums],
         *[F.max(n).alias(n) for n in maxima],
         *[F.min(n).alias(n) for n in minima],

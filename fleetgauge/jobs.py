@@ -14,6 +14,7 @@ from .operators.detect import all_anomalies
 from .operators.health import health_checks, health_run_summary
 from .operators.incidents import anomalies_to_incidents, as_stored_incidents, checks_to_incidents, escalations
 from .operators.quality import assert_quality, dq_checks
+from .plans.arrivals import day_ledger, ledger_checks, stamp_ledger
 from .plans.digest import digest_rows
 from .plans.metrics import refresh_daily_metrics
 from .plans.operations import ingest_window_incident
@@ -39,7 +40,8 @@ def run_health(spark: SparkSession, root: str, ten: DataFrame, as_of: Moment, **
     ev = read_table(spark, root, "job_events")
     # A few rows per tenant each; kept so that storing and counting them does
     # not read the events again.
-    checks = health_checks(ev, ten, as_of, **limits).persist()
+    arrivals = stamp_ledger(spark, root)
+    checks = health_checks(ev, ten, as_of, arrivals=arrivals.read() if arrivals.exists() else None, **limits).persist()
     anomalies = all_anomalies(ev, as_of).persist()
     try:
         _incidents(spark, root, checks_to_incidents(checks, as_of))
@@ -65,7 +67,8 @@ def run_quality_and_metrics(
     """
     ev = read_table(spark, root, "job_events")
     try:
-        assert_quality(dq_checks(ev, as_of))
+        counted = day_ledger(spark, root).exists()
+        assert_quality(ledger_checks(spark, root, ev, as_of) if counted else dq_checks(ev, as_of))
         refresh_daily_metrics(spark, root, ten, slices, as_of)
     finally:
         _incidents(spark, root, ingest_window_incident(ev, as_of))

@@ -5,7 +5,7 @@ is the one check that looks at all time. On a table stored by day (with the
 ``ingest_date`` column) it gets its own narrow scan, because folding it into
 the others would make them read the whole history: first the last day of
 arrivals, then, only for tenants that were silent in it, their older
-partitions.
+partitions. Given the ledger of arrivals, it opens no event file.
 """
 
 from __future__ import annotations
@@ -73,11 +73,15 @@ def tenant_health(
     limits: HealthLimits = HealthLimits(),
     checks: Sequence[str] = CHECKS,
     approx: bool = False,
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per tenant with every measure the ``checks`` need."""
+    """One row per tenant with every measure the ``checks`` need.
+
+    ``arrivals`` (tenant_id, ingested_at, ingest_date) stands for the events where arrival times are asked for.
+    """
     measures = _measures(as_of, checks, limits)
     wants_p95, wants_age = "p95_latency" in checks, "pipeline_staleness" in checks
-    split_scan = wants_age and "ingest_date" in ev.columns
+    split_scan = wants_age and (arrivals is not None or "ingest_date" in ev.columns)
     rows, maxima = ev, {}
     if wants_age and not split_scan:
         arrived = between("ingested_at", until=moment(as_of))
@@ -97,7 +101,7 @@ def tenant_health(
             "tenant_id", "left",
         )
     if split_scan:
-        result = result.join(last_ingested(ev, ten, as_of), "tenant_id", "left")
+        result = result.join(last_ingested(ev if arrivals is None else arrivals, ten, as_of), "tenant_id", "left")
     return result
 
 
@@ -199,9 +203,10 @@ def health_checks(
     limits: HealthLimits = HealthLimits(),
     checks: Sequence[str] = CHECKS,
     approx: bool = False,
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per tenant and check: name, passed, severity, metric, threshold, message, action."""
-    wide = tenant_health(ev, ten, as_of, limits, checks, approx)
+    wide = tenant_health(ev, ten, as_of, limits, checks, approx, arrivals)
     rows = F.array(*_as_checks(as_of, checks, limits))
     return wide.select("tenant_id", F.explode(rows).alias("c")).select("tenant_id", "c.*")
 

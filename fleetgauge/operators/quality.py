@@ -19,6 +19,9 @@ class QualityError(ValueError):
     """Raised by :func:`assert_quality`; names the failed checks."""
 
 
+CHECK_NAMES = ("null_event_id", "negative_cost", "future_start", "recent_rows", "negative_duration")
+
+
 def dq_checks(ev: DataFrame, as_of: Moment, fresh_minutes: float = 30) -> DataFrame:
     """Five checks as (check_name, value, passed) from one scan."""
     bad = {
@@ -28,14 +31,18 @@ def dq_checks(ev: DataFrame, as_of: Moment, fresh_minutes: float = 30) -> DataFr
         "recent_rows": between("ingested_at", **trailing(as_of, minutes=fresh_minutes)),
         "negative_duration": F.col("duration_seconds") < 0,
     }
-    counted = ev.agg(*[F.coalesce(F.sum(hit(c)), F.lit(0)).alias(n) for n, c in bad.items()])
+    return as_check_rows(ev.agg(*[F.coalesce(F.sum(hit(c)), F.lit(0)).alias(n) for n, c in bad.items()]))
+
+
+def as_check_rows(counted: DataFrame) -> DataFrame:
+    """(check_name, value, passed) from one row with a count per check."""
     rows = [
         F.struct(
             F.lit(n).alias("check_name"),
             F.col(n).alias("value"),
             (F.col(n) > 0 if n == "recent_rows" else F.col(n) == 0).alias("passed"),
         )
-        for n in bad
+        for n in CHECK_NAMES
     ]
     return counted.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
 

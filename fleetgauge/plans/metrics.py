@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clock import Moment, stamp
 from ..functions.numeric import from_units, ratio, rnd
-from ..functions.quantiles import summarize
-from ..schemas import DAILY_METRICS
+from ..functions.quantiles import histogram, of_histogram, summarize
+from ..schemas import BIGINT, DAILY_METRICS, DATE, INT, STRING
 from ..settings import HealthLimits
 from ..sources.dimensions import with_budget
 from ..sources.events import read_table
+from ..sources.ledger import Ledger, Shape
 from ..sources.sinks import drop_slices, overwrite_slices, pinned, touched_days
 from .measures import amounts, counts, known, total
 
 
+KEYS = ("metric_date", "tenant_id", "job_type")
+
+
 def daily_metrics(
     ev: DataFrame,
     ten: DataFrame,
@@ -31,23 +36,28 @@ def daily_metrics(
     ``is_over_budget`` compares one job type's spend, as the stored column
     always did; ``tenant_day_over_budget`` compares the tenant's whole day.
     """
+    rows = _dated(ev)
+    if slices is not None:
+        rows = rows.join(slices.select(F.col("event_date").alias("metric_date"), "tenant_id"), list(KEYS[:2]), "left_semi")
+    return _shaped(summarize(rows, KEYS, _measures(), value="duration_seconds", at=(0.95,), approx=approx), ten, as_of, overrun_pct)
+
+
+def _dated(ev: DataFrame) -> DataFrame:
     if "event_date" not in ev.columns:
         ev = ev.withColumn("event_date", F.to_date("started_at"))
-    ev = ev.filter(F.col("started_at").isNotNull())
-    if slices is not None:
-        ev = ev.join(slices.select("event_date", "tenant_id"), ["event_date", "tenant_id"], "left_semi")
-    rows = ev.withColumn("metric_date", F.col("event_date"))
-    grouped = summarize(
-        rows,
-        ["metric_date", "tenant_id", "job_type"],
-        {
-            **counts(),
-            **amounts("gpu_hours", "cpu_hours", "cost_usd"),
-            "seconds_sum": F.col("duration_seconds").cast("bigint"),
-            **known("duration_seconds"),
-        },
-        value="duration_seconds", at=(0.95,), approx=approx,
-    )
+    return ev.filter(F.col("started_at").isNotNull()).withColumn("metric_date", F.col("event_date"))
+
+
+def _measures() -> dict[str, Column]:
+    return {
+        **counts(),
+        **amounts("gpu_hours", "cpu_hours", "cost_usd"),
+        "seconds_sum": F.col("duration_seconds").cast("bigint"),
+        **known("duration_seconds"),
+    }
+
+
+def _shaped(grouped: DataFrame, ten: DataFrame, as_of: Moment, overrun_pct: float) -> DataFrame:
     limit = F.col("budget_weekly") / F.lit(7.0) * F.lit(1 + overrun_pct / 100)
     day = W.partitionBy("metric_date", "tenant_id")
     shaped = with_budget(grouped, ten).select(
@@ -69,12 +79,47 @@ def daily_metrics(
     return shaped.select(*DAILY_METRICS.names, "tenant_day_over_budget")
 
 
+def metric_rows(ev: DataFrame) -> DataFrame:
+    """What events add to the stored histograms of their days: counts and sums per second of duration."""
+    return histogram(_dated(ev), KEYS, _measures(), "duration_seconds").withColumnRenamed("_value", "seconds")
+
+
+_MEASURES = ("jobs_n", "ok_n", "failed_n", "gpu_hours_u", "cpu_hours_u", "cost_usd_u", "seconds_sum", "duration_seconds_n")
+_HISTOGRAM = Shape(
+    T.StructType(
+        [T.StructField(c, k) for c, k in zip((*KEYS, "seconds"), (DATE, STRING, STRING, INT), strict=True)]
+        + [T.StructField(c, BIGINT) for c in ("_weight", *_MEASURES)]
+    ),
+    (*KEYS, "seconds"), "metric_date",
+)
+
+
+def metric_ledger(spark: SparkSession, root: str) -> Ledger:
+    """The stored histograms; ``metric_rows`` of every event table row, added by the batch that brought it."""
+    return Ledger(spark, f"{root}/daily_histograms", _HISTOGRAM)
+
+
+def refresh_from_ledger(
+    spark: SparkSession, root: str, ten: DataFrame, slices: DataFrame, as_of: Moment, overrun_pct: float = HealthLimits().overrun_pct
+) -> None:
+    """Replace the given (event_date, tenant_id) slices from the stored histograms. No event is read.
+
+    The percentile stays exact: histograms of whole seconds are added, not estimates.
+    """
+    slices = pinned(slices.dropna().distinct())
+    days = [r[0] for r in slices.select("event_date").distinct().collect()]
+    rows = metric_ledger(spark, root).read(days=days).withColumnRenamed("seconds", "_value")
+    rows = rows.join(slices.select(F.col("event_date").alias("metric_date"), "tenant_id"), list(KEYS[:2]), "left_semi")
+    grouped = of_histogram(rows, KEYS, _MEASURES, (0.95,))
+    overwrite_slices(_shaped(grouped, ten, as_of, overrun_pct), root, "daily_metrics")
+
+
 def refresh_daily_metrics(
     spark: SparkSession, root: str, ten: DataFrame, slices: DataFrame, as_of: Moment, **options
 ) -> None:
-    """Recompute and replace the given (event_date, tenant_id) slices, whatever day they are.
+    """Recompute and replace the given (event_date, tenant_id) slices from the events, whatever day they are.
 
-    Only the listed days of the event table are read. A slice that has no
+    For repairs; batches use :func:`refresh_from_ledger`. Only the listed days of the event table are read. A slice that has no
     event left is removed.
     """
     slices = pinned(slices.filter(F.col("event_date").isNotNull()).distinct())

@@ -7,7 +7,7 @@ What it holds is told by an index of keys (:mod:`.key_index`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark import StorageLevel
@@ -86,12 +86,14 @@ def append_new(
     key: str,
     order: Sequence[Column] = (),
     unique: bool = False,
+    before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Insert or ignore into a stored table: a key is stored once, whatever its day.
 
     Rows are written before their keys, between two marks. Only when a run finds the first mark without the second,
     after a crash, are the days of its batch compared in the table itself: the same rows come again, with
-    the same days. ``unique``: the batch has no key twice.
+    the same days. ``unique``: the batch has no key twice. ``before`` is called with the rows that are new, before
+    any of them is written; after a crash it is called again, with those that are still new.
     """
     path, partitions = f"{root}/{table}", PARTITIONS[table]
     first = batch if unique else first_per_key(batch, key, order)
@@ -107,6 +109,8 @@ def append_new(
         if stored and index.interrupted():
             held = read_table(spark, root, table).filter(touched_days(first, partitions[0])).select(key)
             fresh = unknown.join(held, key, "left_anti")
+        if before is not None:
+            before(unknown)
         index.begin()
         _write(fresh, path, partitions, "append")
         index.add(unknown.select(key))

@@ -8,6 +8,10 @@ events and incidents are inserted by key, metrics replace whole slices. What
 the rules look at is the batch itself, not what the event insert let through,
 so a batch replayed after a crash between two steps still raises its
 incidents.
+
+Before the rows go in, what is new among them is added to the ledgers: histograms of the days' metrics and
+arrivals. Metrics are then refreshed from the histograms, and health and quality jobs read arrivals, so neither
+a late event nor a job makes anything read the events of a day again.
 """
 
 from __future__ import annotations
@@ -15,19 +19,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import Moment
 from ..operators.incidents import as_stored_incidents, inline_incidents
 from ..operators.quality import STORED_SUITE, quarantine
-from ..plans.metrics import refresh_daily_metrics
+from ..plans.arrivals import day_ledger, day_rows, stamp_ledger, stamp_rows
+from ..plans.metrics import metric_ledger, metric_rows, refresh_from_ledger
 from ..settings import HealthLimits, RuleLimits
-from ..sources.events import apply_defaults, as_stored, parse_lines, rejected_lines
+from ..sources.events import apply_defaults, as_stored, parse_lines, read_table, rejected_lines, table_exists
 from ..sources.sinks import append_new, first_per_key, touched_slices
 
 
+LEDGERS = ((metric_ledger, metric_rows), (stamp_ledger, stamp_rows), (day_ledger, day_rows))
+
+
+def add_to_ledgers(spark: SparkSession, root: str, new: DataFrame, name: str) -> None:
+    """Add events that are about to be stored. A table older than its ledgers is counted first, once."""
+    for open_ledger, rows in LEDGERS:
+        ledger = open_ledger(spark, root)
+        if not ledger.exists() and table_exists(spark, f"{root}/job_events"):
+            ledger.add("history", rows(read_table(spark, root, "job_events")))
+        if not ledger.has(name):
+            ledger.add(name, rows(new))
+
+
+def _name(batch: DataFrame) -> str:
+    """A name for what a batch holds, whatever its order and whatever of it is stored."""
+    key = F.xxhash64("event_id")
+    row = batch.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(key).alias("x"), F.bit_xor(F.xxhash64(key)).alias("y")).first()
+    return f"{row.n}-{row.x or 0:x}-{row.y or 0:x}"
+
+
 def make_batch_writer(
     root: str,
     ten: DataFrame,
@@ -38,6 +63,9 @@ def make_batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function. ``as_of`` gives the arrival time of a batch id."""
 
+    def note(new: DataFrame, name: str) -> None:
+        add_to_ledgers(new.sparkSession, root, new, name)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = parse_lines(batch).withColumn("_batch", F.lit(batch_id))
@@ -61,10 +89,10 @@ def make_batch_writer(
                     rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
             if clean.isEmpty():
                 return
-            append_new(spark, clean, root, "job_events", "event_id", unique=True)
+            append_new(spark, clean, root, "job_events", "event_id", unique=True, before=lambda new: note(new, _name(clean)))
             found = as_stored_incidents(inline_incidents(clean, ten, limits, as_of=now))
             append_new(spark, found, root, "incidents", "incident_id", unique=True)
-            refresh_daily_metrics(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct)
+            refresh_from_ledger(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct)
         finally:
             events.unpersist()
             parsed.unpersist()
