@@ -28,8 +28,9 @@ from fleetgauge.operators.incidents import (  # noqa: E402
 from fleetgauge.plans import digest, finance, metrics, operations, reports  # noqa: E402
 from fleetgauge.session import work_dir  # noqa: E402
 from fleetgauge.schemas import DAILY_METRICS  # noqa: E402
-from fleetgauge.sources.events import apply_defaults, decode_events, read_table, scan_events  # noqa: E402
-from fleetgauge.sources.sinks import new_rows, to_payload, touched_slices  # noqa: E402
+from fleetgauge.sources.events import apply_defaults, decode_events, read_lines_stream, read_table, scan_events  # noqa: E402
+from fleetgauge.sources.events import query as adhoc  # noqa: E402
+from fleetgauge.sources.sinks import append, export_csv, new_rows, to_payload, touched_slices  # noqa: E402
 from fleetgauge.streaming import daily as stream_daily  # noqa: E402
 from fleetgauge.streaming import ingest  # noqa: E402
 from oracles import oracle_sql as _oracle_sql  # noqa: E402
@@ -38,9 +39,7 @@ try:  # the training-data operators may be absent; everything else works without
     from corpus_pipeline import ORACLE_SQL as _PIPELINE_SQL
     from corpus_pipeline import run as _pipeline
     from fleetgauge.llm import queries as _llm
-except ImportError as missing:
-    if missing.name not in ("corpus_pipeline", "fleetgauge.llm"):
-        raise
+except ImportError:
     _llm = None
 
 ROW = ("event_id", "tenant_id", "job_type", "status", "started_at", "cost_usd")
@@ -189,6 +188,64 @@ def _aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.array_join(F.sort_array("reasons"), ", ").alias("reasons")).distinct()
 
 
+def _expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{_ingested(spark, sf_dir)}/expectations")
+    counted = rows.groupBy("position", "expectation", "column_name").agg(F.sum("unexpected_count").alias("unexpected_count"))
+    return counted.withColumn("success", F.col("unexpected_count") == 0)
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wire lines as text files, one a micro-batch, through the whole ingestion stream."""
+    b, folder = Bound.over(spark, sf_dir), work_dir(spark, "stream-ingest")
+    _wire_lines(b).repartition(3).write.text(f"{folder}/topic")
+    lines = read_lines_stream(spark, f"{folder}/topic", files_per_trigger=1)
+    write = ingest.make_batch_writer(f"{folder}/tables", b.tenants, lambda i: AS_OF + timedelta(minutes=i))
+    ingest.start_ingest(lines, write, f"{folder}/checkpoint", every=None).awaitTermination()
+    return read_table(spark, f"{folder}/tables", "job_events").select(*ROW, "duration_seconds")
+
+
+def _csv(b: Bound) -> DataFrame:
+    rows = reports.gpu_spend_weekly(b.job_events)
+    folder = work_dir(b.spark, "csv")
+    export_csv(rows, folder)
+    return b.spark.read.schema(rows.schema).option("header", True).csv(folder)
+
+
+def _append(b: Bound) -> DataFrame:
+    """Two appends to the digest log: a log keeps what comes, twice what comes twice."""
+    rows = digest.digest_rows(b.job_events, b.incidents, b.tenants, AS_OF)
+    root = work_dir(b.spark, "log")
+    for _ in range(2):
+        append(rows, root, "digests")
+    stored = read_table(b.spark, root, "digests").groupBy("tenant_id", "digest_date", "period", "budget_status")
+    return stored.agg(F.count(F.lit(1)).alias("copies"), F.countDistinct("digest_id").alias("ids"))
+
+
+def _adhoc(b: Bound) -> DataFrame:
+    text = "SELECT tenant_id, machine_type, count(*) AS jobs, max(duration_seconds) AS longest FROM ev WHERE status = :s GROUP BY ALL"
+    return adhoc(b.spark, text, {"ev": b.job_events}, s="FAILED")
+
+
+def _digest_text(b: Bound) -> DataFrame:
+    """Every line of both digests of every tenant."""
+    daily = digest.digest_daily_metrics(b.job_events, b.incidents, b.tenants, AS_OF)
+    weekly = digest.digest_weekly_metrics(b.job_events, b.incidents, b.tenants, AS_OF)
+    rows = [
+        digest.digest_lines(m, b.incidents, b.tenants, AS_OF, period).withColumn("period", F.lit(period))
+        for m, period in ((daily, "DAILY"), (weekly, "WEEKLY"))
+    ]
+    return rows[0].unionByName(rows[1]).select("tenant_id", "period", "part", "position", "incident_id", "line")
+
+
+def _notices(b: Bound) -> DataFrame:
+    """Notices of a month's spend against a weekly budget, so that somebody is over it."""
+    ten = b.tenants.withColumns(
+        {"alert_email": F.concat("tenant_id", F.lit("@ops.example")), "notify_on_overrun": F.col("tenant_id") != "client_internal"}
+    )
+    small = ten.withColumn("budget_weekly", F.col("budget_weekly") / F.lit(50.0))
+    return finance.overrun_notices(finance.budget_status(b.job_events, small, AS_OF), small)
+
+
 _INGEST = {
     "ingest_events": _table_of("job_events", *ROW, "duration_seconds", "event_date"),
     "ingest_incidents": _table_of("incidents", "tenant_id", "job_id", "incident_type", "severity", "metric_value"),
@@ -196,6 +253,8 @@ _INGEST = {
         "daily_metrics", *(c for c in DAILY_METRICS.names if c != "computed_at"), "tenant_day_over_budget"
     ),
     "ingest_quarantine": _aside,
+    "ingest_expectations": _expectations,
+    "stream_ingest": _stream_ingest,
 }
 
 
@@ -225,6 +284,9 @@ _BOUND: dict[str, Callable[[Bound], DataFrame]] = {
     "cost_enrichment": lambda b: with_costs(
         b.job_events.drop("gpu_type", "gpu_count", "gpu_hours", "cpu_hours", "cost_usd"), b.rate_card
     ).select("event_id", "gpu_type", "gpu_count", "gpu_hours", "cpu_hours", "cost_usd"),
+    "csv_export": _csv,
+    "append_log": _append,
+    "adhoc_query": _adhoc,
     # filters and scalar expressions
     "filter_tenant": lambda b: scan_events(b.job_events, tenant="client_demo").select(*ROW),
     "filter_since": lambda b: scan_events(b.job_events, since="2024-01-15").select(*ROW),
@@ -294,6 +356,10 @@ _BOUND: dict[str, Callable[[Bound], DataFrame]] = {
         rnd("avg_wasted_cost", 6).alias("avg_wasted_cost"),
     ),
     "inline_incidents": lambda b: inline_incidents(b.job_events, b.tenants).select(*INCIDENT),
+    "incident_texts": lambda b: inline_incidents(b.job_events, b.tenants).select(
+        "tenant_id", "job_id", "incident_type", "title", "description"
+    ),
+    "overrun_notices": _notices,
     # the same over amounts that are NaN
     "cost_baseline_dirty": lambda b: _baseline(_spoiled(b)),
     "cost_spikes_dirty": lambda b: detect.cost_spikes(_spoiled(b), AS_OF).select(*SPIKE),
@@ -313,6 +379,7 @@ _BOUND: dict[str, Callable[[Bound], DataFrame]] = {
     "digest_weekly_metrics": lambda b: digest.digest_weekly_metrics(
         b.job_events, b.incidents, b.tenants, AS_OF
     ),
+    "digest_text": _digest_text,
     # quality
     "dq_checks": lambda b: quality.dq_checks(b.job_events_dirty, AS_OF),
     "dq_expectations": lambda b: quality.expect(b.job_events_dirty),

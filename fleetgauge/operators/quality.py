@@ -6,13 +6,15 @@ import json
 from collections.abc import Mapping, Sequence
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clock import Moment, between, stamp, trailing
 from ..functions.numeric import hit
-from ..schemas import JOB_EVENTS
+from ..schemas import BIGINT, BOOLEAN, JOB_EVENTS, STRING
 from ..settings import JOB_TYPES, STATUSES
+from ..sources.dimensions import literal_table
 
 
 class QualityError(ValueError):
@@ -156,6 +158,41 @@ def expect(df: DataFrame, suite: Sequence[Mapping] = EVENT_SUITE) -> DataFrame:
     return combined.select("r.*")
 
 
+_RESULT = T.StructType(
+    [
+        T.StructField("position", BIGINT), T.StructField("expectation", STRING), T.StructField("column_name", STRING),
+        T.StructField("unexpected_count", BIGINT), T.StructField("success", BOOLEAN),
+    ]
+)
+
+
+def watched(df: DataFrame, suite: Sequence[Mapping] = EVENT_SUITE) -> tuple[DataFrame, Observation]:
+    """``df`` to be written, and counts of what breaks the suite that come with the write.
+
+    Write the frame as it is: counted in the tasks that write, a row counts once however often a
+    task or what is above it was repeated. Uniqueness is no property of a row and not counted.
+    """
+    seen = Observation()
+    tests = {i: _violation(exp) for i, exp in enumerate(suite) if exp["kwargs"]["column"] in df.columns}
+    counts = [F.coalesce(F.sum(hit(v)), F.lit(0)).alias(f"v{i}") for i, v in tests.items() if v is not None]
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *counts), seen
+
+
+def expectation_rows(
+    spark: SparkSession, counted: Mapping[str, int], columns: Sequence[str],
+    surplus: Mapping[str, int], suite: Sequence[Mapping] = EVENT_SUITE,
+) -> DataFrame:
+    """The rows of :func:`expect` from watched counts; ``surplus``: repeats per unique column."""
+    rows = []
+    for i, exp in enumerate(suite):
+        column, kind = exp["kwargs"]["column"], exp["expectation_type"]
+        n = None
+        if column in columns:
+            n = surplus.get(column) if kind == UNIQUE else 0 if kind == EXISTS else counted.get(f"v{i}", 0)
+        rows.append((i + 1, kind, column, n, n == 0))
+    return literal_table(spark, rows, _RESULT)
+
+
 def _positions(scanned: DataFrame) -> list[tuple[int, str]]:
     return [(int(c[1:]), c) for c in scanned.columns if c.startswith("v")]
 

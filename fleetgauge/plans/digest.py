@@ -160,7 +160,7 @@ def digest_weekly_metrics(ev: DataFrame, inc: DataFrame, ten: DataFrame, as_of:
 
 
 # The line layout of the digest text. A line is a label and the
-# metric behind it with its format; a string alone is a heading.
+# metric behind it with its format, or several of them; a string alone is a heading.
 DAILY_LINES = (
     "## Spend & budget",
     ("Spend today", "usd", "spend_today"),
@@ -202,25 +202,88 @@ WEEKLY_LINES = (
     ("Peak day", "day_cost", "peak_day"),
     ("Trough day", "day_cost", "trough_day"),
     "## Incidents (week)",
-    ("Total", "plain", "incidents_total"),
-    ("CRITICAL", "plain", "incidents_critical"),
-    ("HIGH", "plain", "incidents_high"),
+    (("Total", "plain", "incidents_total"), ("CRITICAL", "plain", "incidents_critical"), ("HIGH", "plain", "incidents_high")),
 )
+LIST_HEADS = {"DAILY": "- Recent incidents (severity / type / title):", "WEEKLY": "- Detail:"}
 
 
 def _line(spec) -> list[Column]:
     if isinstance(spec, str):
         return [F.lit(""), F.lit(spec)]
-    label, form, name = spec
-    value = {
-        "usd": lambda: usd(name),
-        "percent": lambda: F.concat(fixed(name, 1), F.lit("%")),
-        "one": lambda: fixed(name, 1),
-        "two": lambda: fixed(name, 2),
-        "plain": lambda: shown(name),
-        "day_cost": lambda: F.concat(shown(name), F.lit(" ("), usd(f"{name}_cost"), F.lit(")")),
-    }[form]()
-    return [F.concat(F.lit(f"- {label}: "), value)]
+    items = [spec] if isinstance(spec[0], str) else spec
+    parts: list[Column | str] = []
+    for label, form, name in items:
+        value = {
+            "usd": lambda: usd(name),
+            "percent": lambda: F.concat(fixed(name, 1), F.lit("%")),
+            "one": lambda: fixed(name, 1),
+            "two": lambda: fixed(name, 2),
+            "plain": lambda: shown(name),
+            "day_cost": lambda: F.concat(shown(name), F.lit(" ("), usd(f"{name}_cost"), F.lit(")")),
+        }[form]()
+        parts += [f", {label}: " if parts else f"- {label}: ", value]
+    return [say(*parts)]
+
+
+def _head(as_of: Moment, period: str) -> list[Column]:
+    day = today(as_of)
+    if period == "DAILY":
+        when = f"Digest date: {day.isoformat()}"
+    else:
+        when = f"Week window: {(day - timedelta(days=6)).isoformat()} through {day.isoformat()}"
+    return [say("Tenant: ", F.col("display_name")), F.lit(when)]
+
+
+CLOSE = ("", "Answer with the JSON object described for digests, citing these numbers.")
+#: Parts of a digest in order: fixed lines, heading of the list, incidents, the close.
+FIXED, LISTED, INCIDENT, CLOSING = range(4)
+#: What puts the lines of a digest in order.
+ORDER = ("tenant_id", "part", "position", "age", "incident_id")
+
+
+def _recent(inc: DataFrame, as_of: Moment, period: str) -> DataFrame:
+    """Incidents of the period as lines, with what puts the worst and newest first."""
+    window = trailing(as_of, hours=24) if period == "DAILY" else calendar_day(as_of, days=7)
+    title = F.col("title") if "title" in inc.columns else F.col("incident_type")
+    return clip(inc, "detected_at", **window).select(
+        "tenant_id", "incident_id",
+        severity_rank("severity").cast("int").alias("position"),
+        (-F.coalesce(F.unix_micros(F.col("detected_at").cast("timestamp")), F.lit(0))).alias("age"),
+        F.concat(F.lit("  - "), shown("severity"), F.lit(": "), shown("incident_type"), F.lit(" — "), shown(title)).alias("line"),
+    )
+
+
+def digest_lines(metrics: DataFrame, inc: DataFrame, ten: DataFrame, as_of: Moment, period: str = "DAILY") -> DataFrame:
+    """The whole digest as rows (tenant_id, part, position, age, incident_id, line), in the order of ``ORDER``.
+
+    Every incident of the period is a row of its own, so no tenant's digest is ever in one place.
+    """
+    rows = ten.select("tenant_id", "display_name", "budget_weekly").join(metrics, "tenant_id")
+    rows = rows.withColumn("budget_daily", F.col("budget_weekly") / F.lit(7.0))
+    body = [c for spec in (DAILY_LINES if period == "DAILY" else WEEKLY_LINES) for c in _line(spec)]
+    texts = {FIXED: [*_head(as_of, period), *body], CLOSING: [F.lit(x) for x in CLOSE]}
+    lines = [
+        F.struct(F.lit(part).alias("part"), F.lit(i).alias("position"), text.alias("line"))
+        for part, column in texts.items() for i, text in enumerate(column)
+    ]
+    none = {"age": F.lit(0).cast("bigint"), "incident_id": F.lit("")}
+    fixed_rows = rows.select("tenant_id", F.inline(F.array(*lines))).withColumns(none)
+    recent = _recent(inc, as_of, period).join(ten.select("tenant_id"), "tenant_id", "left_semi").withColumn("part", F.lit(INCIDENT))
+    heads = recent.select("tenant_id").distinct().withColumns(
+        {"part": F.lit(LISTED), "position": F.lit(0), "line": F.lit(LIST_HEADS[period]), **none}
+    )
+    columns = [*ORDER, "line"]
+    return fixed_rows.select(columns).unionByName(heads.select(columns)).unionByName(recent.select(columns))
+
+
+def write_digest_texts(lines: DataFrame, path: str) -> None:
+    """Text files per tenant; read in the order of their names they are the digest.
+
+    Lines are dealt by range of their order, so a tenant with many incidents is written by many tasks,
+    each its own segment of the text.
+    """
+    dealt = lines.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    dealt.select("tenant_id", "line").write.mode("overwrite").partitionBy("tenant_id").text(path)
 
 
 def render_digest(
@@ -229,28 +292,18 @@ def render_digest(
     ten: DataFrame,
     as_of: Moment,
     period: str = "DAILY",
-    top: int | None = None,
+    top: int = 20,
 ) -> DataFrame:
-    """Digest text per tenant from the daily or weekly metrics.
+    """One digest text per tenant with the ``top`` worst incidents; a last line counts the others.
 
-    Every incident of the period is a line, the worst first. With ``top`` only
-    so many are, and a last line counts the others.
+    For messages. :func:`digest_lines` gives all incidents, as rows.
     """
-    daily = period == "DAILY"
-    window = trailing(as_of, hours=24) if daily else calendar_day(as_of, days=7)
-    recent = clip(inc, "detected_at", **window)
-    order = [severity_rank("severity"), F.col("detected_at").desc_nulls_last(), F.col("incident_id")]
-    worst = recent if top is None else top_per(recent, ["tenant_id"], order, top)
-    title = F.col("title") if "title" in inc.columns else F.col("incident_type")
-    line = F.concat(F.lit("  - "), shown("severity"), F.lit(": "), shown("incident_type"),
-                    F.lit(" — "), shown(title))
-    sortable = F.struct(
-        severity_rank("severity").alias("rank"),
-        (-F.coalesce(F.unix_micros(F.col("detected_at").cast("timestamp")), F.lit(0))).alias("age"),
-        F.col("incident_id"),
-        line.alias("line"),
+    recent = _recent(inc, as_of, period)
+    order = [F.col("position"), F.col("age"), F.col("incident_id")]
+    worst = top_per(recent, ["tenant_id"], order, top)
+    listed = worst.groupBy("tenant_id").agg(
+        F.sort_array(F.collect_list(F.struct("position", "age", "incident_id", "line"))).alias("items")
     )
-    listed = worst.groupBy("tenant_id").agg(F.sort_array(F.collect_list(sortable)).alias("items"))
     counted = recent.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("recent_n"))
     rows = (
         ten.select("tenant_id", "display_name", "budget_weekly")
@@ -258,28 +311,20 @@ def render_digest(
         .join(counted, "tenant_id", "left")
         .withColumn("budget_daily", F.col("budget_weekly") / F.lit(7.0))
     )
-    day = today(as_of)
-    if daily:
-        head = [say("Tenant: ", F.col("display_name")), F.lit(f"Digest date: {day.isoformat()}")]
-    else:
-        start = day - timedelta(days=6)
-        head = [say("Tenant: ", F.col("display_name")),
-                F.lit(f"Week window: {start.isoformat()} through {day.isoformat()}")]
-    body = [c for spec in (DAILY_LINES if daily else WEEKLY_LINES) for c in _line(spec)]
+    body = [c for spec in (DAILY_LINES if period == "DAILY" else WEEKLY_LINES) for c in _line(spec)]
     lines = F.transform("items", lambda x: x["line"])
     listing = F.when(
-        F.size("items") > 0,
-        F.concat(F.array(F.lit("- Recent incidents (severity / type / title):")), lines),
+        F.size("items") > 0, F.concat(F.array(F.lit(LIST_HEADS[period])), lines)
     ).otherwise(F.array().cast("array<string>"))
-    hidden = F.col("recent_n") - (F.col("recent_n") if top is None else F.lit(top))
+    hidden = F.col("recent_n") - F.lit(top)
     more = F.when(hidden > 0, F.array(say("  - and ", hidden, " more"))).otherwise(
         F.array().cast("array<string>")
     )
-    close = F.array(F.lit(""), F.lit("Answer with the JSON object described for digests, citing these numbers."))
+    close = F.array(*[F.lit(x) for x in CLOSE])
     return rows.select(
         "tenant_id",
-        F.lit(day).alias("digest_date"),
+        F.lit(today(as_of)).alias("digest_date"),
         F.lit(period).alias("period"),
-        F.concat_ws("\n", F.array(*head, *body), F.coalesce(listing, F.array().cast("array<string>")), more, close)
+        F.concat_ws("\n", F.array(*_head(as_of, period), *body), F.coalesce(listing, F.array().cast("array<string>")), more, close)
         .alias("digest_text"),
     )

@@ -88,10 +88,12 @@ def parse_lines(raw: DataFrame, schema: T.StructType = WIRE_EVENT) -> DataFrame:
 def decode_events(
     raw: DataFrame, schema: T.StructType = WIRE_EVENT
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejected)``: events with an id, and the lines that gave none."""
-    parsed = parse_lines(raw, schema)
-    good = parsed.filter(F.col("event_id").isNotNull()).drop("value")
-    return good, rejected_lines(parsed)
+    """``(good, rejected)``: events with an id, and the lines that gave none.
+
+    The second reads nothing but the id out of a line.
+    """
+    good = parse_lines(raw, schema).filter(F.col("event_id").isNotNull()).drop("value")
+    return good, rejected_lines(parse_lines(raw, T.StructType([schema["event_id"]])))
 
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 A micro-batch stays a DataFrame from decoding to the last write. Lines without
 an id are set aside as rejected; events that break a required column, a value
 range or a domain as quarantined, with their reasons. Only the others are
-stored. The order is set-asides, events, incidents, metrics, and every step may be repeated:
+stored. What breaks the expectations is counted while the set-asides are written, and kept
+per batch. The order is set-asides, events, incidents, metrics, and every step may be repeated:
 events and incidents are inserted by key, metrics replace whole slices. What
 the rules look at is the batch itself, not what the event insert let through,
 so a batch replayed after a crash between two steps still raises its
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import Moment
 from ..operators.incidents import as_stored_incidents, inline_incidents
-from ..operators.quality import STORED_SUITE, quarantine
+from ..operators.quality import STORED_SUITE, expectation_rows, quarantine, watched
 from ..plans.arrivals import day_ledger, day_rows, stamp_ledger, stamp_rows
 from ..plans.metrics import metric_ledger, metric_rows, refresh_from_ledger
 from ..settings import HealthLimits, RuleLimits
@@ -81,12 +82,17 @@ def make_batch_writer(
             events = first_per_key(good, "event_id", [F.col("emitted_at").asc_nulls_last()])
             events = as_stored(apply_defaults(events, now)).persist(StorageLevel.MEMORY_AND_DISK)
             clean, bad = quarantine(events, now, STORED_SUITE)
-            aside = {"rejected": rejected_lines(parsed), "quarantine": bad.drop("_batch")}
+            # Only rows that are set aside can break an expectation, so writing them counts for the batch.
+            aside, counted = {"rejected": rejected_lines(parsed), "quarantine": bad.drop("_batch")}, {}
             # One folder per batch id that has any: a replay overwrites its own.
             for name, rows in aside.items():
                 if not rows.isEmpty():
-                    rows = rows.withColumn("batch_id", F.lit(batch_id))
+                    rows, broken = watched(rows.withColumn("batch_id", F.lit(batch_id)))
                     rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+                    counted = broken.get if name == "quarantine" else counted
+            repeats = {"event_id": good.count() - events.count()}
+            results = expectation_rows(spark, counted, events.columns, repeats)
+            results.write.mode("overwrite").parquet(f"{root}/expectations/batch={batch_id}")
             if clean.isEmpty():
                 return
             append_new(spark, clean, root, "job_events", "event_id", unique=True, before=lambda new: note(new, _name(clean)))

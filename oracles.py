@@ -625,6 +625,115 @@ _TEXTS["ingest_quarantine"] = f"""
                                         CASE WHEN {_NO_TENANT} THEN 'tenant_id null' END) AS reasons
     FROM {{job_events}} WHERE {_NO_TENANT} OR {_NO_TIME}"""
 
+# Every batch holds the first third of the events again; repeats inside a batch are what did not succeed.
+_TEXTS["ingest_expectations"] = f"""
+    WITH e AS (SELECT *, CASE WHEN duration_seconds % 3 = 0 THEN 3 ELSE 1 END AS times FROM {{job_events}}),
+    c AS (SELECT coalesce(sum(times) FILTER (WHERE status <> 'SUCCEEDED'), 0) AS v3, coalesce(sum(times) FILTER (WHERE {_NO_TENANT}), 0) AS v4,
+                 coalesce(sum(times) FILTER (WHERE {_NO_TIME}), 0) AS v9 FROM e),
+    r(position, expectation, column_name, n) AS (
+      SELECT 1, 'expect_column_to_exist', 'event_id', 0
+      UNION ALL SELECT 2, 'expect_column_values_to_not_be_null', 'event_id', 0
+      UNION ALL SELECT 3, 'expect_column_values_to_be_unique', 'event_id', v3 FROM c
+      UNION ALL SELECT 4, 'expect_column_values_to_not_be_null', 'tenant_id', v4 FROM c
+      UNION ALL SELECT 5, 'expect_column_values_to_be_in_set', 'status', 0
+      UNION ALL SELECT 6, 'expect_column_values_to_be_between', 'cost_usd', 0
+      UNION ALL SELECT 7, 'expect_column_values_to_be_between', 'duration_seconds', 0
+      UNION ALL SELECT 8, 'expect_column_values_to_be_between', 'gpu_hours', 0
+      UNION ALL SELECT 9, 'expect_column_values_to_not_be_null', 'started_at', v9 FROM c
+      UNION ALL SELECT 10, 'expect_column_values_to_be_in_set', 'job_type', 0)
+    SELECT CAST(position AS BIGINT) AS position, expectation, column_name, CAST(n AS BIGINT) AS unexpected_count, n = 0 AS success FROM r"""
+_TEXTS["stream_ingest"] = """
+    SELECT event_id, tenant_id, job_type, status, started_at, cost_usd, duration_seconds FROM {job_events} WHERE status <> 'RUNNING'"""
+_TEXTS["csv_export"] = _TEXTS["gpu_spend_weekly"]
+_TEXTS["append_log"] = f"""
+    SELECT tenant_id, digest_date, period, budget_status, CAST(2 AS BIGINT) AS copies, CAST(1 AS BIGINT) AS ids
+    FROM ({_TEXTS["digest_rows"]}) d"""
+_TEXTS["adhoc_query"] = """
+    SELECT tenant_id, machine_type, count(*) AS jobs, max(duration_seconds) AS longest FROM {job_events}
+    WHERE status = 'FAILED' GROUP BY ALL"""
+
+
+def _fixed(x: str, digits: int) -> str:
+    """Decimals as the JVM prints them: half up on the shortest decimal text."""
+    return f"CAST(CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)) AS DECIMAL(38, {digits})) AS VARCHAR)"
+
+
+_TEXTS["incident_texts"] = f"""
+    SELECT i.tenant_id, i.job_id, i.incident_type,
+           CASE i.incident_type WHEN 'JOB_FAILURE' THEN concat('Job failed: ', job_name)
+                WHEN 'LATENCY_SPIKE' THEN concat('Latency spike: ', job_name)
+                ELSE concat('High-cost job: ', job_name, ' ($', {_fixed("cost_usd", 2)}, ')') END AS title,
+           CASE i.incident_type
+                WHEN 'JOB_FAILURE' THEN concat(i.job_id, ' (', job_type, ') ended as FAILED after ', duration_seconds, 's on ', machine_type, '.')
+                WHEN 'LATENCY_SPIKE' THEN concat('Took ', duration_seconds, 's (', {_fixed("duration_seconds / 3600e0", 1)}, 'h), ',
+                                                 {_fixed("duration_seconds / 3600e0", 1)}, 'x the baseline of 3600s.')
+                ELSE concat('One job used $', {_fixed("cost_usd", 4)}, ', ', {_fixed("100e0 * cost_usd / (budget_weekly / 7e0)", 1)},
+                            '% of the daily budget of $', format('{{:,.2f}}', budget_weekly / 7e0), '.') END AS description
+    FROM {{incidents}} i JOIN {{job_events}} e ON e.job_id = i.job_id JOIN {{tenants}} t ON t.tenant_id = i.tenant_id"""
+
+
+def _one(x: str, digits: int = 1) -> str:
+    return f"coalesce({_fixed(x, digits)}, 'n/a')"
+
+
+def _usd(x: str) -> str:
+    return f"coalesce(concat('$', format('{{:,.2f}}', {x})), 'n/a')"
+
+
+def _digest_lines(period: str, head: str, lines: list[str], listed: str, window: str) -> str:
+    metrics = _TEXTS[f"digest_{period.lower()}_metrics"]
+    fixed = ", ".join(["concat('Tenant: ', display_name)", head, *lines])
+    close = "['', 'Answer with the JSON object described for digests, citing these numbers.']"
+    rank = "CASE i.severity WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 3 ELSE 4 END"
+    rows = f"(SELECT m.*, t.display_name, t.budget_weekly, t.budget_weekly / 7e0 AS budget_daily FROM ({metrics}) m JOIN {{tenants}} t USING (tenant_id))"
+    inc = f"(SELECT * FROM {{incidents}} WHERE {window})"
+    return f"""
+    SELECT tenant_id, '{period}' AS period, part, CAST(position AS INT) AS position, incident_id, line FROM (
+      SELECT tenant_id, 0 AS part, generate_subscripts(l, 1) - 1 AS position, '' AS incident_id, unnest(l) AS line FROM (SELECT tenant_id, [{fixed}] AS l FROM {rows} m)
+      UNION ALL SELECT tenant_id, 3, generate_subscripts(l, 1) - 1, '', unnest(l) FROM (SELECT tenant_id, {close} AS l FROM {{tenants}})
+      UNION ALL SELECT DISTINCT tenant_id, 1, 0, '', '{listed}' FROM {inc} i
+      UNION ALL SELECT tenant_id, 2, {rank}, incident_id, concat('  - ', severity, ': ', incident_type, ' — ', incident_type) FROM {inc} i) x"""
+
+
+def _row(label: str, value: str) -> str:
+    return f"concat('- {label}: ', {value})"
+
+
+_TEXTS["digest_text"] = _digest_lines(
+    "DAILY", "'Digest date: 2024-01-30'",
+    [
+        "''", "'## Spend & budget'", _row("Spend today", _usd("spend_today")), _row("Spend (7d)", _usd("spend_week")),
+        _row("Weekly budget", _usd("budget_weekly")), _row("Daily budget (prorated)", _usd("budget_daily")),
+        _row("Budget % used (rolling)", f"{_one('budget_pct_used')}, '%'"), _row("Monthly projection", _usd("monthly_projection")),
+        "''", "'## Jobs (24h)'", _row("Total jobs", "total_jobs_today"), _row("SUCCEEDED", "succeeded_today"), _row("Failed", "failed_today"),
+        _row("Success rate today", f"{_one('success_rate_today')}, '%'"), _row("Success rate (7d)", f"{_one('success_rate_7d')}, '%'"),
+        _row("p95 duration (h)", _one("p95_hours_today", 2)), _row("Avg cost / job", _usd("avg_cost_today")),
+        "''", "'## Utilization'", _row("GPU hours", _one("gpu_hours_today")), _row("CPU hours", _one("cpu_hours_today")),
+        "''", "'## Incidents'", _row("Open incidents", "open_incidents"),
+    ],
+    "- Recent incidents (severity / type / title):", W("'24' HOUR", "detected_at"),
+) + " UNION ALL " + _digest_lines(
+    "WEEKLY", "'Week window: 2024-01-24 through 2024-01-30'",
+    [
+        "''", "'## Spend'", _row("Spend (week)", _usd("spend_week")), _row("Weekly budget", _usd("budget_weekly")),
+        _row("Budget % used", f"{_one('budget_pct_used')}, '%'"), _row("Budget remaining", _usd("budget_remaining")),
+        "''", "'## Utilization'", _row("GPU hours (week)", _one("gpu_hours_week")), _row("CPU hours (week)", _one("cpu_hours_week")),
+        _row("GPU share of cost", f"{_one('gpu_cost_pct')}, '%'"),
+        "''", "'## Jobs'", _row("Total jobs", "total_jobs_week"), _row("SUCCEEDED (week)", "succeeded_week"), _row("Failed (week)", "failed_week"),
+        _row("Success rate", f"{_one('success_rate_week')}, '%'"),
+        "''", "'## Peaks'", _row("Peak day", f"coalesce(CAST(peak_day AS VARCHAR), 'n/a'), ' (', {_usd('peak_day_cost')}, ')'"),
+        _row("Trough day", f"coalesce(CAST(trough_day AS VARCHAR), 'n/a'), ' (', {_usd('trough_day_cost')}, ')'"),
+        "''", "'## Incidents (week)'",
+        "concat('- Total: ', incidents_total, ', CRITICAL: ', incidents_critical, ', HIGH: ', incidents_high)",
+    ],
+    "- Detail:", WEEK.replace("started_at", "detected_at"),
+)
+_TEXTS["overrun_notices"] = f"""
+    SELECT b.tenant_id, display_name, concat(b.tenant_id, '@ops.example') AS alert_email, week_spend, b.budget_weekly, pct_used
+    FROM ({_TEXTS["budget_status"].replace("{tenants}", "(SELECT * REPLACE (budget_weekly / 50e0 AS budget_weekly) FROM {tenants})")}) b
+    JOIN {{tenants}} t ON t.tenant_id = b.tenant_id
+    WHERE budget_status = 'Over budget' AND b.tenant_id <> 'client_internal'"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: oracle(text) for name, text in _TEXTS.items()}

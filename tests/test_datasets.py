@@ -219,6 +219,18 @@ def test_weekly_digest_text(ev, inc, tenants):
     assert len(listed) == 3 and listed[-1] == f"  - and {total - 2} more"
     assert "Week window: 2024-01-24 through 2024-01-30" in text and "- Peak day: 2024-01-" in text
     assert "ACME Corp" in text and "$5,000.00" in text and "JSON object" in text
+    assert "- Detail:" in text and f"- Total: {total}, CRITICAL: " in text
+
+
+@pytest.mark.parametrize("period", ["DAILY", "WEEKLY"])
+def test_written_digests_are_the_rendered_ones(ev, inc, tenants, tmp_path, period):
+    build = digest.digest_daily_metrics if period == "DAILY" else digest.digest_weekly_metrics
+    m = build(ev, inc, tenants, AS_OF)
+    want = by(digest.render_digest(m, inc, tenants, AS_OF, period=period, top=10**6).collect(), "tenant_id")
+    digest.write_digest_texts(digest.digest_lines(m, inc, tenants, AS_OF, period), str(tmp_path / "out"))
+    for tenant, row in want.items():
+        files = sorted((tmp_path / "out" / f"tenant_id={tenant}").glob("part-*.txt"))
+        assert "".join(f.read_text() for f in files) == row.digest_text + "\n"
 
 
 def test_approximate_mode_keeps_counts(ev):
