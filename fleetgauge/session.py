@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 # What a job should run with. Sizes come from cluster_conf.
@@ -50,6 +52,28 @@ def build_session(app: str = "fleetgauge", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def together(*calls: Callable[[], object]) -> None:
+    """Run independent Spark work at the same time, so that small jobs don't wait for each other.
+
+    All calls are waited for; then the first error is raised.
+    """
+    failed: list[BaseException] = []
+
+    def run(call: Callable[[], object]) -> None:
+        try:
+            call()
+        except BaseException as error:  # handed to the caller below
+            failed.append(error)
+
+    threads = [InheritableThread(target=run, args=(call,)) for call in calls]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if failed:
+        raise failed[0]
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which the cluster shares.
 

@@ -24,6 +24,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import together
 from .manifests import Manifest
 
 #: Runs of a level that are folded into one; keys of a bucket; keys that share a word of the filter.
@@ -128,11 +129,13 @@ class KeyIndex:
         rows = rows.withColumn("bucket", _prefix(bits))
         dealt = rows.repartition(1) if bits == 0 else rows.repartition("bucket")
         dealt = dealt.select(self.key, "bucket").sortWithinPartitions("bucket", self.key)
-        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/keys/run={name}")
         words = rows.groupBy("bucket", _prefix(slots).alias("slot")).agg(F.bit_or(F.expr(_MASK)).alias("word"))
         words = words.repartition(1) if bits == 0 else words.repartition("bucket")
         words = words.select(F.lit(slots).alias("slots"), "slot", "word", "bucket").sortWithinPartitions("bucket", "slot")
-        words.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/words/run={name}")
+        together(
+            lambda: dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/keys/run={name}"),
+            lambda: words.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/words/run={name}"),
+        )
         folder = self.manifest._path(f"{self.folder}/words/run={name}")
         names = (f.getPath().getName() for f in self.manifest.fs.listStatus(folder))
         buckets = sorted(int(x[7:]) for x in names if x.startswith("bucket="))

@@ -4,7 +4,7 @@ A micro-batch stays a DataFrame from decoding to the last write. Lines without
 an id are set aside as rejected; events that break a required column, a value
 range or a domain as quarantined, with their reasons. Only the others are
 stored. What breaks the expectations is counted while the set-asides are written, and kept
-per batch. The order is set-asides, events, incidents, metrics, and every step may be repeated:
+per batch. The order is set-asides, events, then incidents and metrics, and every step may be repeated:
 events and incidents are inserted by key, metrics replace whole slices. What
 the rules look at is the batch itself, not what the event insert let through,
 so a batch replayed after a crash between two steps still raises its
@@ -18,6 +18,7 @@ a late event nor a job makes anything read the events of a day again.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,10 @@ from ..operators.incidents import as_stored_incidents, inline_incidents
 from ..operators.quality import STORED_SUITE, expectation_rows, quarantine, watched
 from ..plans.arrivals import day_ledger, day_rows, stamp_ledger, stamp_rows
 from ..plans.metrics import metric_ledger, metric_rows, refresh_from_ledger
+from ..session import together
 from ..settings import HealthLimits, RuleLimits
 from ..sources.events import apply_defaults, as_stored, parse_lines, read_table, rejected_lines, table_exists
+from ..sources.ledger import Ledger
 from ..sources.sinks import append_new, first_per_key, touched_slices
 
 
@@ -39,13 +42,15 @@ LEDGERS = ((metric_ledger, metric_rows), (stamp_ledger, stamp_rows), (day_ledger
 
 def add_to_ledgers(spark: SparkSession, root: str, new: DataFrame, name: str) -> None:
     """Add events that are about to be stored. A table older than its ledgers is counted first, once."""
-    for open_ledger, rows in LEDGERS:
-        ledger = open_ledger(spark, root)
+
+    def add(ledger: Ledger, rows: Callable[[DataFrame], DataFrame]) -> None:
         if not ledger.exists() and table_exists(spark, f"{root}/job_events"):
             ledger.add("history", rows(read_table(spark, root, "job_events")))
         if not ledger.has(name):
             ledger.add(name, rows(new))
 
+    together(*[partial(add, open_ledger(spark, root), rows) for open_ledger, rows in LEDGERS])
+
 
 def _name(batch: DataFrame) -> str:
     """A name for what a batch holds, whatever its order and whatever of it is stored."""
@@ -97,8 +102,10 @@ def make_batch_writer(
                 return
             append_new(spark, clean, root, "job_events", "event_id", unique=True, before=lambda new: note(new, _name(clean)))
             found = as_stored_incidents(inline_incidents(clean, ten, limits, as_of=now))
-            append_new(spark, found, root, "incidents", "incident_id", unique=True)
-            refresh_from_ledger(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct)
+            together(
+                lambda: append_new(spark, found, root, "incidents", "incident_id", unique=True),
+                lambda: refresh_from_ledger(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct),
+            )
         finally:
             events.unpersist()
             parsed.unpersist()

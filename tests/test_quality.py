@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 from telemetry import AS_OF, by, event, events
 
+from fleetgauge.operators import quality
 from fleetgauge.operators.quality import (
     EVENT_SUITE,
     QualityError,
@@ -92,3 +93,14 @@ def test_quarantine_splits_without_loss(spark):
         "e4": ["started_at null"],
         "e5": ["started_at in the future"],
     }
+
+
+def test_counts_of_the_write_equal_the_scan(spark, tmp_path):
+    rows = [event(i, status="LOST" if i % 3 == 0 else "FAILED", cost_usd=-1.0 if i % 4 == 0 else 2.0) for i in range(20)]
+    ev = events(spark, rows + [event(1), event(2, tenant_id=None)]).repartition(3)
+    frame, seen = quality.watched(ev)
+    frame.write.parquet(str(tmp_path / "out"))
+    got = quality.expectation_rows(spark, seen.get, ev.columns, {"event_id": 2})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality.expect(ev).collect()))
+    narrow = quality.expectation_rows(spark, {"n": 1}, ["status"], {})
+    assert [r.unexpected_count for r in narrow.orderBy("position").collect()][:5] == [None, None, None, None, 0]
