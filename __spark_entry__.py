@@ -125,7 +125,7 @@ def _escalations(b: Bound) -> DataFrame:
     kind = ("incident_id", "tenant_id", "incident_type", "severity", "status", "detected_at")
     found = checks_to_incidents(_checks(b), AS_OF).select(*kind)
     odd = anomalies_to_incidents(detect.all_anomalies(b.job_events, AS_OF), AS_OF).select(*kind)
-    rows = found.unionByName(odd).unionByName(b.incidents.select(*kind))
+    rows = found.unionByName(odd).unionByName(b.raised_incidents.select(*kind))
     return escalations(rows, AS_OF).drop("incident_id")
 
 

@@ -462,7 +462,7 @@ _TEXTS: dict[str, str] = {
         UNION ALL
         SELECT tenant_id, anomaly_type, {NOW} FROM anomalies WHERE severity = 'CRITICAL'
         UNION ALL
-        SELECT tenant_id, incident_type, detected_at FROM {{incidents}}
+        SELECT tenant_id, incident_type, detected_at FROM {{raised_incidents}}
         WHERE severity = 'CRITICAL' AND status = 'OPEN' AND {W("'1' HOUR", "detected_at")}""",
     # --- digests --------------------------------------------------------------------
     "digest_snapshot": f"WITH {_SNAPSHOT} SELECT * FROM snap",
