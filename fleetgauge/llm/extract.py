@@ -50,6 +50,8 @@ MARKS = frozenset(
     "modal overlay alert newsletter subscribe subscription signup login share sharing social related recommended "
     "pagination pager skip hidden copyright legal disclaimer search complementary contentinfo dialog form".split()
 )
+#: In an article, elements whose id says nothing; elements whose id marks them only if all its words do.
+TITLED, PARTS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split()), frozenset("section ul ol dl".split())
 #: Words that outweigh such marks: the element holds the article.
 KEEPS = frozenset("article content main post story entry body text".split())
 _SHORT_COMMENT, _COMMENT_END = re.compile(r"<!---?>"), re.compile(r"--!?>")
@@ -75,7 +77,11 @@ class Tree(HTMLParser):
         self.block: list[str] = []
         self.block_links = 0
         self.links = 0
-        self.inline_drop: list[str] = []
+        self.inline_drop: list[tuple[str, Node]] = []  # open inline elements to leave out, and where they began
+
+    def within(self) -> Node | None:
+        """Where the outermost open element of DROPPED that is no block began: all in it is left out, blocks too."""
+        return next((node for tag, node in self.inline_drop if tag in DROPPED), None)
 
     def flush(self) -> None:
         text = " ".join("".join(self.block).split())
@@ -101,10 +107,15 @@ class Tree(HTMLParser):
             if tag == "a":
                 self.links = 1
             if self.inline_drop or self.unwanted(tag, attrs):
-                self.inline_drop.append(tag)
+                self.inline_drop.append((tag, self.at))
             return
         if tag in DROPPED and tag not in BLOCKS and tag not in ("head", "title"):
-            self.inline_drop.append(tag)
+            self.inline_drop.append((tag, self.at))
+            return
+        if self.within() is not None:  # the block around stays open, and goes on behind
+            if tag != "hr":
+                self.at.kids.append(Node(tag, self.at, True))
+                self.at = self.at.kids[-1]
             return
         self.flush()
         self.links = 0
@@ -130,17 +141,26 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "a":
             self.links = 0
-        if self.inline_drop and tag in self.inline_drop:
-            while self.inline_drop.pop() != tag:
+        if any(t == tag for t, _ in self.inline_drop):
+            while (last := self.inline_drop.pop())[0] != tag:
                 pass
+            if tag in DROPPED:
+                self.at = last[1]
             return
         if tag == "br":
             self.block.append(" ")
         if tag not in BLOCKS and tag not in ("head", "title"):
             return
         node = self.at
+        border = self.within()
         while node is not None and node.tag != tag:
+            if node is border:
+                border = None  # it ends what stands around the left-out element, and that with it
             node = node.parent
+        if border is not None and node is not border:
+            if node is not None and node.dropped:
+                self.at = node.parent
+            return
         self.close_to(node.parent if node is not None else self.at)
 
     def handle_data(self, data):
@@ -161,24 +181,32 @@ class Tree(HTMLParser):
             return self.parse_comment(i)
         return self.rawdata.find(">", i) + 1 or -1
 
+    def in_article(self) -> bool:
+        node = self.at
+        while node is not None and node.tag not in ("article", "main"):
+            node = node.parent
+        return node is not None
+
     def unwanted(self, tag: str, attrs) -> bool:
         if tag in DROPPED:
             return True
         if tag in ("html", "body", "article", "main"):
             return False
         if tag == "header":  # of the page; an article's own header is part of it
-            node = self.at
-            while node is not None and node.tag not in ("article", "main"):
-                node = node.parent
-            return node is None
+            return not self.in_article()
         words: set[str] = set()
+        inside = self.in_article()
         for name, value in attrs:
             if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
                 return True
             if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
             if name in ("class", "id", "role") and value:
-                words.update(w.lower() for w in _SPLIT.split(value) if w)
+                found = {w.lower() for w in _SPLIT.split(value) if w and not w.isdigit()}
+                # In an article an id is mostly made of a heading: there it marks nothing, or only as a whole.
+                if name == "id" and inside and (tag in TITLED or tag in PARTS and not found <= MARKS):
+                    continue
+                words |= found
         return bool(words & MARKS) and not words & KEEPS or bool(words & {"comment", "comments", "sidebar", "advert", "ad", "ads", "related"})
 
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from fleetgauge.llm.extract import extract_pages, main_text
 
 PAGE = (
@@ -56,3 +58,27 @@ def test_pages(spark):
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert [tuple(r) for r in got] == [(1, "u", "A é", 3), (1, "u", "", 0), (None, None, "", 0)]
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+DROPPED_INLINE = ["noscript", "template", "object", "button", "label", "select", "svg", "canvas", "video", "audio", "map", "iframe"]
+PROSE = "Plain prose of some length, with commas, to be kept as it is."
+
+
+@pytest.mark.parametrize("tag", DROPPED_INLINE)
+@pytest.mark.parametrize("inner", ["<p>no</p>", "<div>no<p>no</p>no</div>", "<div>no", "no<ul><li>no</ul>no", "<article><h2>no</h2></article>"])
+def test_dropped_elements_take_their_blocks_along(tag, inner):
+    if tag == "iframe" and not inner.endswith(">"):
+        return
+    page = f"<article><p>{PROSE}</p><{tag}>{inner}</{tag}><p>One <{tag}>{inner}</{tag}>block, {PROSE}</p><p>{PROSE}</p></article>"
+    assert main_text(page) == f"{PROSE}\nOne block, {PROSE}\n{PROSE}"
+
+
+def test_what_is_never_closed_ends_with_its_parent():
+    page = f"<article><p>{PROSE}</p><div><button><p>no</p></div><p>{PROSE}</p></article>"
+    assert main_text(page) == f"{PROSE}\n{PROSE}"
+
+
+def test_ids_made_of_headings_mark_nothing():
+    page = f"<main><h2 id='search'>Search</h2><p id='legal'>{PROSE}</p><section id='related-work'><p>{PROSE}</p></section>"
+    page += f"<ul id='sharing-data'><li id='share'>{PROSE}</li></ul><section id='comments'><p>no, {PROSE}</p></section><section id='related-2'><p>no</p></section></main>"
+    assert main_text(page) == f"Search\n{PROSE}\n{PROSE}\n{PROSE}"
