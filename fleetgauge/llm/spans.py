@@ -39,18 +39,18 @@ def matches(text: Column, pattern: str, when: Column, order: int, part: int = 0)
             zero = F.struct(F.element_at(at, i + 1).alias("at"), empty.alias("out")).cast(kind)
             return F.aggregate(b, zero, add, lambda s: s["out"])
 
-        return F.flatten(_let(begins, lambda at: F.transform(blocks, lambda b, i: block(b, i, at))))
+        return F.flatten(let(begins, lambda at: F.transform(blocks, lambda b, i: block(b, i, at))))
 
     value = F.regexp_extract_all(text, regex, F.lit(0))
     parts = F.regexp_extract_all(text, regex, F.lit(part)) if part else value
     items = F.zip_with(F.zip_with(value, parts, lambda v, p: F.struct(v.alias("value"), p.alias("part"))),
                        F.slice(F.split(text, pattern, -1), F.lit(1), F.greatest(F.size(value), F.lit(0))),
                        lambda x, left: F.struct(x["value"].alias("value"), x["part"].alias("part"), left.alias("left")))
-    found = _let(items, lambda x: F.when(F.size(x) > 0, placed(x)).otherwise(empty))
+    found = let(items, lambda x: F.when(F.size(x) > 0, placed(x)).otherwise(empty))
     return F.when(when, found).otherwise(empty)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value), with value computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
 

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -41,9 +42,6 @@ def test_base_equals_brute_force(spark):
 
 
 def test_entropy_of_windows(spark):
-    def entropy(s):
-        return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values()) if s else 0
-
     rng = random.Random(2)
     values = ["".join(rng.choices("abcdef0123"[: rng.randint(1, 10)], k=rng.randint(1, 70))) for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v string").select("v", highest_entropy(F.col("v"), 20).alias("e"))
@@ -52,6 +50,79 @@ def test_entropy_of_windows(spark):
         assert abs(r.e - want) < 1e-9
 
 
+def entropy(s):
+    return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values()) if s else 0
+
+
+def high(value):
+    """The rule for one run, written out."""
+    digit, low, up = (any(c in kind for c in value) for kind in (string.digits, string.ascii_lowercase, string.ascii_uppercase))
+    if len(value) < 20 or re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value) or len(set(value)) == 1:
+        return False
+    words = re.split("[-_/+=]+", value)
+    if all(re.fullmatch("[A-Za-z]*", w) for w in words[:-1]) and re.fullmatch("[A-Za-z]*[0-9]{0,4}", words[-1]):
+        return False
+    signs = any(c in "-_/+=" for c in value)
+    if digit and not signs and set(value) <= set(string.hexdigits) and (low or up):
+        least = 3.0
+    elif digit and (low or up) and not signs:
+        least = 3.6
+    elif digit and low and up:
+        least = 3.7
+    elif digit and (low or up):
+        least = 3.85
+    elif not digit and not signs and re.search("[a-z].*[A-Z]", value) and re.search("[A-Z].*[a-z]", value):
+        least = 4.05
+    else:
+        return False
+    return max(entropy(value[i : i + 20]) for i in range(len(value) - 19)) >= least
+
+
+def all_spans(text):
+    """Base spans and runs of high entropy."""
+    found = brute(text)
+    filler = "(?i:example|placeholder|changeme|dummy|xxxx|abcdefgh|0123456789|1234567890)"
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text or ""):
+        if not any(a < m.end() and m.start() < b for a, k, b, _ in found if k < 3):
+            parts = re.split(".{0,64}" + filler + ".{0,64}", m[0])
+            if any(map(high, parts)):
+                found.append((m.start(), 3, m.end(), "entropy"))
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+
+
+def test_all_spans_equal_brute_force(spark):
+    rng = random.Random(3)
+    kinds = [string.ascii_lowercase + string.digits + "-_", string.ascii_uppercase + "0123_", string.ascii_letters + string.digits + "+/",
+             string.hexdigits, string.ascii_letters, string.ascii_lowercase + "-/", "aab1", "abcXYZ12", string.digits + "-"]
+    bits = ["example", "XXXX", "0123456789", " ", " ", "\n", "token=", "some-long-words/", "AKIA", "é", "=", "/", "2024", "a1B2" * 4]
+    rows = []
+    for d in range(800):
+        text = "".join(rng.choice(bits) if rng.random() < 0.4 else "".join(rng.choices(rng.choice(kinds), k=rng.choice([3, 20, 25, 40, 90]))) for _ in range(rng.randint(0, 6)))
+        rows.append((d, text))
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wrong = [(t, got[d].spans, all_spans(t)) for d, t in rows if got[d].spans != all_spans(t)]
+    assert not wrong, wrong[:3]
+    assert sum(r.n_entropy for r in got.values()) > 200
+
+
+def test_no_class_is_left_out(spark):
+    rng = random.Random(4)
+    lower, upper = string.ascii_lowercase + string.digits + "-_", string.ascii_uppercase + string.digits + "-_"
+    rows = [(d, "".join(rng.choices(lower if d % 2 else upper, k=40))) for d in range(200)]
+    rows += [(1000 + d, "/+=-"[d % 4] + "".join(rng.choices(string.ascii_letters + string.digits, k=40))) for d in range(100)]
+    rows += [(2000, "xxxx" + "a-" * 100 + "".join(rng.choices(string.ascii_letters + string.digits, k=40)))]
+    got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_entropy for r in got if r.doc_id < 1000) >= 190
+    assert all(r.n_entropy == 1 for r in got if r.doc_id >= 1000)
+
+
+def test_long_runs(spark):
+    """Runs of a hundred thousand characters, of shapes that make careless patterns slow or deep."""
+    rows = [(1, "x" * 100_000), (2, "ab-" * 40_000 + "1a"), (3, "X" * 50_000 + "x" * 50_000), (4, "xxxx" * 25_000), (5, "a/" * 50_000)]
+    got = {r.doc_id: r.n_entropy for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0}
+
+
 def test_high_entropy_is_found_and_words_are_not(spark):
     rows = [
         (1, "key wJalrXUtnFEMI7K7MDENGbPxRfiCYzQ8kLmN4 end"),
