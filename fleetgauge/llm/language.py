@@ -10,7 +10,7 @@ explains better than that. Neighbouring trigrams overlap, so the sum is tempered
 Declared language (a document's label or a page's markup): P(declared | language) from the counts of
 both over all rows. Host prior, smoothed hierarchically: host counts lean on those of the address
 suffix, these on those of all rows, each with the weight of STRENGTH rows. Counts are of the
-languages that the text alone gives, by grouped aggregation over all rows.
+languages that the text alone gives, by grouped aggregation over all rows; a host without any has its suffix's shares.
 
 A row is kept unless 'und' or no language at all is the likelier half. Null or empty text: no text evidence,
 the rest decides. Null declared language, suffix or host: no such evidence (a null host is counted with the
@@ -115,7 +115,7 @@ def identify(rows: DataFrame) -> DataFrame:
     Fitted on these rows' own declared languages.
     """
     rows = rows.select("doc_id", F.lower("text").alias("text"), "declared", "suffix", "host")
-    rows = rows.join(F.broadcast(_labels(rows)), "declared", "left")
+    rows = rows.join(_labels(rows), "declared", "left")  # spellings may be many: no hint, the cut's size decides
     labels, table = fit(rows)
     if not labels:
         none = (F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(True).alias("kept"))
@@ -153,7 +153,9 @@ def identify(rows: DataFrame) -> DataFrame:
         at = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.coalesce(F.element_at("m", k), F.lit(0)).cast("double"))
         return got.select(*keys, at.alias("counts"), F.col("size").cast("double").alias("size"))
 
-    counted = cut(told.groupBy("suffix", "host", "best").agg(F.count("*").alias("n")))
+    # hosts whose rows all lack text count nothing, and so get the shares of their suffix
+    told_n = F.sum((F.col("best") >= 0).cast("long")).alias("n")
+    counted = cut(scored.groupBy("suffix", "host", "best").agg(told_n))
     everything = np.zeros(width)
     for r in counted.groupBy("best").agg(F.sum("n").alias("n")).collect():
         everything[r.best] = r.n
@@ -195,12 +197,26 @@ def document_rows(documents: DataFrame) -> DataFrame:
 def page_rows(pages: DataFrame) -> DataFrame:
     """Pages: language of the markup, host and its last label from the address, text between tags."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
-    said = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
-    bare = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    said = F.lower(F.regexp_extract("html", r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    # each alternative takes what it has read with it, so broken markup costs no second reading
+    hidden = r"(?i)<(script|style)\b(?:[^<]++|<(?!/\1\b))*+|<!--(?:[^-]++|-(?!->))*+|<[^<>]*+>"
+    bare = F.regexp_replace("html", hidden, " ")
     return pages.select(F.col("page_id").cast("long").alias("doc_id"), bare.alias("text"), F.nullif(said, F.lit("")).alias("declared"),
                         F.nullif(F.regexp_extract(host, r"([^.]+)$", 1), F.lit("")).alias("suffix"), F.nullif(host, F.lit("")).alias("host"))
 
 
+def identify_tables(documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """(table, doc_id, page_id, declared, language, confidence, kept): both tables, each with a model and priors of its own.
+
+    Documents have a source as host and no suffix; pages have markup, host and suffix. The id of the other table is null.
+    """
+    null = F.lit(None).cast("long")
+    rest = ("declared", "language", "confidence", "kept")
+    docs = identify(document_rows(documents)).select(F.lit("documents").alias("table"), "doc_id", null.alias("page_id"), *rest)
+    found = identify(page_rows(pages)).select(F.lit("pages").alias("table"), null.alias("doc_id"), F.col("doc_id").alias("page_id"), *rest)
+    return docs.unionByName(found)
+
+
 def kept_documents(documents: DataFrame) -> DataFrame:
     """The documents, all columns, without those that identify() rejects (rows of one doc_id go together)."""
     bad = identify(document_rows(documents)).filter("not kept").select(F.col("doc_id").alias("bad_id")).distinct()

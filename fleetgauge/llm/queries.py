@@ -64,7 +64,7 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(language.document_rows(_table(spark, sf_dir, "documents")))
+    return language.identify_tables(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
 
 
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:

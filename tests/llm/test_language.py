@@ -1,7 +1,7 @@
 import random
 
 from fleetgauge.llm import language
-from fleetgauge.llm.language import document_rows, identify, kept_documents, page_rows
+from fleetgauge.llm.language import document_rows, identify, identify_tables, kept_documents, page_rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, language string"
 SYLLABLES = {"aa": "ka lo mi pe tu na", "bb": "sch ung eit ber ver gen", "cc": "ción ado ñ que era los"}
@@ -84,3 +84,27 @@ def test_pages(spark):
     got = {r.doc_id: r for r in identify(page_rows(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
     assert len(got) == 202
     assert all(got[d].language == url.split("/")[2].split(".")[1] for d, url, _ in rows[:200])
+
+
+def test_suffix_decides_for_new_hosts(spark):
+    """A page without text, markup or a known host follows its suffix; a document without them its corpus."""
+    rng = random.Random(9)
+    rows = [(d, f"http://h{d % 7}.{lang}/p", f"<p>{text(rng, lang, 30)}") for d in range(300) for lang in [rng.choice(["aa", "bb"])]]
+    said = [(1000 + d, f"http://h.{lang}/", f"<html lang={lang}><p>{text(rng, lang, 30)}") for d in range(40) for lang in ["aa" if d % 2 else "bb"]]
+    new = [(2000, "http://new.aa/x", "<script>schungeit"), (2001, "https://me@new.bb:80/", None)]
+    pages = spark.createDataFrame(rows + said + new, "page_id long, url string, html string")
+    docs = spark.createDataFrame([(1, "ka lo mi pe " * 9, "aa", "s"), (2, None, None, "s")], "doc_id long, text string, lang string, source string")
+    got = identify_tables(docs, pages).collect()
+    assert len(got) == 344 and {r.table for r in got} == {"documents", "pages"}
+    of = {r.page_id: r.language for r in got if r.table == "pages"}
+    assert all(r.doc_id is None for r in got if r.table == "pages") and all(r.page_id is None for r in got if r.table == "documents")
+    assert (of[2000], of[2001]) == ("aa", "bb")
+    assert sum(of[d] == url.rsplit(".", 1)[1][:2] for d, url, _ in rows) >= 295
+
+
+def test_broken_markup(spark):
+    """Unclosed scripts and comments, and tags without end, in pages of a megabyte."""
+    odd = ["<script>" * 100_000, "<!-- " * 200_000, "<" * 1_000_000, "<html " * 150_000, "<p>ka lo<!-- x --> mi</p><style>a{}</style >pe tu"]
+    rows = page_rows(spark.createDataFrame([(k, None, h) for k, h in enumerate(odd)], "page_id long, url string, html string")).collect()
+    assert rows[4].text.split() == ["ka", "lo", "-->", "mi", "pe", "tu"]
+    assert all(not any(c.isalpha() for c in r.text) for r in rows[:3])
