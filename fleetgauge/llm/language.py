@@ -92,7 +92,8 @@ def _sampled(rows: DataFrame) -> DataFrame:
 
 def fit(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and the log likelihood of each trigram slot by language, 'und' last, from (doc_id, text, label)."""
-    found = _sampled(rows).mapInArrow(_counted, "label string, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
+    # a language's sample is bounded and meets in one task, so that its slots are counted once, not once a partition
+    found = _sampled(rows).repartition("label").mapInArrow(_counted, "label string, slot long, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow()
     labels = sorted(found.column("label").unique().to_pylist())
     which = np.asarray(pc.index_in(found.column("label"), pa.array(labels, pa.string())).combine_chunks()) if labels else []
     table = np.full((SLOTS, len(labels) + 1), PRIOR, np.float32)
