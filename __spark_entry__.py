@@ -33,6 +33,7 @@ from fleetgauge.sources.events import query as adhoc  # noqa: E402
 from fleetgauge.sources.sinks import append, export_csv, new_rows, to_payload, touched_slices  # noqa: E402
 from fleetgauge.streaming import daily as stream_daily  # noqa: E402
 from fleetgauge.streaming import ingest  # noqa: E402
+from fleetgauge.streaming import kept as stream_kept  # noqa: E402
 from oracles import oracle_sql as _oracle_sql  # noqa: E402
 
 try:  # the training-data operators may be absent; everything else works without them
@@ -153,6 +154,18 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_daily.latest_totals(spark.read.parquet(f"{out}/table"))
 
 
+def _stream_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same totals with stored state: copies and old rows lie in all three parts, and each run is a restart."""
+    out = work_dir(spark, "stream-kept")
+    delivered = Bound(spark, sf_dir).raw_job_events
+    delivered = delivered.withColumn("_part", F.pmod(F.xxhash64("event_id", "ingested_at"), F.lit(3)))
+    for part in range(3):
+        delivered.filter(F.col("_part") == part).drop("_part").write.parquet(f"{out}/feed/{part}")
+        source = spark.readStream.schema(delivered.drop("_part").schema).parquet(f"{out}/feed/*")
+        stream_kept.start_kept_totals(source, out, f"{out}/checkpoint").awaitTermination()
+    return stream_kept.kept_totals(spark, out)
+
+
 @lru_cache(maxsize=2)
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Folder of tables after four micro-batches of JSON lines.
@@ -400,7 +413,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Bound], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Bound.over(spark, sf_dir))
 
-    return {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream, **_INGEST}
+    return {**{name: bind(build) for name, build in _BOUND.items()}, "stream_daily": _stream, "stream_daily_kept": _stream_kept, **_INGEST}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -584,6 +584,8 @@ _TEXTS: dict[str, str] = {
         FROM {{job_events}} GROUP BY 1, 2, 3""",
 }
 
+_TEXTS["stream_daily_kept"] = _TEXTS["stream_daily"]
+
 for _name, _view in (
     ("report_sql_daily_cost", "daily_cost_summary"),
     ("report_sql_latency", "latency_by_framework"),
