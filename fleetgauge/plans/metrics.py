@@ -15,7 +15,7 @@ from ..settings import HealthLimits
 from ..sources.dimensions import with_budget
 from ..sources.events import read_table
 from ..sources.ledger import Ledger, Shape
-from ..sources.sinks import drop_slices, overwrite_slices, pinned, touched_days
+from ..sources.sinks import replace_slices, touched_days
 from .measures import amounts, counts, known, total
 
 
@@ -102,16 +102,19 @@ def metric_ledger(spark: SparkSession, root: str) -> Ledger:
 def refresh_from_ledger(
     spark: SparkSession, root: str, ten: DataFrame, slices: DataFrame, as_of: Moment, overrun_pct: float = HealthLimits().overrun_pct
 ) -> None:
-    """Replace the given (event_date, tenant_id) slices from the stored histograms. No event is read.
+    """Replace the given (event_date, tenant_id) slices from the stored histograms, all in one commit. No event is read.
 
     The percentile stays exact: histograms of whole seconds are added, not estimates.
     """
-    slices = pinned(slices.dropna().distinct())
-    days = [r[0] for r in slices.select("event_date").distinct().collect()]
-    rows = metric_ledger(spark, root).read(days=days).withColumnRenamed("seconds", "_value")
-    rows = rows.join(slices.select(F.col("event_date").alias("metric_date"), "tenant_id"), list(KEYS[:2]), "left_semi")
-    grouped = of_histogram(rows, KEYS, _MEASURES, (0.95,))
-    overwrite_slices(_shaped(grouped, ten, as_of, overrun_pct), root, "daily_metrics")
+
+    def rows(staged: DataFrame) -> DataFrame:
+        days = [r[0] for r in staged.select("metric_date").distinct().collect()]
+        added = metric_ledger(spark, root).read(days=days).withColumnRenamed("seconds", "_value")
+        grouped = of_histogram(added.join(staged, list(KEYS[:2]), "left_semi"), KEYS, _MEASURES, (0.95,))
+        return _shaped(grouped, ten, as_of, overrun_pct)
+
+    named = slices.dropna().withColumnRenamed("event_date", "metric_date")
+    replace_slices(spark, named, rows, root, "daily_metrics")
 
 
 def refresh_daily_metrics(
@@ -120,12 +123,13 @@ def refresh_daily_metrics(
     """Recompute and replace the given (event_date, tenant_id) slices from the events, whatever day they are.
 
     For repairs; batches use :func:`refresh_from_ledger`. Only the listed days of the event table are read. A slice that has no
-    event left is removed.
+    event left is removed, in the same commit.
     """
-    slices = pinned(slices.filter(F.col("event_date").isNotNull()).distinct())
-    ev = read_table(spark, root, "job_events").filter(touched_days(slices, "event_date"))
-    result = daily_metrics(ev, ten, as_of, slices=slices, **options)
-    overwrite_slices(result, root, "daily_metrics")
-    present = ev.select("event_date", "tenant_id").distinct()
-    empty = slices.join(present, ["event_date", "tenant_id"], "left_anti")
-    drop_slices(spark, empty.withColumnRenamed("event_date", "metric_date"), root, "daily_metrics")
+
+    def rows(staged: DataFrame) -> DataFrame:
+        staged = staged.withColumnRenamed("metric_date", "event_date")
+        ev = read_table(spark, root, "job_events").filter(touched_days(staged, "event_date"))
+        return daily_metrics(ev, ten, as_of, slices=staged, **options)
+
+    named = slices.filter(F.col("event_date").isNotNull()).withColumnRenamed("event_date", "metric_date")
+    replace_slices(spark, named, rows, root, "daily_metrics")

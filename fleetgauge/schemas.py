@@ -169,6 +169,8 @@ STORED = {
     ),
     "digests": DIGESTS,
 }
+#: Tables whose slices are replaced, in a layout of parts (:mod:`.sources.slices`).
+SLICED = ("daily_metrics",)
 _DDL_DEFAULTS = {
     "job_events": EVENT_DEFAULTS,
     "incidents": {"status": "'OPEN'"},

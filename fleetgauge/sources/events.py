@@ -10,11 +10,18 @@ from pyspark.sql import types as T
 
 from ..functions.clock import Moment, clip, stamp
 from ..functions.numeric import real
-from ..schemas import EVENT_DEFAULTS, JOB_EVENTS, STORED, WIRE_EVENT
+from ..schemas import EVENT_DEFAULTS, JOB_EVENTS, PARTITIONS, SLICED, STORED, WIRE_EVENT
+from .slices import SliceTable
+
+
+def slice_table(spark: SparkSession, root: str, name: str) -> SliceTable:
+    return SliceTable(spark, f"{root}/{name}_slices", STORED[name], PARTITIONS[name])
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One stored table under ``root``, with its declared schema."""
+    if name in SLICED and (table := slice_table(spark, root, name)).exists():
+        return table.read()
     return spark.read.schema(STORED[name]).parquet(f"{root}/{name}")
 
 

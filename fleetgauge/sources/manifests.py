@@ -66,5 +66,10 @@ class Manifest:
     def unmark(self, name: str) -> None:
         self.fs.delete(self._path(f"{self.folder}/{name}"), False)
 
+    def folders(self, parent: str) -> list[str]:
+        """Paths of the entries of a folder, spelled as ``parent`` is."""
+        at = self._path(parent)
+        return [f"{parent}/{f.getPath().getName()}" for f in self.fs.listStatus(at)] if self.fs.exists(at) else []
+
     def remove(self, path: str) -> None:
         self.fs.delete(self._path(path), True)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARTITIONS
 from .dimensions import literal_table
-from .events import read_table, table_exists
+from .events import read_table, slice_table, table_exists
 from .key_index import KeyIndex
 
 
@@ -127,16 +127,27 @@ def compact(spark: SparkSession, root: str, table: str, day: date) -> None:
     _write(read_table(spark, root, table).filter(F.col(first) == F.lit(day)), f"{root}/{table}", PARTITIONS[table], "overwrite")
 
 
+def replace_slices(spark: SparkSession, slices: DataFrame, rows: Callable[[DataFrame], DataFrame], root: str, table: str) -> None:
+    """Make ``rows(slices)`` all that the (day, tenant) slices of a table hold, in one commit.
+
+    A table of plain partitions from before is taken over first.
+    """
+    held = slice_table(spark, root, table)
+    if not held.exists() and table_exists(spark, f"{root}/{table}"):
+        plain = read_table(spark, root, table)
+        held.replace(plain.select(*PARTITIONS[table]), lambda _: plain)
+    held.replace(slices, rows)
+
+
 def overwrite_slices(df: DataFrame, root: str, table: str) -> None:
     """Replace exactly the (day, tenant) slices that ``df`` has rows for."""
-    _write(df, f"{root}/{table}", PARTITIONS[table], "overwrite")
+    replace_slices(df.sparkSession, df.select(*PARTITIONS[table]), lambda _: df, root, table)
 
 
 def drop_slices(spark: SparkSession, slices: DataFrame, root: str, table: str) -> int:
-    """Remove whole slices, for slices whose recomputation gave no row at all.
+    """Remove whole slices of a table of plain partitions, as when its oldest days expire.
 
-    A dynamic overwrite leaves those as they were. Only partition names are
-    listed here, never rows; a slice without a name is no slice of a table.
+    Only partition names are listed here, never rows; a slice without a name is no slice of a table.
     """
     partitions = PARTITIONS[table]
     slices = slices.select(*partitions).dropna().distinct()
