@@ -14,7 +14,7 @@ from .operators.detect import all_anomalies
 from .operators.health import health_checks, health_run_summary
 from .operators.incidents import anomalies_to_incidents, as_stored_incidents, checks_to_incidents, escalations
 from .operators.quality import assert_quality, dq_checks
-from .plans.arrivals import day_ledger, ledger_checks, stamp_ledger
+from .plans.arrivals import day_ledger, ledger_checks, recent_arrivals, stamp_ledger
 from .plans.digest import digest_rows
 from .plans.metrics import refresh_daily_metrics
 from .plans.operations import ingest_window_incident
@@ -59,7 +59,7 @@ def critical_incidents(spark: SparkSession, root: str, as_of: Moment) -> DataFra
 
 
 def run_quality_and_metrics(
-    spark: SparkSession, root: str, ten: DataFrame, slices: DataFrame, as_of: Moment
+    spark: SparkSession, root: str, ten: DataFrame, slices: DataFrame, as_of: Moment, window_minutes: float = 20
 ) -> None:
     """Quality gate, metrics of the given (event_date, tenant_id) slices, then the window report.
 
@@ -71,7 +71,8 @@ def run_quality_and_metrics(
         assert_quality(ledger_checks(spark, root, ev, as_of) if counted else dq_checks(ev, as_of))
         refresh_daily_metrics(spark, root, ten, slices, as_of)
     finally:
-        _incidents(spark, root, ingest_window_incident(ev, as_of))
+        counts = recent_arrivals(spark, root, as_of, window_minutes) if stamp_ledger(spark, root).exists() else None
+        _incidents(spark, root, ingest_window_incident(ev, as_of, window_minutes, counts))
 
 
 def run_digests(

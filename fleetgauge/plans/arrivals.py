@@ -1,6 +1,6 @@
 """What arrived when: two ledgers that answer the periodic jobs without opening event files.
 
-``arrivals`` counts events per tenant and arrival stamp (a batch has one stamp), ``arrival_days`` counts events and bad
+``arrivals`` counts events and failures per tenant and arrival stamp (a batch has one stamp), ``arrival_days`` counts events and bad
 values per day of arrival and day of start. Both are added to by the batch writer.
 """
 
@@ -22,7 +22,7 @@ _STAMPS = Shape(
     T.StructType(
         [
             T.StructField("tenant_id", STRING), T.StructField("ingested_at", NTZ), T.StructField("ingest_date", DATE),
-            T.StructField("events", BIGINT),
+            T.StructField("events", BIGINT), T.StructField("failures", BIGINT),
         ]
     ),
     ("tenant_id", "ingested_at", "ingest_date"), "ingest_date",
@@ -46,7 +46,14 @@ def day_ledger(spark: SparkSession, root: str) -> Ledger:
 
 def stamp_rows(ev: DataFrame) -> DataFrame:
     """What stored events add to ``arrivals``."""
-    return ev.groupBy(*_STAMPS.keys).agg(F.count(F.lit(1)).alias("events"))
+    return ev.groupBy(*_STAMPS.keys).agg(F.count(F.lit(1)).alias("events"), F.sum(hit(F.col("status") == "FAILED")).alias("failures"))
+
+
+def recent_arrivals(spark: SparkSession, root: str, as_of: Moment, minutes: float) -> DataFrame:
+    """Counts of the arrivals of the last minutes; only the parts and row groups of their days are read."""
+    now = moment(as_of)
+    rows = stamp_ledger(spark, root).read(since=(now - timedelta(minutes=minutes)).date(), until=now.date())
+    return clip(rows, "ingested_at", **trailing(as_of, minutes=minutes))
 
 
 def day_rows(ev: DataFrame) -> DataFrame:
@@ -73,9 +80,7 @@ def ledger_checks(spark: SparkSession, root: str, ev: DataFrame, as_of: Moment,
         F.coalesce(F.sum(F.when(F.col("event_date") > today, F.col("events"))), F.lit(0)).alias("future_start"),
     )
     later = ev.filter((F.col("event_date") == today) & (F.col("started_at") > stamp(as_of)))
-    window = trailing(as_of, minutes=fresh_minutes)
-    since = (now - timedelta(minutes=fresh_minutes)).date()
-    recent = clip(stamp_ledger(spark, root).read(since=since, until=now.date()), "ingested_at", **window)
+    recent = recent_arrivals(spark, root, as_of, fresh_minutes)
     zero = F.lit(0).cast("bigint")
     names = totals.columns
     parts = totals.withColumn("recent_rows", zero)

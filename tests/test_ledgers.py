@@ -9,8 +9,9 @@ from telemetry import AS_OF, event, events
 
 from fleetgauge.operators.health import health_checks
 from fleetgauge.operators.quality import dq_checks
-from fleetgauge.plans.arrivals import day_ledger, ledger_checks, stamp_ledger
+from fleetgauge.plans.arrivals import day_ledger, ledger_checks, recent_arrivals, stamp_ledger
 from fleetgauge.plans.metrics import daily_metrics, metric_ledger, metric_rows, refresh_from_ledger
+from fleetgauge.plans.operations import ingest_window_status
 from fleetgauge.sources.events import as_stored, read_table
 from fleetgauge.sources.ledger import FAN
 from fleetgauge.sources.sinks import append, append_new, touched_slices
@@ -89,6 +90,9 @@ def test_quality_and_staleness_need_no_event_file(spark, tenants, tmp_path):
         got = health_checks(ev, tenants, as_of, checks=["pipeline_staleness"], arrivals=arrivals)
         assert lines(got) == lines(health_checks(ev, tenants, as_of, checks=["pipeline_staleness"]))
         assert all("/arrivals/" in f for f in got.select("tenant_id").inputFiles()) and "job_events" not in _plan(got)
+        for minutes in (20, 2000):
+            got = ingest_window_status(ev, as_of, minutes, recent_arrivals(spark, root, as_of, minutes))
+            assert lines(got) == lines(ingest_window_status(ev, as_of, minutes)) and "job_events" not in _plan(got)
     plan = _plan(ledger_checks(spark, root, ev, AS_OF))
     scans = [line for line in plan.split("\n") if "FileScan" in line and "/job_events" in line]
     assert len(scans) == 1 and "PartitionFilters: [isnotnull(event_date" in scans[0]

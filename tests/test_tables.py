@@ -146,6 +146,16 @@ def test_overwrite_with_nothing_changes_nothing(spark, tenants, tmp_path):
     assert read_table(spark, root, "daily_metrics").count() == 1
 
 
+def test_a_table_of_plain_partitions_is_taken_over(spark, tenants, tmp_path):
+    root = str(tmp_path)
+    old = daily_metrics(as_stored(events(spark, [event(1), event(2, 2000)])), tenants, AS_OF)
+    old.write.partitionBy("metric_date", "tenant_id").parquet(f"{root}/daily_metrics")
+    new = daily_metrics(as_stored(events(spark, [event(3, status="FAILED"), event(4)])), tenants, AS_OF)
+    overwrite_slices(new, root, "daily_metrics")
+    got = read_table(spark, root, "daily_metrics").orderBy("metric_date").select("total_jobs", "failed_jobs").collect()
+    assert [r[:] for r in got] == [(1, 0), (2, 1)]
+
+
 def test_append_adds_rows(spark, tmp_path):
     row = spark.createDataFrame(
         [("d", "t", AS_OF.date(), "DAILY", "text", 1, 2.0, "ON_TRACK", AS_OF)], DIGESTS
