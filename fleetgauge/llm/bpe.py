@@ -1,13 +1,14 @@
 """Byte-level BPE as a streaming transducer, and its way back.
 
 Encoding reads a text once, window by window. Words (runs by the vocabulary's pattern) are final as
-soon as two characters follow them. A short word is merged on its own and remembered. A long one runs
-through a transducer over its bytes: for each position it keeps the last token of the prefix that ends
-there, which is the one token that ends there and whose pair with the token before it is a pair that
-merging leaves alone. No token is longer than the merge list's longest, LOOKAHEAD bytes; so once the
-chains of the last LOOKAHEAD positions meet in one boundary, what is before it can't change any more,
-and it is emitted and forgotten. Memory is the window, the positions since that boundary and a
-bounded memory of words.
+soon as two characters follow them. Each word runs through a transducer over its bytes: for each
+position it keeps the last token of the prefix that ends there, which is the one token that ends there
+and whose pair with the token before it is a pair that merging leaves alone. No token is longer than
+the merge list's longest, LOOKAHEAD bytes; so once the chains of the last LOOKAHEAD positions meet in
+one boundary, what is before it can't change any more, and it is emitted and forgotten. What the
+transducer gave for a word of up to SHORT bytes is remembered for when the word comes again. Memory is
+the window, the positions since that boundary and a bounded memory of words. Plain merging serves to
+tell the tokens and pairs that merging leaves alone, never to encode a text.
 
 Decoding feeds token bytes to an incremental UTF-8 machine that keeps at most three pending bytes;
 bytes that are no UTF-8 give U+FFFD.
@@ -34,7 +35,7 @@ from fleetgauge.llm.shared import column, slices
 
 #: How byte-level vocabularies cut texts into words (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters of a window, bytes of a word that is merged whole, words remembered.
+#: Characters of a window, bytes of a word that is remembered, words remembered.
 WINDOW, SHORT, WORDS = 1 << 16, 64, 1 << 18
 #: Rank of a pair that is never merged.
 NONE = 1 << 40
@@ -72,7 +73,7 @@ class Coder:
         self.ends: dict | None = None
 
     def merged(self, data: bytes) -> list[int]:
-        """Merge a short run of bytes: the earliest rule of the list first, then the leftmost pair."""
+        """Merge the bytes of one or two tokens: the earliest rule of the list first, then the leftmost pair."""
         ids = [self.byte_id[b] for b in data]
         rank = self.rank.get
         ranks = [rank(p, NONE) for p in zip(ids, ids[1:], strict=False)]
@@ -107,7 +108,7 @@ class Coder:
         return self.ends
 
     def stream(self, data: bytes) -> Iterator[int]:
-        """Tokens of a long word, each as soon as no later byte can change it."""
+        """Tokens of a word, each as soon as no later byte can change it."""
         ends, last, base = self._tokens_ending(), [-1], 0  # last[k]: last token of the prefix of base + k bytes
         for end in range(1, len(data) + 1):
             node, at, found = ends, end, None
@@ -134,13 +135,12 @@ class Coder:
 
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
         data = word.encode()
-        if len(data) > SHORT:
-            ids = tuple(self.stream(data))
-            return ids, ",".join(map(str, ids))
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        ids = tuple(self.merged(data))
-        self.known[word] = found = (ids, ",".join(map(str, ids)))
+        ids = tuple(self.stream(data))
+        found = (ids, ",".join(map(str, ids)))
+        if len(data) <= SHORT:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            self.known[word] = found
         return found
 
     def _windows(self, text: str) -> Iterator[list[str]]:
