@@ -37,8 +37,8 @@ from fleetgauge.llm.shared import column, slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a window, bytes of a word that is remembered, words remembered.
 WINDOW, SHORT, WORDS = 1 << 16, 64, 1 << 18
-#: Rank of a pair that is never merged.
-NONE = 1 << 40
+#: Rank of a pair that is never merged; how a single byte comes about.
+NONE, _BYTE = 1 << 40, (-1, 0, 0)
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,6 +62,10 @@ class Coder:
         pairs = list(pairs)
         self.rank = {(vocab[a], vocab[b]): k for k, (a, b) in enumerate(pairs)}
         self.made = [vocab[a + b] for a, b in pairs]
+        self.parts = {i: (k, vocab[a], vocab[b]) for k, (i, (a, b)) in enumerate(zip(self.made, pairs, strict=True))}
+        # Whether tokens come about in the order of the list, each by one rule.
+        self.ordered = len(self.parts) == len(self.made) and all(
+            k > self.parts.get(i, _BYTE)[0] for k, *both in self.parts.values() for i in both)
         self.byte_id = [0] * 256
         for c, b in letters.items():
             self.byte_id[b] = vocab[c]
@@ -71,6 +75,7 @@ class Coder:
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.ends: dict | None = None
+        self.whole: dict[bytes, int] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Merge the bytes of one or two tokens: the earliest rule of the list first, then the leftmost pair."""
@@ -89,11 +94,27 @@ class Coder:
 
     def _stays(self, a: int, b: int) -> bool:
         """Whether merging the bytes of both tokens gives just these two."""
-        if (a, b) not in self.pairs:
-            if len(self.pairs) > WORDS:
-                self.pairs.clear()
-            self.pairs[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return self.pairs[a, b]
+        if len(self.pairs) > WORDS:
+            self.pairs.clear()
+        self.pairs[a, b] = found = self._never_meet(a, b) if self.ordered else self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        return found
+
+    def _never_meet(self, a: int, b: int) -> bool:
+        """Take the merges next to the border back, the latest first: no rule may join what then faces it in time.
+
+        A rule of the same rank is in time left of the merge taken back, not right of it.
+        """
+        limit = NONE
+        while True:
+            if self.rank.get((a, b), NONE) < limit:
+                return False
+            (ka, _, inner_a), (kb, inner_b, _) = self.parts.get(a, _BYTE), self.parts.get(b, _BYTE)
+            if ka > kb:
+                a, limit = inner_a, ka
+            elif kb >= 0:
+                b, limit = inner_b, kb + 1
+            else:
+                return True
 
     def _tokens_ending(self) -> dict:
         """Tokens by their bytes backwards, as nested tables; None holds the token itself."""
@@ -104,20 +125,22 @@ class Coder:
                     node = self.ends
                     for b in reversed(self.bytes_of[i]):
                         node = node.setdefault(b, {})
-                    node[None] = i
+                    node[None] = self.whole[self.bytes_of[i]] = i
         return self.ends
 
     def stream(self, data: bytes) -> Iterator[int]:
         """Tokens of a word, each as soon as no later byte can change it."""
         ends, last, base = self._tokens_ending(), [-1], 0  # last[k]: last token of the prefix of base + k bytes
+        pairs, whole = self.pairs, self.whole
         for end in range(1, len(data) + 1):
-            node, at, found = ends, end, None
-            while at > base and (node := node.get(data[at - 1])) is not None:
+            found = whole.get(data[:end]) if end <= self.lookahead else None  # one token from the start
+            node, at = ends, end
+            while found is None and at > base and (node := node.get(data[at - 1])) is not None:
                 at -= 1
-                token = node.get(None)
-                if token is not None and (at == 0 or last[at - base] is not None and (self._stays(last[at - base], token))):
-                    found = token
-                    break
+                if None in node and at and (before := last[at - base]) is not None:
+                    stays = pairs.get((before, node[None]))
+                    if stays or stays is None and self._stays(before, node[None]):
+                        found = node[None]
             last.append(found)
             if len(last) > 32 * self.lookahead or end == len(data):
                 heads = {end} if end == len(data) else {p for p in range(end - self.lookahead + 1, end + 1) if last[p - base] is not None}
