@@ -43,6 +43,8 @@ try:  # the training-data operators may be absent; everything else works without
 except ImportError:
     _llm = None
 
+#: Events whose lines one task makes or reads.
+PART = 100_000
 ROW = ("event_id", "tenant_id", "job_type", "status", "started_at", "cost_usd")
 CHECK = ("tenant_id", "check_name", "passed", "severity", "metric", "threshold")
 FOUND = ("tenant_id", "job_id", "anomaly_type", "severity", "metric_value", "threshold_value")
@@ -173,7 +175,9 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
     Some events have no tenant, some a start that is no time. The second batch repeats the first one's
     ids with other days, the third repeats the first, and the third comes again as after a crash.
     """
-    b = Bound.over(spark, sf_dir)
+    stored = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    # An event is a few bytes in its file and a kilobyte as a line, so tasks are cut by events, not by the file.
+    b = Bound(spark, sf_dir, events=stored.repartition(1 + stored.count() // PART, "event_id"))
     seconds = F.col("duration_seconds")
     ev = b.raw_job_events.drop("ingested_at").withColumn("tenant_id", F.when(seconds % 29 != 0, F.col("tenant_id")))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -213,6 +214,12 @@ def _row_tests(
     return tests
 
 
+def broken(df: DataFrame, as_of: Moment, suite: Sequence[Mapping] = EVENT_SUITE) -> Column:
+    """Whether a row breaks any of the row-level checks; never NULL."""
+    tests = _row_tests(df, as_of, suite)
+    return reduce(Column.__or__, [F.coalesce(test, F.lit(False)) for _, test in tests], F.lit(False))
+
+
 def quarantine(
     df: DataFrame, as_of: Moment, suite: Sequence[Mapping] = EVENT_SUITE
 ) -> tuple[DataFrame, DataFrame]:
@@ -222,9 +229,6 @@ def quarantine(
     the reasons are spelled out for the bad rows only. Repeated keys are not
     a property of one row: the insert by key takes care of them.
     """
-    tests = _row_tests(df, as_of, suite)
-    broken = F.lit(False)
-    for _, test in tests:
-        broken = broken | F.coalesce(test, F.lit(False))
-    spelled = F.array_compact(F.array(*[F.when(test, F.lit(text)) for text, test in tests]))
-    return df.filter(~broken), df.filter(broken).withColumn("reasons", spelled)
+    fails = broken(df, as_of, suite)
+    spelled = F.array_compact(F.array(*[F.when(test, F.lit(text)) for text, test in _row_tests(df, as_of, suite)]))
+    return df.filter(~fails), df.filter(fails).withColumn("reasons", spelled)

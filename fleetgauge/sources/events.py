@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,9 +123,10 @@ def apply_defaults(ev: DataFrame, as_of: Moment) -> DataFrame:
     return ev.withColumns({**filled, "ingested_at": arrival})
 
 
-def as_stored(ev: DataFrame) -> DataFrame:
-    """Shape of the stored table: declared columns and types plus the date companions; NaN is NULL."""
+def as_stored(ev: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Shape of the stored table: declared columns and types plus the date companions; NaN is NULL. ``keep``: columns to go along."""
     shaped = ev.select(
+        *keep,
         *[
             (real(f.name) if f.dataType == T.DoubleType() else F.col(f.name).cast(f.dataType)).alias(f.name)
             for f in JOB_EVENTS

@@ -86,18 +86,20 @@ def append_new(
     key: str,
     order: Sequence[Column] = (),
     unique: bool = False,
+    held: bool = False,
     before: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Insert or ignore into a stored table: a key is stored once, whatever its day.
 
     Rows are written before their keys, between two marks. Only when a run finds the first mark without the second,
     after a crash, are the days of its batch compared in the table itself: the same rows come again, with
-    the same days. ``unique``: the batch has no key twice. ``before`` is called with the rows that are new, before
+    the same days. ``unique``: the batch has no key twice. ``held``: it is cached or read from what is, so only what is new in it
+    is kept again, and only where a lookup has told it. ``before`` is called with the rows that are new, before
     any of them is written; after a crash it is called again, with those that are still new.
     """
     path, partitions = f"{root}/{table}", PARTITIONS[table]
     first = batch if unique else first_per_key(batch, key, order)
-    first = first.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [] if held else [first.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         index = key_index(spark, root, table, key)
         stored = table_exists(spark, path)
@@ -105,6 +107,8 @@ def append_new(
             index.add(read_table(spark, root, table).select(key).distinct())  # a table older than its index
         known = index.known(first)
         unknown = first if known is None else first.join(known, key, "left_anti")
+        if held and known is not None:  # else every use of the rows would look the keys up again
+            kept.append(unknown.persist(StorageLevel.MEMORY_AND_DISK))
         fresh = unknown
         if stored and index.interrupted():
             held = read_table(spark, root, table).filter(touched_days(first, partitions[0])).select(key)
@@ -115,7 +119,8 @@ def append_new(
         _write(fresh, path, partitions, "append")
         index.add(unknown.select(key))
     finally:
-        first.unpersist()
+        for rows in kept:
+            rows.unpersist()
 
 
 def compact(spark: SparkSession, root: str, table: str, day: date) -> None:

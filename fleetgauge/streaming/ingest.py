@@ -1,6 +1,7 @@
 """The ingestion stream: lines in, stored events, incidents and daily metrics out.
 
-A micro-batch stays a DataFrame from decoding to the last write. Lines without
+A micro-batch stays a DataFrame from decoding to the last write. Its lines are parsed once: one shuffle makes events of
+copies, and all that follows reads the events it leaves in the cache. Lines without
 an id are set aside as rejected; events that break a required column, a value
 range or a domain as quarantined, with their reasons. Only the others are
 stored. What breaks the expectations is counted while the set-asides are written, and kept
@@ -21,20 +22,20 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import Moment
 from ..operators.incidents import as_stored_incidents, inline_incidents
-from ..operators.quality import STORED_SUITE, expectation_rows, quarantine, watched
+from ..operators.quality import STORED_SUITE, broken, expectation_rows, quarantine, watched
 from ..plans.arrivals import day_ledger, day_rows, stamp_ledger, stamp_rows
 from ..plans.metrics import metric_ledger, metric_rows, refresh_from_ledger
 from ..session import together
 from ..settings import HealthLimits, RuleLimits
 from ..sources.events import apply_defaults, as_stored, parse_lines, read_table, rejected_lines, table_exists
 from ..sources.ledger import Ledger
-from ..sources.sinks import append_new, first_per_key, touched_slices
+from ..sources.sinks import append_new, touched_slices
 
 
 LEDGERS = ((metric_ledger, metric_rows), (stamp_ledger, stamp_rows), (day_ledger, day_rows))
@@ -52,11 +53,38 @@ def add_to_ledgers(spark: SparkSession, root: str, new: DataFrame, name: str) ->
     together(*[partial(add, open_ledger(spark, root), rows) for open_ledger, rows in LEDGERS])
 
 
-def _name(batch: DataFrame) -> str:
-    """A name for what a batch holds, whatever its order and whatever of it is stored."""
-    key = F.xxhash64("event_id")
-    row = batch.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(key).alias("x"), F.bit_xor(F.xxhash64(key)).alias("y")).first()
-    return f"{row.n}-{row.x or 0:x}-{row.y or 0:x}"
+def gathered(parsed: DataFrame, now: Moment) -> DataFrame:
+    """The one pass over a batch's lines: a row for each event as it is stored, and for each line without an id; ``_copies`` tells how often.
+
+    An event is the first of its copies by emission, then by content, as ``first_per_key`` has it. Copies are added up in their task
+    before the shuffle. Lines without an id (``value``) also keep their task apart, so one that comes a billion times has no task of its own.
+    """
+    no_id = F.col("event_id").isNull()
+    order = F.struct(F.col("emitted_at").isNull(), F.col("emitted_at"), F.xxhash64(*parsed.columns))
+    rows = parsed.select(
+        "event_id", F.when(no_id, F.col("value")).alias("value"), F.when(no_id, F.spark_partition_id()).alias("_task"),
+        order.alias("_order"), F.struct(*[c for c in parsed.columns if c not in ("event_id", "value")]).alias("_row"),
+    )
+    first = rows.groupBy("event_id", "value", "_task").agg(F.min_by("_row", "_order").alias("_row"), F.count(F.lit(1)).alias("_copies"))
+    return as_stored(apply_defaults(first.select("event_id", "value", "_copies", "_row.*"), now), keep=("value", "_copies"))
+
+
+def _rejected(rows: DataFrame) -> DataFrame:
+    """The lines without an id, each as often as it came; no array has more than 65536 of them."""
+    block = F.explode(F.sequence(F.lit(0), F.expr("(_copies - 1) div 65536")))
+    copies = F.expr("explode(sequence(1, least(65536, _copies - _block * 65536)))")
+    return rejected_lines(rows.filter(F.col("event_id").isNull()).withColumn("_block", block).withColumn("_copy", copies))
+
+
+def _told(rows: DataFrame, fails: Column) -> Row:
+    """What a batch holds, from one scan of it. ``n``, ``x`` and ``y`` tell its clean events, whatever their order and whatever is stored."""
+    named, key = F.col("event_id").isNotNull(), F.xxhash64("event_id")
+    clean = named & ~fails
+    return rows.agg(
+        F.count("event_id").alias("events"), F.coalesce(F.sum(F.when(named, F.col("_copies"))), F.lit(0)).alias("lines"),
+        F.count(F.when(~named, 1)).alias("rejected"), F.count(F.when(named & fails, 1)).alias("bad"), F.count(F.when(clean, 1)).alias("n"),
+        F.bit_xor(F.when(clean, key)).alias("x"), F.bit_xor(F.when(clean, F.xxhash64(key))).alias("y"),
+    ).first()
 
 
 def make_batch_writer(
@@ -74,41 +102,39 @@ def make_batch_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        now = as_of(batch_id)
         parsed = parse_lines(batch).withColumn("_batch", F.lit(batch_id))
+        if tenant is not None:
+            parsed = parsed.filter(F.col("event_id").isNull() | (F.col("tenant_id") == tenant))
         # Cached blocks lost with an executor are rebuilt from the source,
         # whose offsets are fixed for the batch.
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-        events = parsed
+        rows = gathered(parsed, now).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            now = as_of(batch_id)
-            good = parsed.filter(F.col("event_id").isNotNull())
-            if tenant is not None:
-                good = good.filter(F.col("tenant_id") == tenant)
-            events = first_per_key(good, "event_id", [F.col("emitted_at").asc_nulls_last()])
-            events = as_stored(apply_defaults(events, now)).persist(StorageLevel.MEMORY_AND_DISK)
+            told = _told(rows, broken(rows, now, STORED_SUITE))
+            events = rows.filter(F.col("event_id").isNotNull()).drop("value", "_copies")
             clean, bad = quarantine(events, now, STORED_SUITE)
             # Only rows that are set aside can break an expectation, so writing them counts for the batch.
-            aside, counted = {"rejected": rejected_lines(parsed), "quarantine": bad.drop("_batch")}, {}
+            aside, counted = {"rejected": (_rejected(rows), told.rejected), "quarantine": (bad, told.bad)}, {}
             # One folder per batch id that has any: a replay overwrites its own.
-            for name, rows in aside.items():
-                if not rows.isEmpty():
-                    rows, broken = watched(rows.withColumn("batch_id", F.lit(batch_id)))
-                    rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
-                    counted = broken.get if name == "quarantine" else counted
-            repeats = {"event_id": good.count() - events.count()}
+            for name, (lines, n) in aside.items():
+                if n:
+                    lines, seen = watched(lines.withColumn("batch_id", F.lit(batch_id)))
+                    lines.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+                    counted = seen.get if name == "quarantine" else counted
+            repeats = {"event_id": told.lines - told.events}
             results = expectation_rows(spark, counted, events.columns, repeats)
             results.write.mode("overwrite").parquet(f"{root}/expectations/batch={batch_id}")
-            if clean.isEmpty():
+            if not told.n:
                 return
-            append_new(spark, clean, root, "job_events", "event_id", unique=True, before=lambda new: note(new, _name(clean)))
+            batch_name = f"{told.n}-{told.x or 0:x}-{told.y or 0:x}"
+            append_new(spark, clean, root, "job_events", "event_id", unique=True, held=True, before=lambda new: note(new, batch_name))
             found = as_stored_incidents(inline_incidents(clean, ten, limits, as_of=now))
             together(
-                lambda: append_new(spark, found, root, "incidents", "incident_id", unique=True),
+                lambda: append_new(spark, found, root, "incidents", "incident_id", unique=True, held=True),
                 lambda: refresh_from_ledger(spark, root, ten, touched_slices(clean), now, overrun_pct=overrun_pct),
             )
         finally:
-            events.unpersist()
-            parsed.unpersist()
+            rows.unpersist()
 
     return write
 

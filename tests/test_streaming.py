@@ -11,6 +11,7 @@ from fleetgauge.operators.incidents import inline_incidents
 from fleetgauge.plans.metrics import daily_metrics
 from fleetgauge.schemas import JOB_EVENTS
 from fleetgauge.sources.events import parse_lines, read_events_stream, read_lines_stream, read_table
+from fleetgauge.streaming import ingest
 from fleetgauge.streaming.daily import dedup_stream, latest_totals, start_daily_totals, stream_daily_totals
 from fleetgauge.streaming.ingest import make_batch_writer, start_ingest
 
@@ -103,6 +104,28 @@ def test_crash_between_events_and_incidents_is_healed(spark, tenants, tmp_path,
     assert read_table(spark, root, "job_events").count() == 30
 
 
+def test_lines_are_gathered_once(spark, tenants, tmp_path, monkeypatch):
+    """A batch's lines pass once: no frame is kept but the events that come of them, and what is set aside keeps its number."""
+    frame = type(spark.range(1))
+    kept, real = [], frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *level: kept.append(self.columns) or real(self, *level))
+    row = {**dict(zip(JOB_EVENTS.names, event(1), strict=True)), "ingested_at": None}
+    lines = [json.dumps({**row, "cost_usd": float(i)}, default=str) for i in range(5)] + ["not json"] * 3 + [""] * 4
+    root = str(tmp_path / "tables")
+    ingest.make_batch_writer(root, tenants, lambda i: AS_OF)(spark.createDataFrame([(x,) for x in lines], "value string"), 0)
+    assert len(kept) == 1 and read_table(spark, root, "job_events").count() == 1
+    rejected = {(r.value, r["count"]) for r in spark.read.parquet(f"{root}/rejected").groupBy("value").count().collect()}
+    assert rejected == {("not json", 3), ("", 4)}
+    counts = {r.expectation: r.unexpected_count for r in spark.read.parquet(f"{root}/expectations").filter("column_name = 'event_id'").collect()}
+    assert counts["expect_column_values_to_be_unique"] == 4
+
+
+def test_a_rejected_line_of_any_number(spark):
+    rows = spark.createDataFrame([(None, "x", 140000), (None, "y", 65536), ("e", None, 9)], "event_id string, value string, _copies long")
+    got = {(r.value, r["count"]) for r in ingest._rejected(rows).groupBy("value").count().collect()}
+    assert got == {("x", 140000), ("y", 65536)}
+
+
 def test_one_tenant_only(spark, tenants, tmp_path, topic):
     root = str(tmp_path / "tables")
     drain(spark, topic, root, tenants, str(tmp_path / "cp"), tenant="client_acme")
