@@ -212,10 +212,11 @@ def _expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wire lines as text files, one a micro-batch, through the whole ingestion stream."""
+    """The wire lines as text files, half of them a micro-batch, through the whole ingestion stream."""
     b, folder = Bound.over(spark, sf_dir), work_dir(spark, "stream-ingest")
-    _wire_lines(b).repartition(2).write.text(f"{folder}/topic")
-    lines = read_lines_stream(spark, f"{folder}/topic", files_per_trigger=1)
+    half = 1 + b.events.count() // (2 * PART)
+    _wire_lines(b).repartition(2 * half).write.text(f"{folder}/topic")
+    lines = read_lines_stream(spark, f"{folder}/topic", files_per_trigger=half)
     write = ingest.make_batch_writer(f"{folder}/tables", b.tenants, lambda i: AS_OF + timedelta(minutes=i))
     ingest.start_ingest(lines, write, f"{folder}/checkpoint", every=None).awaitTermination()
     return read_table(spark, f"{folder}/tables", "job_events").select(*ROW, "duration_seconds")

@@ -126,6 +126,20 @@ def test_a_rejected_line_of_any_number(spark):
     assert got == {("x", 140000), ("y", 65536)}
 
 
+def test_files_of_the_stream_grow_in_number(spark, monkeypatch):
+    """However many lines there are, they come in two micro-batches, and no task writes or reads more than its part."""
+    import __spark_entry__ as entry
+
+    seen, real = [], entry.read_lines_stream
+    monkeypatch.setattr(entry, "PART", 200, raising=False)
+    monkeypatch.setattr(entry, "read_lines_stream", lambda s, path, files_per_trigger: seen.append((path, files_per_trigger)) or real(s, path, files_per_trigger))
+    rows = entry._stream_ingest(spark, "/root/testdata/sf0.001")
+    path, taken = seen[0]
+    lines = [r["count"] for r in spark.read.text(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(lines) == 2 * taken >= sum(lines) / 300 and max(lines) <= 300
+    assert rows.count() == rows.select("event_id").distinct().count() > 900
+
+
 def test_one_tenant_only(spark, tenants, tmp_path, topic):
     root = str(tmp_path / "tables")
     drain(spark, topic, root, tenants, str(tmp_path / "cp"), tenant="client_acme")
