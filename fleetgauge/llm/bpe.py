@@ -6,9 +6,11 @@ position it keeps the last token of the prefix that ends there, which is the one
 and whose pair with the token before it is a pair that merging leaves alone. No token is longer than
 the merge list's longest, LOOKAHEAD bytes; so once the chains of the last LOOKAHEAD positions meet in
 one boundary, what is before it can't change any more, and it is emitted and forgotten. What the
-transducer gave for a word of up to SHORT bytes is remembered for when the word comes again. Memory is
-the window, the positions since that boundary and a bounded memory of words. Plain merging serves to
-tell the tokens and pairs that merging leaves alone, never to encode a text.
+transducer gave for a word of up to SHORT bytes is remembered for when the word comes again (a full memory
+keeps the words that came up since it was half full), and so are the last tokens of its prefixes, for
+when another word begins alike. Memory is the window, the positions since that boundary and a bounded
+memory of words and prefixes. Plain merging serves to tell the tokens and pairs that merging leaves
+alone, never to encode a text.
 
 Decoding feeds token bytes to an incremental UTF-8 machine that keeps at most three pending bytes;
 bytes that are no UTF-8 give U+FFFD.
@@ -25,6 +27,7 @@ import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -35,10 +38,12 @@ from fleetgauge.llm.shared import column, slices
 
 #: How byte-level vocabularies cut texts into words (a fixed value of the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters of a window, bytes of a word that is remembered, words remembered.
+#: Characters of a window, bytes of a word that is remembered, words remembered; as many of their prefixes are.
 WINDOW, SHORT, WORDS = 1 << 16, 64, 1 << 18
 #: Rank of a pair that is never merged; how a single byte comes about.
 NONE, _BYTE = 1 << 40, (-1, 0, 0)
+#: Parts of what is remembered of a word.
+_IDS, _LINE = itemgetter(0), itemgetter(1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -73,9 +78,11 @@ class Coder:
         self.words = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.ends: dict | None = None
         self.whole: dict[bytes, int] = {}
+        self.begun: dict[bytes, int] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Merge the bytes of one or two tokens: the earliest rule of the list first, then the leftmost pair."""
@@ -131,9 +138,13 @@ class Coder:
     def stream(self, data: bytes) -> Iterator[int]:
         """Tokens of a word, each as soon as no later byte can change it."""
         ends, last, base = self._tokens_ending(), [-1], 0  # last[k]: last token of the prefix of base + k bytes
-        pairs, whole = self.pairs, self.whole
-        for end in range(1, len(data) + 1):
-            found = whole.get(data[:end]) if end <= self.lookahead else None  # one token from the start
+        if not self.begun or len(self.begun) > WORDS:
+            self.begun = self.whole.copy()
+        pairs, begun, size, reach = self.pairs, self.begun, len(data), self.lookahead
+        short, far = size <= SHORT, 32 * reach
+        for end in range(1, size + 1):
+            head = data[:end] if end <= reach else None
+            found = begun.get(head) if head else None  # one token from the start, or known
             node, at = ends, end
             while found is None and at > base and (node := node.get(data[at - 1])) is not None:
                 at -= 1
@@ -141,9 +152,11 @@ class Coder:
                     stays = pairs.get((before, node[None]))
                     if stays or stays is None and self._stays(before, node[None]):
                         found = node[None]
+                        if head and short:
+                            begun[head] = found
             last.append(found)
-            if len(last) > 32 * self.lookahead or end == len(data):
-                heads = {end} if end == len(data) else {p for p in range(end - self.lookahead + 1, end + 1) if last[p - base] is not None}
+            if end == size or len(last) > far:
+                heads = {end} if end == size else {p for p in range(end - reach + 1, end + 1) if last[p - base] is not None}
                 while len(heads) > 1 and max(heads) > base:  # walk the chains back until they meet
                     p = max(heads)
                     heads.discard(p)
@@ -157,13 +170,17 @@ class Coder:
                 last, base = last[meet - base :], meet
 
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
-        data = word.encode()
-        ids = tuple(self.stream(data))
-        found = (ids, ",".join(map(str, ids)))
-        if len(data) <= SHORT:
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            self.known[word] = found
+        found = self.older.get(word)
+        if found is None:
+            data = word.encode()
+            ids = tuple(self.stream(data))
+            found = (ids, ",".join(map(str, ids)))
+            if len(data) > SHORT:
+                return found
+        if 2 * len(self.known) >= WORDS:
+            self.older = self.known.copy()
+            self.known.clear()
+        self.known[word] = found
         return found
 
     def _windows(self, text: str) -> Iterator[list[str]]:
@@ -199,7 +216,7 @@ class Coder:
         known = self.known
         for words in self._windows(text):
             found = [known.get(w) or self._word(w) for w in words]
-            yield list(chain.from_iterable(f[0] for f in found)), ",".join(f[1] for f in found)
+            yield list(chain.from_iterable(map(_IDS, found))), ",".join(map(_LINE, found))
 
     def decode(self, pieces: Iterator[list[int]]) -> Iterator[str]:
         machine = codecs.getincrementaldecoder("utf-8")("replace")

@@ -77,3 +77,20 @@ def test_queries(spark, library):
     back = bpe.texts_of(bpe.token_lists(df, PATH), PATH).collect()
     assert [(r.doc_id, r.text) for r in back] == [(d, t or "") for d, t, _ in rows]
     assert bpe.token_digests(df.limit(0), PATH).collect() == []
+
+
+def test_a_full_memory_keeps_common_words_and_tokens_stay_right(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS", 60)
+    own, ran = bpe.Coder(bpe._file(PATH)), []
+    monkeypatch.setattr(own, "stream", lambda data: ran.append(data) or bpe.Coder.stream(own, data))
+    rng = random.Random(7)
+    rare = (" " + "".join(rng.choices("etaoinshrdlu", k=9)) for _ in range(2000))
+    text = "".join(" common" + word for word in rare)
+    ids = [i for piece, _ in own.encode(text) for i in piece]
+    assert ids == library.encode(text, add_special_tokens=False).ids
+    assert ran.count(b" common") == 1
+
+
+def test_prefixes_are_remembered(coder):
+    list(coder.stream(b" vonerbetezu"))
+    assert [coder.begun[b" vonerbetezu"[:k]] for k in (11, 12)] == [coder.merged(b" vonerbetezu"[:k])[-1] for k in (11, 12)]
