@@ -9,8 +9,8 @@ one boundary, what is before it can't change any more, and it is emitted and for
 transducer gave for a word of up to SHORT bytes is remembered for when the word comes again (a full memory
 keeps the words that came up since it was half full), and so are the last tokens of its prefixes, for
 when another word begins alike. Memory is the window, the positions since that boundary and a bounded
-memory of words and prefixes. Plain merging serves to tell the tokens and pairs that merging leaves
-alone, never to encode a text.
+memory of words and prefixes, which goes when a task ends: workers live on in other stages.
+Plain merging serves to tell the tokens and pairs that merging leaves alone, never to encode a text.
 
 Decoding feeds token bytes to an incremental UTF-8 machine that keeps at most three pending bytes;
 bytes that are no UTF-8 give U+FFFD.
@@ -183,6 +183,10 @@ class Coder:
         self.known[word] = found
         return found
 
+    def forget(self) -> None:
+        """Give the memory of words, pairs and prefixes back."""
+        self.known, self.older, self.pairs, self.begun = {}, {}, {}, {}
+
     def _windows(self, text: str) -> Iterator[list[str]]:
         """Words of a text without special strings, window by window."""
         at, reach = 0, WINDOW
@@ -251,6 +255,7 @@ def token_digests(documents: DataFrame, tokenizer: str) -> DataFrame:
                 [column(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        coder.forget()
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -265,6 +270,7 @@ def token_lists(documents: DataFrame, tokenizer: str) -> DataFrame:
         for batch in slices(batches, "text"):
             ids = [list(chain.from_iterable(p[0] for p in coder.encode(t or ""))) for t in column(batch, "text").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        coder.forget()
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(run, "doc_id long, ids array<int>")

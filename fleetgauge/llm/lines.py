@@ -78,7 +78,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rarity(docs: DataFrame) -> np.ndarray:
     """Rank of each slot by its count over all lines: SLOTS rows at most come to the driver."""
-    rows = docs.mapInArrow(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = cut(docs.mapInArrow(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))).toArrow()
     table = np.zeros(SLOTS, np.int64)
     table[np.asarray(rows.column("slot"))] = np.asarray(rows.column("n"))
     return (np.log2(table + 1.0) * 1000).astype(np.uint16)

@@ -19,9 +19,9 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(of: np.uint64, name: str, n: int) -> np.ndarray:
-    """of ** 0 .. of ** n modulo 2 ** 64; kept for the next call."""
+    """of ** 0 .. of ** n modulo 2 ** 64; kept for the next call: a slice's bytes and some, or a longer text's."""
     if name not in _powers or len(_powers[name]) <= n:
-        steps = np.full(max(n, 1 << 21) + 1, of, dtype=np.uint64)
+        steps = np.full(max(n, 5 << 17) + 1, of, dtype=np.uint64)
         steps[0] = 1
         _powers[name] = np.cumprod(steps, dtype=np.uint64)
     return _powers[name]

@@ -94,3 +94,12 @@ def test_a_full_memory_keeps_common_words_and_tokens_stay_right(library, monkeyp
 def test_prefixes_are_remembered(coder):
     list(coder.stream(b" vonerbetezu"))
     assert [coder.begun[b" vonerbetezu"[:k]] for k in (11, 12)] == [coder.merged(b" vonerbetezu"[:k])[-1] for k in (11, 12)]
+
+
+def test_nothing_is_remembered_between_tasks():
+    own, rng = bpe.Coder(bpe._file(PATH)), random.Random(8)
+    list(own.encode(" ".join("".join(rng.choices("etaoinshrdlu", k=9)) for _ in range(3000))))
+    assert len(own.known) > 2000 and len(own.pairs) > 2000
+    own.forget()
+    assert not (own.known or own.older or own.pairs or own.begun)
+    assert [i for piece, _ in own.encode("etaoin shrdlu") for i in piece] == own.merged(b"etaoin") + own.merged(b" shrdlu")

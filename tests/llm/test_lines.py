@@ -1,7 +1,10 @@
 import random
 import re
 
+import pyarrow as pa
+
 from fleetgauge.llm.lines import dedup_lines
+from fleetgauge.llm.shared import cut
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +89,14 @@ def test_empty_and_long(spark):
     many = "\n".join(f"line {i} of many lines" for i in range(20_000))
     got = {r.doc_id: r.text for r in run(spark, [(1, long + "\n" + many), (2, long + " z"), (3, many)]).collect()}
     assert got == {1: long + "\n" + many, 2: "", 3: ""}
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    texts = spark.range(6000, numPartitions=1).selectExpr("repeat('word ', 400) as text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert max(r.size for r in cut(texts.mapInArrow(sizes, "size long")).collect()) < 4 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
