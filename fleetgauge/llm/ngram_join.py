@@ -46,11 +46,14 @@ HOT = 64
 SEEN = 1 << 16
 #: Hashes by which a document is dealt out at most.
 DEALS = 8
-#: Low bits of a block's key: two marks, the number of the hash, the size band.
-LOW = 12
+#: Low bits of a block's key: two marks, the number of the hash, the size band. Bits of its hash: fewer lie in less space.
+LOW, HASH = 12, 40
 #: First partners are looked for in one of so many blocks, and in all blocks of sets below that size.
 SOME, SMALL = 8, 100
 _SKETCH = [f"k{i}" for i in range(FOLD)]
+#: The sketch folded once more, which goes along where rows of blocks meet.
+BRIEF = 4
+_BRIEF = [f"h{i}" for i in range(BRIEF)]
 
 
 def bands(top: int = 1 << 40) -> list[int]:
@@ -98,7 +101,7 @@ def _dealings(segment: np.ndarray, value: np.ndarray, take: np.ndarray, sizes: n
             if left.any():
                 key, doc, may, left = _dealt(segment, value, left, band, blocks, spare, deal, deal == DEALS - 1)
                 grp = band[doc] * DEALS + deal
-                yield (key >> np.uint64(LOW) << np.uint64(LOW)) + (grp.astype(np.uint64) << np.uint64(2)), doc, may, grp
+                yield (key >> np.uint64(64 - HASH) << np.uint64(LOW)) + (grp.astype(np.uint64) << np.uint64(2)), doc, may, grp
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,10 +174,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), sets], ["doc_id", "members"])
 
 
-def _near(a: str, b: str):
+def _near(a: str, b: str, sketch: list[str] = _SKETCH):
     """Sizes and folded sketches of columns with these prefixes allow the similarity."""
     size = F.expr(f"100 * least({a}n, {b}n) >= {SIMILAR} * greatest({a}n, {b}n)")
-    differ = total([F.expr(f"cast(bit_count({a}{k} ^ {b}{k}) as bigint)") for k in _SKETCH])
+    differ = total([F.expr(f"cast(bit_count({a}{k} ^ {b}{k}) as bigint)") for k in sketch])
     return size & (differ * (100 + SIMILAR) <= (100 - SIMILAR) * F.expr(f"{a}n + {b}n"))
 
 
@@ -232,15 +235,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     # a similar document shares more blocks than may be left out: who has no more can't have one
     may = may.filter("all > spare").select("doc_id", "grp", (F.col("hot") > F.col("spare")).alias("many"), F.greatest(F.col("spare") - F.col("hot"), F.lit(0)).alias("least"))
     rows = rows.join(may, ["doc_id", "grp"]).filter(f"members <= {HOT} or many").select("key", "grp", "doc_id", "component", "least")
-    rows = cut(shaped(rows.distinct(), "doc_id", ""))
+    brief = [F.expr(" ^ ".join(_SKETCH[i::BRIEF])).alias(h) for i, h in enumerate(_BRIEF)]
+    rows = cut(rows.distinct().join(shape.select("doc_id", "n", *brief), "doc_id"))
     one = rows.withColumnsRenamed({c: f"a_{c}" for c in rows.columns})
     two = rows.withColumnsRenamed({c: f"b_{c}" for c in rows.columns})
     meet = (F.col("a_key") == F.col("b_key")) & F.expr("a_component < b_component")
-    rest = one.join(two, meet & _near("a_", "b_"))
+    rest = one.join(two, meet & _near("a_", "b_", _BRIEF))
     rest = rest.groupBy(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), "a_grp").agg(
         F.count("*").alias("blocks"), F.greatest(F.max("a_least"), F.max("b_least")).alias("least"))
     rest = rest.filter("blocks > least").select("a", "b").distinct()
-    more = _verified(docs, rest)
+    more = _verified(docs, shaped(shaped(rest, "a", "a_"), "b", "b_").filter(_near("a_", "b_")).select("a", "b").distinct())
     final = cut(components(links.unionByName(more), "a", "b"))
     out = digest.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -1,6 +1,9 @@
 import random
 import re
 
+import pyarrow as pa
+
+from fleetgauge.llm import ngram_join
 from fleetgauge.llm.ngram_join import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -82,3 +85,10 @@ def test_empty_table_and_long_text(spark):
     assert run(spark, []) == []
     long = " ".join(f"t{i}" for i in range(60_000))
     assert run(spark, [(1, long), (2, long + " end"), (3, "x" * 3_000_000)]) == [(1, 59996, 1), (2, 59997, 1), (3, 1, 3)]
+
+
+def test_keys_of_blocks_are_narrow():
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (1, 30, 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], ["doc_id", "text"])
+    keys = [k for part in ngram_join._blocks(iter([batch])) for k in part.column(0).to_pylist()]
+    assert keys and all(0 <= k < 1 << 52 for k in keys)
